@@ -1,0 +1,36 @@
+"""Registered queries: name → (spark, sf_dir) → DataFrame.
+
+Each query reads the driver tables (flights are derived from ``events``)
+and runs over whole tables. Output columns are aliased to the names used
+by the DuckDB oracle in ``skyfold.plans.oracle``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from skyfold.operators.flatten import drop_variants
+from skyfold.plans.flights import FlightModel
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _model(spark: SparkSession, sf_dir: str) -> FlightModel:
+    return FlightModel.from_tables(spark, sf_dir)
+
+
+def q_stg_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_variants(_model(spark, sf_dir).stg)
+
+
+def q_daily_airport_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _model(spark, sf_dir).daily_airport_summary
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "stg_flights": q_stg_flights,
+        "daily_airport_summary": q_daily_airport_summary,
+    }
