@@ -1,17 +1,17 @@
 """Top-1 per key and duplicate finding.
 
-``top1_per_key`` is the skew-safe form of ``ROW_NUMBER() OVER (PARTITION BY
-k ORDER BY …) = 1``: one aggregate of ``max(struct(rank…, payload))``. Spark
-aggregates partially on the map side, so a hot key (even a third of all
-rows) leaves every map task as a single row instead of being sorted into
-one window task.
+``top1_per_key`` is ``ROW_NUMBER() OVER (PARTITION BY k ORDER BY …) = 1``.
+Spark plans it with a *partial* WindowGroupLimit before the shuffle: each
+map task keeps only its best row per key, so a hot key (even a third of
+all rows) arrives at the final window as one row per map task instead of
+being sorted whole in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.operators.flatten import drop_variants
@@ -25,17 +25,16 @@ def top1_per_key(
     """Keep, per key, the row with the largest ``rank_by`` tuple.
 
     ``rank_by`` is compared left to right, larger wins (use ``c.isNotNull()``
-    for "non-NULL first", a timestamp for "latest"). Remaining ties are
-    broken by the row's own columns in order (NULL lowest), so the choice is
-    total and deterministic (D13, D14, H8). VARIANT columns cannot be
-    ordered and are dropped.
+    for "non-NULL first", a timestamp for "latest"); NULL ranks lowest.
+    Rows still tied are separated by a hash of the whole row, so the choice
+    is deterministic across retries (D13, D14, H8). VARIANT columns cannot
+    be hashed or ordered and are dropped.
     """
     body = drop_variants(df)
-    payload_cols = [c for c in body.columns if c not in keys]
-    ranks = [r.alias(f"_r{i}") for i, r in enumerate(rank_by)]
-    best = F.max(F.struct(*ranks, F.struct(*payload_cols).alias("_row"))).alias("_best")
-    out = body.groupBy(*keys).agg(best)
-    return out.select(*keys, *[F.col("_best._row")[c].alias(c) for c in payload_cols]).select(*body.columns)
+    payload = [c for c in body.columns if c not in keys]
+    order = [r.desc_nulls_last() for r in rank_by] + [F.xxhash64(*payload).desc()]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return body.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str, *tie_breakers: Column) -> DataFrame:

@@ -54,8 +54,9 @@ def date_spine_covering(df: DataFrame, *date_cols: str) -> DataFrame:
     The bounds come from one aggregate; the spine has one row per calendar
     day of the span, which does not grow with the row count.
     """
-    lo = F.least(*[F.min(c) for c in date_cols])
-    hi = F.greatest(*[F.max(c) for c in date_cols])
+    mins, maxs = [F.min(c) for c in date_cols], [F.max(c) for c in date_cols]
+    lo = mins[0] if len(mins) == 1 else F.least(*mins)
+    hi = maxs[0] if len(maxs) == 1 else F.greatest(*maxs)
     bounds = df.agg(lo.alias("lo"), hi.alias("hi"))
     return bounds.select(F.explode(F.sequence("lo", "hi")).alias("date_day"))
 

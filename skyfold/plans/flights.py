@@ -18,7 +18,8 @@ from skyfold.operators.dedupe import latest_per_key
 from skyfold.operators.enrich import enrich_flights
 from skyfold.operators.flatten import drop_variants, flatten_flights
 from skyfold.operators.joins import checked_broadcast
-from skyfold.session import cut_lineage
+from skyfold.operators.materialize import write_table
+from skyfold.session import cut_lineage, scratch_path
 from skyfold.sources.fixtures import raw_flights_from_events
 from skyfold.sources.seeds import gate_capacity
 from skyfold.sources.tables import read_table
@@ -56,6 +57,31 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_flights_from_events(read_table(spark, sf_dir, "events"))
 
 
+_LANDED: dict[tuple[int, str], str] = {}
+
+
+def land_flights(raw: DataFrame, path: str) -> None:
+    """Persist the raw table and the flattened staging table under ``path``
+    (``/raw`` and ``/stg``). Staging is sorted by ``flight_date`` within
+    each file so parquet min/max statistics prune look-back reads."""
+    spark = raw.sparkSession
+    write_table(raw, f"{path}/raw")
+    stg = flatten_flights(spark.read.parquet(f"{path}/raw"))
+    write_table(stg.sortWithinPartitions("flight_date"), f"{path}/stg")
+
+
+def landed_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(raw, staging) of ``sf_dir``, landed once per Spark application in
+    the shared checkpoint folder and read back from parquet afterwards."""
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _LANDED:
+        path = scratch_path(spark, "flights")
+        land_flights(raw_flights(spark, sf_dir), path)
+        _LANDED[key] = path
+    path = _LANDED[key]
+    return spark.read.parquet(f"{path}/raw"), spark.read.parquet(f"{path}/stg")
+
+
 def operating_latest(stg_or_enriched: DataFrame) -> DataFrame:
     """Operating rows, latest extract per ``flight_id`` (F2 + W1)."""
     ops = stg_or_enriched.where(F.col("carrier_role") == "operating")
@@ -63,26 +89,27 @@ def operating_latest(stg_or_enriched: DataFrame) -> DataFrame:
 
 
 class FlightModel:
-    """All relations of the model over one raw table.
+    """All relations of the model over one staging relation.
 
-    ``as_of`` limits the dimensions to extracts up to that time (a snapshot
-    taken then); ``materialize_dims`` checkpoints the airline / airport
+    ``materialize_dims`` checkpoints the airline / airport
     dimensions so their size can be checked and they are computed once.
     """
 
-    def __init__(self, spark: SparkSession, raw: DataFrame, materialize_dims: bool = True):
+    def __init__(self, spark: SparkSession, stg: DataFrame, raw: DataFrame | None = None, materialize_dims: bool = True):
         self.spark = spark
+        self.stg = stg
         self.raw = raw
         self.materialize_dims = materialize_dims
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> FlightModel:
-        return cls(spark, raw_flights(spark, sf_dir), **kw)
+    def from_raw(cls, raw: DataFrame, **kw) -> FlightModel:
+        """Staging as a lazy view over ``raw``."""
+        return cls(raw.sparkSession, flatten_flights(raw), raw=raw, **kw)
 
-    # -- staging -----------------------------------------------------------
-    @cached_property
-    def stg(self) -> DataFrame:
-        return flatten_flights(self.raw)
+    @classmethod
+    def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> FlightModel:
+        raw, stg = landed_flights(spark, sf_dir)
+        return cls(spark, stg, raw=raw, **kw)
 
     # -- dimensions --------------------------------------------------------
     def _dim(self, df: DataFrame) -> DataFrame:

@@ -197,7 +197,7 @@ def model_with() -> str:
 def kpi_select(keys: str) -> str:
     dep, arr = "direction = 'DEPARTURE'", "direction = 'ARRIVAL'"
     nc = "flight_status NOT IN ('cancelled', 'canceled')"
-    ci = lambda p: f"CAST(COUNT_IF({p}) AS BIGINT)"
+    ci = lambda p: f"CAST(COUNT(*) FILTER (WHERE {p}) AS BIGINT)"
     return f"""SELECT {keys},
     CAST(COUNT(*) AS BIGINT) AS total_scheduled,
     {ci(nc)} AS total_actual,
@@ -216,7 +216,7 @@ def kpi_select(keys: str) -> str:
 def tiles_select(keys: str = "") -> str:
     dep, arr = "direction = 'DEPARTURE'", "direction = 'ARRIVAL'"
     nc = "flight_status NOT IN ('cancelled', 'canceled')"
-    ci = lambda p: f"CAST(COUNT_IF({p}) AS BIGINT)"
+    ci = lambda p: f"CAST(COUNT(*) FILTER (WHERE {p}) AS BIGINT)"
     lead = f"{keys}, " if keys else ""
     return f"""SELECT {lead}CAST(COUNT(*) AS BIGINT) AS total_scheduled,
     {ci(nc)} AS total_actual,
@@ -231,6 +231,95 @@ def _m(body: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["stg_flights"] = "WITH " + EVENTS_CTE + f"\nSELECT {STG_COLUMNS} FROM stg"
+    stg_only = "WITH " + EVENTS_CTE + "\n"
+    q["stg_flights"] = stg_only + f"SELECT {STG_COLUMNS} FROM stg"
+    q["surrogate_key_orders"] = f"""SELECT o_orderkey,
+      md5(concat_ws('-', coalesce(CAST(o_orderkey AS VARCHAR), {SENTINEL}), coalesce(CAST(o_custkey AS VARCHAR), {SENTINEL}),
+                         coalesce(CAST(o_orderdate AS VARCHAR), {SENTINEL}))) AS order_sk FROM orders"""
+    q["dim_dates"] = (
+        "WITH " + EVENTS_CTE + ",\n"
+        + "bounds AS (SELECT min(flight_date) AS lo, max(flight_date) AS hi FROM stg),\n"
+        + """span AS (SELECT CAST(d AS DATE) AS d FROM bounds, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d))
+SELECT d AS date_id, d AS date_day,
+    CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+    CAST(quarter(d) AS INTEGER) AS quarter, CAST(dayofweek(d) AS INTEGER) AS day_of_week,
+    CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+    strftime(d, '%B') AS month_name, strftime(d, '%A') AS day_name,
+    dayofweek(d) IN (0, 6) AS is_weekend, strftime(d, '%Y-%m') AS year_month FROM span"""
+    )
+    q["dim_airlines_current"] = "WITH " + EVENTS_CTE + "," + airlines_cte() + "\nSELECT * FROM airlines"
+    q["dim_airports_current"] = "WITH " + EVENTS_CTE + "," + airports_cte() + "\nSELECT * FROM airports"
+    q["flights_enriched"] = _m("SELECT * FROM enriched")
+    q["fct_flights"] = _m("SELECT * FROM fact")
     q["daily_airport_summary"] = _m(kpi_select("flight_date") + " FROM fact GROUP BY flight_date")
+    q["daily_airport_operations"] = _m(
+        kpi_select("actual_operation_date") + " FROM fact WHERE actual_operation_date IS NOT NULL GROUP BY actual_operation_date"
+    )
+    q["daily_airline_summary"] = _m(
+        kpi_select("flight_date, airline_iata") + " FROM enriched WHERE airline_iata IS NOT NULL GROUP BY flight_date, airline_iata"
+    )
+    q["daily_airline_operations"] = _m(
+        kpi_select("actual_operation_date, airline_iata")
+        + " FROM enriched WHERE actual_operation_date IS NOT NULL AND airline_iata IS NOT NULL"
+        + " GROUP BY actual_operation_date, airline_iata"
+    )
+    gate_usage = """, gate_usage AS (
+  SELECT gate_dep AS gate, operating_airline_iata AS airline_iata, dim_airline_name AS airline_name, 'departure' AS operation_type
+  FROM enriched WHERE gate_dep IS NOT NULL AND carrier_role = 'operating'
+  UNION ALL
+  SELECT gate_arr, operating_airline_iata, dim_airline_name, 'arrival'
+  FROM enriched WHERE gate_arr IS NOT NULL AND carrier_role = 'operating'
+), gus AS (
+  SELECT gate, airline_iata, airline_name,
+    CAST(COUNT_IF(operation_type = 'departure') AS BIGINT) AS departure_count,
+    CAST(COUNT_IF(operation_type = 'arrival') AS BIGINT) AS arrival_count,
+    CAST(COUNT(*) AS BIGINT) AS total_flight_count
+  FROM gate_usage GROUP BY gate, airline_iata, airline_name
+)
+"""
+    q["gate_usage_summary"] = model_with() + gate_usage + "SELECT * FROM gus"
+    q["gate_share"] = model_with() + """, capacity AS (SELECT 11 AS gate_count),
+g AS (SELECT flight_date, gate_dep AS gate FROM fact WHERE gate_dep IS NOT NULL
+      UNION ALL SELECT flight_date, gate_arr FROM fact WHERE gate_arr IS NOT NULL),
+used AS (SELECT flight_date, CAST(COUNT(DISTINCT gate) AS BIGINT) AS gates_used FROM g GROUP BY flight_date)
+SELECT flight_date, gates_used, CAST(c.gate_count AS BIGINT) AS gate_count,
+  """ + _pct("gates_used", "CAST(c.gate_count AS BIGINT)") + """ AS pct_gates_used
+FROM used, capacity c"""
+    q["top_gates"] = model_with() + gate_usage + """SELECT gate, CAST(SUM(total_flight_count) AS BIGINT) AS total_flights
+FROM gus GROUP BY gate ORDER BY total_flights DESC, gate ASC LIMIT 5"""
+    q["gate_heatmap"] = model_with() + gate_usage + """, cells AS (
+  SELECT gate, airline_iata, CAST(SUM(total_flight_count) AS BIGINT) AS n FROM gus
+  WHERE airline_iata IS NOT NULL GROUP BY gate, airline_iata)
+PIVOT cells ON airline_iata USING first(n) GROUP BY gate"""
+    q["kpi_tiles"] = _m(tiles_select() + " FROM fact")
+    q["kpi_tiles_airline"] = _m(tiles_select("airline_iata") + " FROM enriched WHERE airline_iata IS NOT NULL GROUP BY airline_iata")
+    summary = ", summary AS (" + kpi_select("flight_date") + " FROM fact GROUP BY flight_date)\n"
+    q["daily_volume"] = model_with() + summary + "SELECT flight_date, total_scheduled, total_actual FROM summary"
+    q["otp_trend"] = model_with() + summary + """SELECT flight_date, 'dep' AS series, dep_otp_pct AS otp_pct FROM summary
+UNION ALL SELECT flight_date, 'arr', arr_otp_pct FROM summary"""
+    q["cancellation_trend"] = model_with() + summary + "SELECT flight_date, cancelled_count, cancellation_rate_pct FROM summary"
+    q["airline_picklist"] = _m("SELECT DISTINCT airline_iata FROM enriched WHERE airline_iata IS NOT NULL")
+    q["load_audit"] = stg_only + """SELECT CAST(extracted_at AS DATE) AS extract_date, direction, CAST(COUNT(*) AS BIGINT) AS record_count
+FROM stg GROUP BY ALL"""
+    q["load_audit_runs"] = stg_only + """SELECT extracted_at, direction, CAST(COUNT(*) AS BIGINT) AS record_count
+FROM stg GROUP BY ALL ORDER BY extracted_at DESC"""
+    raw_keys = """, rk AS (SELECT extracted_at, direction, strftime(flight_date, '%Y-%m-%d') AS flight_date, flight_iata, flight_status FROM stg)
+"""
+    q["duplicate_flights"] = stg_only[:-1] + raw_keys + """SELECT flight_date, flight_iata, direction, CAST(COUNT(*) AS BIGINT) AS frequency
+FROM rk GROUP BY flight_date, flight_iata, direction HAVING COUNT(*) > 1 ORDER BY frequency DESC"""
+    q["duplicate_detail"] = stg_only[:-1] + raw_keys + """SELECT * FROM rk
+WHERE (flight_date, flight_iata, direction) IN (
+  SELECT (flight_date, flight_iata, direction) FROM rk GROUP BY flight_date, flight_iata, direction HAVING COUNT(*) > 1)
+ORDER BY extracted_at DESC"""
+    q["lineitem_latest"] = """SELECT * FROM lineitem
+QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1"""
+    q["lineitem_duplicates"] = """SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS frequency
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
+    q["customer_geo"] = """SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name, r.r_name
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+    q["orders_status_rollup"] = f"""SELECT o_orderstatus, CAST(COUNT(*) AS BIGINT) AS order_count,
+  CAST(COUNT_IF(o_orderpriority = '1-URGENT') AS BIGINT) AS urgent_count,
+  CAST(COUNT_IF(o_totalprice > 100000) AS BIGINT) AS large_count,
+  {_pct("CAST(COUNT_IF(o_orderpriority = '1-URGENT') AS BIGINT)", "CAST(COUNT(*) AS BIGINT)")} AS urgent_pct
+FROM orders GROUP BY o_orderstatus"""
     return q

@@ -10,9 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skyfold.functions.exprs import conditional_count, safe_pct
+from skyfold.functions.keys import surrogate_key
+from skyfold.operators import dims, kpi
+from skyfold.operators.dedupe import duplicate_groups, latest_per_key
 from skyfold.operators.flatten import drop_variants
+from skyfold.operators.joins import checked_broadcast, lookup
+from skyfold.plans import reports
 from skyfold.plans.flights import FlightModel
+from skyfold.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,16 +29,178 @@ def _model(spark: SparkSession, sf_dir: str) -> FlightModel:
     return FlightModel.from_tables(spark, sf_dir)
 
 
-def q_stg_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+# -- staging, keys, dimensions ----------------------------------------------
+def q_stg_flights(spark, sf_dir):
     return drop_variants(_model(spark, sf_dir).stg)
 
 
-def q_daily_airport_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_surrogate_key_orders(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", surrogate_key("o_orderkey", "o_custkey", "o_orderdate").alias("order_sk"))
+
+
+def q_dim_dates(spark, sf_dir):
+    """Date dimension over the span of the flight dates."""
+    stg = _model(spark, sf_dir).stg
+    return dims.date_dimension_of(dims.date_spine_covering(stg, "flight_date"))
+
+
+def q_dim_airlines_current(spark, sf_dir):
+    return dims.airline_best_rows(_model(spark, sf_dir).stg)
+
+
+def q_dim_airports_current(spark, sf_dir):
+    return dims.airport_best_rows(_model(spark, sf_dir).stg)
+
+
+# -- enrichment, fact, marts --------------------------------------------------
+def q_flights_enriched(spark, sf_dir):
+    return drop_variants(_model(spark, sf_dir).enriched)
+
+
+def q_fct_flights(spark, sf_dir):
+    return _model(spark, sf_dir).fact
+
+
+def q_daily_airport_summary(spark, sf_dir):
     return _model(spark, sf_dir).daily_airport_summary
 
 
+def q_daily_airport_operations(spark, sf_dir):
+    return _model(spark, sf_dir).daily_airport_operations
+
+
+def q_daily_airline_summary(spark, sf_dir):
+    return _model(spark, sf_dir).daily_airline_summary
+
+
+def q_daily_airline_operations(spark, sf_dir):
+    return _model(spark, sf_dir).daily_airline_operations
+
+
+def q_gate_usage_summary(spark, sf_dir):
+    return _model(spark, sf_dir).gate_usage_summary
+
+
+def q_gate_share(spark, sf_dir):
+    return _model(spark, sf_dir).gate_share()
+
+
+def q_top_gates(spark, sf_dir):
+    return kpi.top_gates(_model(spark, sf_dir).gate_usage_summary, 5)
+
+
+def q_gate_heatmap(spark, sf_dir):
+    return kpi.gate_heatmap(_model(spark, sf_dir).gate_usage_summary)
+
+
+# -- presentation ------------------------------------------------------------
+def q_kpi_tiles(spark, sf_dir):
+    return kpi.kpi_tiles(_model(spark, sf_dir).fact)
+
+
+def q_kpi_tiles_airline(spark, sf_dir):
+    enriched = _model(spark, sf_dir).enriched
+    return kpi.kpi_tiles(enriched.where(F.col("airline_iata").isNotNull()), ["airline_iata"])
+
+
+def q_daily_volume(spark, sf_dir):
+    return reports.daily_volume(_model(spark, sf_dir).daily_airport_summary)
+
+
+def q_otp_trend(spark, sf_dir):
+    return reports.otp_trend(_model(spark, sf_dir).daily_airport_summary)
+
+
+def q_cancellation_trend(spark, sf_dir):
+    return reports.cancellation_trend(_model(spark, sf_dir).daily_airport_summary)
+
+
+def q_airline_picklist(spark, sf_dir):
+    return reports.airline_picklist(_model(spark, sf_dir).daily_airline_summary)
+
+
+# -- audits ------------------------------------------------------------------
+def q_load_audit(spark, sf_dir):
+    return reports.load_audit(_model(spark, sf_dir).raw)
+
+
+def q_load_audit_runs(spark, sf_dir):
+    return reports.load_audit_runs(_model(spark, sf_dir).raw)
+
+
+def q_duplicate_flights(spark, sf_dir):
+    return reports.duplicate_flights(_model(spark, sf_dir).raw)
+
+
+def q_duplicate_detail(spark, sf_dir):
+    return reports.duplicate_detail(_model(spark, sf_dir).raw)
+
+
+# -- the same operators on non-flight tables --------------------------------
+def q_lineitem_latest(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return latest_per_key(li, ["l_orderkey", "l_linenumber"], "l_shipdate", F.col("l_partkey"), F.col("l_suppkey"))
+
+
+def q_lineitem_duplicates(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return duplicate_groups(li, ["l_orderkey", "l_linenumber"], "frequency")
+
+
+def q_customer_geo(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    nation = checked_broadcast(read_table(spark, sf_dir, "nation"))
+    region = checked_broadcast(read_table(spark, sf_dir, "region"))
+    out = lookup(c, nation, "c_nationkey", "n_nationkey", {"n_name": "n_name", "n_regionkey": "n_regionkey"})
+    out = lookup(out, region, "n_regionkey", "r_regionkey", {"r_name": "r_name"})
+    return out.select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
+
+
+def q_orders_status_rollup(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    urgent = conditional_count(F.col("o_orderpriority") == "1-URGENT")
+    total = F.count(F.lit(1))
+    return o.groupBy("o_orderstatus").agg(
+        total.alias("order_count"),
+        urgent.alias("urgent_count"),
+        conditional_count(F.col("o_totalprice") > 100000).alias("large_count"),
+        safe_pct(urgent, total).alias("urgent_pct"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "stg_flights": q_stg_flights,
+    "surrogate_key_orders": q_surrogate_key_orders,
+    "dim_dates": q_dim_dates,
+    "dim_airlines_current": q_dim_airlines_current,
+    "dim_airports_current": q_dim_airports_current,
+    "flights_enriched": q_flights_enriched,
+    "fct_flights": q_fct_flights,
+    "daily_airport_summary": q_daily_airport_summary,
+    "daily_airport_operations": q_daily_airport_operations,
+    "daily_airline_summary": q_daily_airline_summary,
+    "daily_airline_operations": q_daily_airline_operations,
+    "gate_usage_summary": q_gate_usage_summary,
+    "gate_share": q_gate_share,
+    "top_gates": q_top_gates,
+    "gate_heatmap": q_gate_heatmap,
+    "kpi_tiles": q_kpi_tiles,
+    "kpi_tiles_airline": q_kpi_tiles_airline,
+    "daily_volume": q_daily_volume,
+    "otp_trend": q_otp_trend,
+    "cancellation_trend": q_cancellation_trend,
+    "airline_picklist": q_airline_picklist,
+    "load_audit": q_load_audit,
+    "load_audit_runs": q_load_audit_runs,
+    "duplicate_flights": q_duplicate_flights,
+    "duplicate_detail": q_duplicate_detail,
+    "lineitem_latest": q_lineitem_latest,
+    "lineitem_duplicates": q_lineitem_duplicates,
+    "customer_geo": q_customer_geo,
+    "orders_status_rollup": q_orders_status_rollup,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "stg_flights": q_stg_flights,
-        "daily_airport_summary": q_daily_airport_summary,
-    }
+    return dict(QUERIES)
