@@ -322,4 +322,158 @@ FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN re
   CAST(COUNT_IF(o_totalprice > 100000) AS BIGINT) AS large_count,
   {_pct("CAST(COUNT_IF(o_orderpriority = '1-URGENT') AS BIGINT)", "CAST(COUNT(*) AS BIGINT)")} AS urgent_pct
 FROM orders GROUP BY o_orderstatus"""
+    q.update(oracle_sql_incremental())
+    return q
+
+
+# -- incremental runs, snapshots, as-of, quality ---------------------------
+BATCH1_BEFORE = "2024-01-20 00:00:00"
+RUN1_AS_OF = "2024-01-19 23:59:59"
+RUN2_AS_OF = "2024-01-30 23:59:59"
+SNAP_A1, SNAP_A2 = "2024-01-15 23:59:59", "2024-01-30 23:59:59"
+FCT_UPDATE = {
+    "flight_status", "actual_dep", "actual_arr", "delay_dep", "delay_arr", "is_on_time_dep", "is_on_time_arr",
+    "delay_bucket_dep", "delay_bucket_arr", "is_cancelled", "actual_operation_date", "actual_year",
+    "actual_month", "actual_day_name", "actual_is_weekend",
+}
+
+
+def _fct_cols() -> list[str]:
+    return [c.strip() for c in FCT_COLUMNS.replace("\n", " ").split(",") if c.strip()]
+
+
+def two_runs_with() -> str:
+    merged_cols = []
+    for c in _fct_cols():
+        if c == "flight_id":
+            merged_cols.append("COALESCE(t.flight_id, s.flight_id) AS flight_id")
+        elif c in FCT_UPDATE:
+            merged_cols.append(f"CASE WHEN s.flight_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
+        else:
+            merged_cols.append(f"CASE WHEN t.flight_id IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
+    parts = [
+        EVENTS_CTE,
+        dates_cte(),
+        f"\nstg1 AS (SELECT * FROM stg WHERE extracted_at < TIMESTAMP '{BATCH1_BEFORE}')",
+        airlines_cte("stg1", "airlines1", RUN1_AS_OF),
+        airports_cte("stg1", "airports1", RUN1_AS_OF),
+        enriched_cte("stg1", "airlines1", "airports1", "enriched1"),
+        fact_cte("enriched1", "fact1"),
+        airlines_cte("stg", "airlines2", RUN2_AS_OF),
+        airports_cte("stg", "airports2", RUN2_AS_OF),
+        enriched_cte("stg", "airlines2", "airports2", "enriched2"),
+        fact_cte("enriched2", "src2", extra_where=" AND flight_date >= (SELECT max(flight_date) FROM fact1) - 3"),
+        "\nmerged AS (SELECT " + ",\n  ".join(merged_cols)
+        + "\n  FROM fact1 t FULL OUTER JOIN src2 s ON t.flight_id = s.flight_id)",
+        "\nsummary1 AS (" + kpi_select("flight_date") + " FROM fact1 GROUP BY flight_date)",
+        "\nbatch2 AS (" + kpi_select("flight_date")
+        + " FROM merged WHERE flight_date >= (SELECT max(flight_date) FROM summary1) - 7 GROUP BY flight_date)",
+    ]
+    return "WITH " + ",".join(parts) + "\n"
+
+
+def _scd_id(key: str, ts: str) -> str:
+    return (f"md5(concat_ws('-', coalesce(CAST({key} AS VARCHAR), {SENTINEL}), "
+            f"coalesce(CAST(TIMESTAMP '{ts}' AS VARCHAR), {SENTINEL})))")
+
+
+def scd2_ctes(kind: str, name: str = "scd") -> str:
+    """Two SCD2 snapshot runs (as-of SNAP_A1 then SNAP_A2) as CTEs."""
+    if kind == "airline":
+        key, attrs, src = "airline_iata", ["airline_name", "airline_icao"], airlines_cte
+    else:
+        key, attrs, src = "airport_iata", ["airport_name"], airports_cte
+    cols = ", ".join([key, *attrs])
+    changed = " OR ".join(f"t.{a} IS DISTINCT FROM s.{a}" for a in attrs)
+    return ",".join([
+        src("stg", f"{name}_src1", SNAP_A1),
+        src("stg", f"{name}_src2", SNAP_A2),
+        f"""
+{name}_1 AS (
+  SELECT {cols}, {_scd_id(key, SNAP_A1)} AS dbt_scd_id, TIMESTAMP '{SNAP_A1}' AS dbt_updated_at,
+         TIMESTAMP '{SNAP_A1}' AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+  FROM {name}_src1
+),
+{name} AS (
+  SELECT {", ".join("t." + c for c in [key, *attrs])}, t.dbt_scd_id, t.dbt_updated_at, t.dbt_valid_from,
+    CASE WHEN s.{key} IS NOT NULL AND ({changed}) THEN TIMESTAMP '{SNAP_A2}' ELSE t.dbt_valid_to END AS dbt_valid_to
+  FROM {name}_1 t LEFT JOIN {name}_src2 s ON t.{key} = s.{key}
+  UNION ALL
+  SELECT {", ".join("s." + c for c in [key, *attrs])}, {_scd_id("s." + key, SNAP_A2)}, TIMESTAMP '{SNAP_A2}',
+    TIMESTAMP '{SNAP_A2}', CAST(NULL AS TIMESTAMP)
+  FROM {name}_src2 s LEFT JOIN {name}_1 t ON t.{key} = s.{key}
+  WHERE t.{key} IS NULL OR {changed}
+)""",
+    ])
+
+
+def _check_sql(table: str, check) -> str:
+    lit = lambda v: "'" + str(v).replace("'", "''") + "'"
+    head = f"SELECT '{table}' AS table_name, '{check.name}' AS check_name, "
+    if check.kind in ("not_null", "accepted_values", "between"):
+        c = check.columns[0]
+        if check.kind == "not_null":
+            bad = f"{c} IS NULL"
+        elif check.kind == "accepted_values":
+            bad = f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(lit(v) for v in check.values)})"
+        else:
+            bad = f"NOT ({c} >= {check.min_value} AND {c} <= {check.max_value})"
+        if check.row_condition:
+            bad = f"({check.row_condition}) AND ({bad})"
+        return head + f"CAST(COUNT(*) FILTER (WHERE {bad}) AS BIGINT) AS failing_rows FROM {table}"
+    cols = ", ".join(check.columns)
+    where = f" WHERE {check.columns[0]} IS NOT NULL" if check.kind == "unique" else ""
+    return head + (f"CAST(COUNT(*) AS BIGINT) AS failing_rows FROM "
+                   f"(SELECT {cols} FROM {table}{where} GROUP BY {cols} HAVING COUNT(*) > 1)")
+
+
+def quality_sql() -> str:
+    from skyfold.plans.checks import flight_suite
+
+    ctes = [
+        EVENTS_CTE, dates_cte(), airlines_cte(), airports_cte(), enriched_cte(), fact_cte(),
+        "\nstg_flights AS (SELECT * FROM stg)",
+        "\ndim_dates AS (SELECT * FROM dates)",
+        "\nint_flights_enriched AS (SELECT * FROM enriched)",
+        "\nfct_flights AS (SELECT * FROM fact)",
+        """
+gate_usage_summary AS (
+  SELECT gate, airline_iata, airline_name,
+    CAST(COUNT_IF(operation_type = 'departure') AS BIGINT) AS departure_count,
+    CAST(COUNT_IF(operation_type = 'arrival') AS BIGINT) AS arrival_count, CAST(COUNT(*) AS BIGINT) AS total_flight_count
+  FROM (
+    SELECT gate_dep AS gate, operating_airline_iata AS airline_iata, dim_airline_name AS airline_name, 'departure' AS operation_type
+    FROM enriched WHERE gate_dep IS NOT NULL AND carrier_role = 'operating'
+    UNION ALL
+    SELECT gate_arr, operating_airline_iata, dim_airline_name, 'arrival'
+    FROM enriched WHERE gate_arr IS NOT NULL AND carrier_role = 'operating')
+  GROUP BY gate, airline_iata, airline_name)""",
+        "\ndaily_airport_summary AS (" + kpi_select("flight_date") + " FROM fact GROUP BY flight_date)",
+        "\ndaily_airport_operations AS (" + kpi_select("actual_operation_date")
+        + " FROM fact WHERE actual_operation_date IS NOT NULL GROUP BY actual_operation_date)",
+        "\ndaily_airline_summary AS (" + kpi_select("flight_date, airline_iata")
+        + " FROM enriched WHERE airline_iata IS NOT NULL GROUP BY flight_date, airline_iata)",
+        "\ndaily_airline_operations AS (" + kpi_select("actual_operation_date, airline_iata")
+        + " FROM enriched WHERE actual_operation_date IS NOT NULL AND airline_iata IS NOT NULL"
+        + " GROUP BY actual_operation_date, airline_iata)",
+        scd2_ctes("airline", "dim_airlines"),
+        scd2_ctes("airport", "dim_airports"),
+    ]
+    selects = [_check_sql(t, c) for t, checks in flight_suite().tables.items() for c in checks]
+    return "WITH " + ",".join(ctes) + "\n" + "\nUNION ALL\n".join(selects)
+
+
+def oracle_sql_incremental() -> dict[str, str]:
+    q = {}
+    q["fct_flights_two_batches"] = two_runs_with() + "SELECT * FROM merged"
+    q["daily_summary_two_batches"] = two_runs_with() + """SELECT * FROM summary1
+WHERE flight_date NOT IN (SELECT flight_date FROM batch2)
+UNION ALL SELECT * FROM batch2"""
+    q["airline_scd2"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airline") + "\nSELECT * FROM scd"
+    q["airport_scd2"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airport") + "\nSELECT * FROM scd"
+    q["flights_asof_airline"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airline") + """
+SELECT s.flight_id, s.extracted_at, s.airline_iata, v.airline_name AS asof_airline_name, v.airline_icao AS asof_airline_icao
+FROM stg s LEFT JOIN scd v ON s.airline_iata = v.airline_iata AND s.extracted_at >= v.dbt_valid_from
+  AND (v.dbt_valid_to IS NULL OR s.extracted_at < v.dbt_valid_to)"""
+    q["quality_report"] = quality_sql()
     return q

@@ -169,6 +169,88 @@ def q_orders_status_rollup(spark, sf_dir):
     )
 
 
+# -- incremental runs, snapshots, as-of lookup ------------------------------
+BATCH1_BEFORE = "2024-01-20 00:00:00"
+RUN1_AS_OF = "2024-01-19 23:59:59"
+RUN2_AS_OF = "2024-01-30 23:59:59"
+SNAPSHOT_AS_OF = ("2024-01-15 23:59:59", "2024-01-30 23:59:59")
+
+
+def _two_runs(spark, sf_dir):
+    from skyfold.plans import incremental
+
+    stg = _model(spark, sf_dir).stg
+    batch1 = stg.where(F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz"))
+    state1 = incremental.run(batch1, RUN1_AS_OF)
+    return incremental.run(stg, RUN2_AS_OF, previous=state1)
+
+
+def q_fct_flights_two_batches(spark, sf_dir):
+    return _two_runs(spark, sf_dir).fct_flights
+
+
+def q_daily_summary_two_batches(spark, sf_dir):
+    return _two_runs(spark, sf_dir).daily_airport_summary
+
+
+def _airline_snapshots(stg):
+    from skyfold.session import cut_lineage
+
+    snap = None
+    for as_of in SNAPSHOT_AS_OF:
+        src = dims.airline_best_rows(stg, as_of=as_of)
+        snap = cut_lineage(dims.scd2_snapshot(src, "airline_iata", ["airline_name", "airline_icao"], as_of, existing=snap))
+    return snap
+
+
+def q_airline_scd2(spark, sf_dir):
+    return _airline_snapshots(_model(spark, sf_dir).stg)
+
+
+def q_airport_scd2(spark, sf_dir):
+    from skyfold.session import cut_lineage
+
+    stg = _model(spark, sf_dir).stg
+    snap = None
+    for as_of in SNAPSHOT_AS_OF:
+        src = dims.airport_best_rows(stg, as_of=as_of)
+        snap = cut_lineage(dims.scd2_snapshot(src, "airport_iata", ["airport_name"], as_of, existing=snap))
+    return snap
+
+
+def q_flights_asof_airline(spark, sf_dir):
+    from skyfold.operators.joins import asof_version_lookup
+
+    stg = _model(spark, sf_dir).stg
+    versions = checked_broadcast(_airline_snapshots(stg))
+    facts = stg.select("flight_id", "extracted_at", "airline_iata")
+    return asof_version_lookup(
+        facts, versions, "airline_iata", "airline_iata", "extracted_at",
+        {"airline_name": "asof_airline_name", "airline_icao": "asof_airline_icao"},
+    )
+
+
+def q_quality_report(spark, sf_dir):
+    from skyfold.plans.checks import flight_suite
+
+    m = _model(spark, sf_dir)
+    snaps_air = _airline_snapshots(m.stg)
+    frames = {
+        "stg_flights": drop_variants(m.stg),
+        "dim_dates": dims.date_dimension(spark),
+        "int_flights_enriched": drop_variants(m.enriched),
+        "fct_flights": m.fact,
+        "gate_usage_summary": m.gate_usage_summary,
+        "daily_airport_summary": m.daily_airport_summary,
+        "daily_airport_operations": m.daily_airport_operations,
+        "daily_airline_summary": m.daily_airline_summary,
+        "daily_airline_operations": m.daily_airline_operations,
+        "dim_airlines": snaps_air,
+        "dim_airports": q_airport_scd2(spark, sf_dir),
+    }
+    return flight_suite().run(frames)
+
+
 QUERIES: dict[str, Query] = {
     "stg_flights": q_stg_flights,
     "surrogate_key_orders": q_surrogate_key_orders,
@@ -199,6 +281,12 @@ QUERIES: dict[str, Query] = {
     "lineitem_duplicates": q_lineitem_duplicates,
     "customer_geo": q_customer_geo,
     "orders_status_rollup": q_orders_status_rollup,
+    "fct_flights_two_batches": q_fct_flights_two_batches,
+    "daily_summary_two_batches": q_daily_summary_two_batches,
+    "airline_scd2": q_airline_scd2,
+    "airport_scd2": q_airport_scd2,
+    "flights_asof_airline": q_flights_asof_airline,
+    "quality_report": q_quality_report,
 }
 
 
