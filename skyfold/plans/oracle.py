@@ -476,4 +476,13 @@ SELECT s.flight_id, s.extracted_at, s.airline_iata, v.airline_name AS asof_airli
 FROM stg s LEFT JOIN scd v ON s.airline_iata = v.airline_iata AND s.extracted_at >= v.dbt_valid_from
   AND (v.dbt_valid_to IS NULL OR s.extracted_at < v.dbt_valid_to)"""
     q["quality_report"] = quality_sql()
+    q["ingest_stream"] = "WITH " + EVENTS_CTE + "\nSELECT " + STG_COLUMNS.replace(
+        "extracted_at,", "CAST(date_trunc('day', extracted_at) AS TIMESTAMP) AS extracted_at,", 1
+    ) + " FROM stg"
+    q["airline_reference"] = "WITH " + EVENTS_CTE + "," + airlines_cte() + """
+SELECT CAST(ascii(substr(airline_iata, 1, 1)) * 100 + TRY_CAST(substr(airline_iata, 2, 8) AS INTEGER) AS INTEGER) AS airline_id,
+  airline_name, CAST(NULL AS VARCHAR) AS alias, airline_iata AS iata, airline_icao AS icao,
+  CAST(NULL AS VARCHAR) AS callsign, 'Country, Land' AS country,
+  CASE WHEN airline_iata LIKE 'A%' THEN 'Y' ELSE 'N' END AS active
+FROM airlines"""
     return q

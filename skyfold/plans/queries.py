@@ -251,6 +251,50 @@ def q_quality_report(spark, sf_dir):
     return flight_suite().run(frames)
 
 
+# -- ingest and seeds ----------------------------------------------------------
+def q_ingest_stream(spark, sf_dir):
+    """Events → landing folders (one per direction and extract day) →
+    streaming ingest (availableNow, archive, checkpoint) → staging rows."""
+    from skyfold.session import scratch_path
+    from skyfold.sources.fixtures import raw_json_text_from_events
+    from skyfold.sources.landing import write_landing
+    from skyfold.streaming.ingest import ingest_available, read_raw
+    from skyfold.operators.flatten import flatten_flights
+
+    base = scratch_path(spark, "ingest")
+    records = raw_json_text_from_events(read_table(spark, sf_dir, "events")).withColumn(
+        "extracted_at", F.date_trunc("day", "extracted_at").cast("timestamp_ntz")
+    )
+    write_landing(records, f"{base}/landing")
+    ingest_available(
+        spark, f"{base}/landing", f"{base}/raw", f"{base}/_checkpoint", "HUB",
+        reject_path=f"{base}/rejects", archive_dir=f"{base}/archive",
+    )
+    return drop_variants(flatten_flights(read_raw(spark, f"{base}/raw")))
+
+
+def q_airline_reference(spark, sf_dir):
+    """Airline reference file written from the observed airlines (with
+    sentinels and a malformed 7-column line per airline), read back and
+    cleaned (S10)."""
+    from skyfold.session import scratch_path
+    from skyfold.sources.seeds import read_airline_reference
+
+    best = dims.airline_best_rows(_model(spark, sf_dir).stg)
+    airline_id = F.ascii(F.substring("airline_iata", 1, 1)) * 100 + F.substring("airline_iata", 2, 8).try_cast("int")
+    good = F.concat_ws(
+        ",", airline_id.cast("string"), F.concat(F.lit('"'), F.coalesce("airline_name", F.lit("\\N")), F.lit('"')),
+        F.lit("\\N"), F.col("airline_iata"), F.coalesce("airline_icao", F.lit("-")), F.lit(" - "),
+        F.lit('"Country, Land"'), F.when(F.col("airline_iata").startswith("A"), "y").otherwise("n"),
+    )
+    bad = F.concat_ws(",", airline_id.cast("string"), F.col("airline_iata"), F.lit("x"), F.lit("x"), F.lit("x"),
+                      F.lit("x"), F.lit("x"))
+    lines = best.select(F.explode(F.array(good, bad)).alias("value"))
+    path = scratch_path(spark, "airline_reference")
+    lines.write.text(path)
+    return read_airline_reference(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "stg_flights": q_stg_flights,
     "surrogate_key_orders": q_surrogate_key_orders,
@@ -287,6 +331,8 @@ QUERIES: dict[str, Query] = {
     "airport_scd2": q_airport_scd2,
     "flights_asof_airline": q_flights_asof_airline,
     "quality_report": q_quality_report,
+    "ingest_stream": q_ingest_stream,
+    "airline_reference": q_airline_reference,
 }
 
 
