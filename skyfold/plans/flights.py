@@ -70,18 +70,40 @@ def land_flights(raw: DataFrame, path: str) -> None:
     write_table(stg.sortWithinPartitions("flight_date"), f"{path}/stg")
 
 
-def landed_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(raw, staging) of ``sf_dir``, landed once per Spark application in
-    the shared checkpoint folder and read back from parquet afterwards."""
+def landed_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the landed flight tables of ``sf_dir`` (landed once per
+    Spark application in the shared checkpoint folder)."""
     key = (id(spark.sparkContext), sf_dir)
     if key not in _LANDED:
         path = scratch_path(spark, "flights")
         land_flights(raw_flights(spark, sf_dir), path)
         _LANDED[key] = path
-    path = _LANDED[key]
+    return _LANDED[key]
+
+
+def landed_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(raw, staging) of ``sf_dir`` read back from parquet."""
+    path = landed_path(spark, sf_dir)
     return spark.read.parquet(f"{path}/raw"), spark.read.parquet(f"{path}/stg")
 
 
+_DIMS_BUILT: set[str] = set()
+
+
+def snapshot_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Current airline / airport dimension tables of the landed flights.
+
+    Like the reference's snapshot step, they are built once per run (one
+    aggregation over staging each) and stored; every model reads them."""
+    path = landed_path(spark, sf_dir)
+    if path not in _DIMS_BUILT:
+        stg = spark.read.parquet(f"{path}/stg")
+        write_table(dims.airline_best_rows(stg), f"{path}/dim_airlines_current")
+        write_table(dims.airport_best_rows(stg), f"{path}/dim_airports_current")
+        _DIMS_BUILT.add(path)
+    return (spark.read.parquet(f"{path}/dim_airlines_current"), spark.read.parquet(f"{path}/dim_airports_current"))
+
+
 def operating_latest(stg_or_enriched: DataFrame) -> DataFrame:
     """Operating rows, latest extract per ``flight_id`` (F2 + W1)."""
     ops = stg_or_enriched.where(F.col("carrier_role") == "operating")
@@ -95,11 +117,19 @@ class FlightModel:
     dimensions so their size can be checked and they are computed once.
     """
 
-    def __init__(self, spark: SparkSession, stg: DataFrame, raw: DataFrame | None = None, materialize_dims: bool = True):
+    def __init__(
+        self,
+        spark: SparkSession,
+        stg: DataFrame,
+        raw: DataFrame | None = None,
+        materialize_dims: bool = True,
+        dim_tables: tuple[DataFrame, DataFrame] | None = None,
+    ):
         self.spark = spark
         self.stg = stg
         self.raw = raw
         self.materialize_dims = materialize_dims
+        self.dim_tables = dim_tables
 
     @classmethod
     def from_raw(cls, raw: DataFrame, **kw) -> FlightModel:
@@ -109,22 +139,26 @@ class FlightModel:
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> FlightModel:
         raw, stg = landed_flights(spark, sf_dir)
-        return cls(spark, stg, raw=raw, **kw)
+        return cls(spark, stg, raw=raw, dim_tables=snapshot_tables(spark, sf_dir), **kw)
 
     # -- dimensions --------------------------------------------------------
-    def _dim(self, df: DataFrame) -> DataFrame:
+    def _dim(self, df: DataFrame, label: str) -> DataFrame:
         if self.materialize_dims:
-            return checked_broadcast(cut_lineage(df))
+            return checked_broadcast(cut_lineage(df, label))
         return df
 
     @cached_property
     def airlines(self) -> DataFrame:
         """Current airline versions (airline_iata, airline_name, airline_icao)."""
-        return self._dim(dims.airline_best_rows(self.stg))
+        if self.dim_tables is not None:
+            return checked_broadcast(self.dim_tables[0])
+        return self._dim(dims.airline_best_rows(self.stg), "dim_airlines")
 
     @cached_property
     def airports(self) -> DataFrame:
-        return self._dim(dims.airport_best_rows(self.stg))
+        if self.dim_tables is not None:
+            return checked_broadcast(self.dim_tables[1])
+        return self._dim(dims.airport_best_rows(self.stg), "dim_airports")
 
     @cached_property
     def dates(self) -> DataFrame:

@@ -33,6 +33,9 @@ from skyfold.operators.materialize import (
     high_water_mark,
     is_empty,
     merge_upsert,
+    overwrite_partitions,
+    table_exists,
+    write_table,
 )
 from skyfold.plans.flights import (
     FACT_LOOKBACK_DAYS,
@@ -91,7 +94,7 @@ def snapshot_dims(stg: DataFrame, as_of: str, previous: FlightState | None) -> t
         as_of,
         existing=previous.dim_airports if previous else None,
     )
-    return cut_lineage(airlines), cut_lineage(airports)
+    return airlines, airports
 
 
 def fact_rows(model: FlightModel, target: DataFrame | None) -> DataFrame:
@@ -103,15 +106,65 @@ def fact_rows(model: FlightModel, target: DataFrame | None) -> DataFrame:
     return model.enrich(operating_latest(stg)).select(*FCT_COLUMNS)
 
 
+def merge_fact_window(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """MERGE restricted to the look-back dates of the target: the merged
+    rows of every date >= max(flight_date) - 3 (flight_id determines
+    flight_date, so no key of ``rows`` lives in an older date)."""
+    hw = high_water_mark(target, "flight_date")
+    window = target.where(F.col("flight_date") >= F.date_sub(hw, FACT_LOOKBACK_DAYS))
+    return merge_upsert(window, rows, ["flight_id"], FCT_UPDATE_COLUMNS)
+
+
 def merge_fact(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """MERGE restricted to the look-back dates of the target; older dates
-    pass through unchanged (flight_id determines flight_date)."""
+    """Whole new fact: older dates pass through, look-back dates merged."""
     hw = high_water_mark(target, "flight_date")
-    cutoff = F.date_sub(hw, FACT_LOOKBACK_DAYS)
-    old = target.where(F.col("flight_date") < cutoff)
-    window = target.where(F.col("flight_date") >= cutoff)
-    merged = merge_upsert(window, rows, ["flight_id"], FCT_UPDATE_COLUMNS)
-    return old.unionByName(merged)
+    old = target.where(F.col("flight_date") < F.date_sub(hw, FACT_LOOKBACK_DAYS))
+    return old.unionByName(merge_fact_window(target, rows))
+
+
+class FlightStore:
+    """Physical tables of the incremental model under ``root``.
+
+    ``fct_flights`` is partitioned by ``flight_date``: an incremental run
+    rewrites only the look-back dates (dynamic partition overwrite of a
+    checkpointed slice, so the write never reads its own target). The
+    small ``daily_airport_summary`` is rewritten whole into a new version
+    folder. Snapshots are new version folders too.
+    """
+
+    def __init__(self, spark, root: str, files_per_date: int = 4):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.files_per_date = files_per_date
+        self.version = 0
+
+    @property
+    def fact_path(self) -> str:
+        return f"{self.root}/fct_flights"
+
+    def read_fact(self) -> DataFrame:
+        return self.spark.read.parquet(self.fact_path).select(*FCT_COLUMNS)
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        # one hot date is written by several tasks, never by one
+        return df.repartition(F.col("flight_date"), F.pmod(F.xxhash64("flight_id"), F.lit(self.files_per_date)))
+
+    def write_fact(self, df: DataFrame) -> DataFrame:
+        write_table(self._spread(df), self.fact_path, ["flight_date"])
+        return self.read_fact()
+
+    def write_fact_dates(self, df: DataFrame) -> DataFrame:
+        overwrite_partitions(self._spread(df), self.fact_path, ["flight_date"])
+        return self.read_fact()
+
+    def new_version(self, df: DataFrame, name: str) -> DataFrame:
+        self.version += 1
+        path = f"{self.root}/{name}/v{self.version:05d}"
+        write_table(df, path)
+        return self.spark.read.parquet(path).select(*df.columns)
+
+    def has_fact(self) -> bool:
+        return table_exists(self.spark, self.fact_path)
 
 
 def summary_rows(fact: DataFrame, target: DataFrame | None) -> DataFrame:
@@ -122,20 +175,39 @@ def summary_rows(fact: DataFrame, target: DataFrame | None) -> DataFrame:
     return kpi.flight_kpis(src, ["flight_date"])
 
 
-def run(stg: DataFrame, as_of: str, previous: FlightState | None = None, full_refresh: bool = False) -> FlightState:
-    """One scheduled run over the staging relation as of ``as_of``."""
+def run(
+    stg: DataFrame,
+    as_of: str,
+    previous: FlightState | None = None,
+    full_refresh: bool = False,
+    store: FlightStore | None = None,
+) -> FlightState:
+    """One scheduled run over the staging relation as of ``as_of``.
+
+    With a ``store`` the tables are written there (the production path);
+    without, each state is cut from its lineage into the checkpoint folder.
+    """
     prev = None if full_refresh else previous
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return store.new_version(df, name) if store else cut_lineage(df, name)
+
     airlines, airports = snapshot_dims(stg, as_of, prev)
+    airlines, airports = keep(airlines, "dim_airlines"), keep(airports, "dim_airports")
     model = SnapshotModel(stg, airlines, airports)
 
     first = prev is None or is_empty(prev.fct_flights)  # D21: empty target = first build
     if first:
         fact = model.fact.select(*FCT_COLUMNS)
+        fact = store.write_fact(fact) if store else cut_lineage(fact, "fct_flights")
     else:
         rows = fact_rows(model, prev.fct_flights)
         check_schema(rows, prev.fct_flights)  # on_schema_change='fail'
-        fact = merge_fact(prev.fct_flights, rows)
-    fact = cut_lineage(fact)
+        if store:
+            window = cut_lineage(merge_fact_window(prev.fct_flights, rows), "fct_window")
+            fact = store.write_fact_dates(window)
+        else:
+            fact = cut_lineage(merge_fact(prev.fct_flights, rows), "fct_flights")
 
     if first or is_empty(prev.daily_airport_summary):
         summary = summary_rows(fact, None)
@@ -143,5 +215,5 @@ def run(stg: DataFrame, as_of: str, previous: FlightState | None = None, full_re
         batch = summary_rows(fact, prev.daily_airport_summary)
         check_schema(batch, prev.daily_airport_summary)
         summary = delete_insert(prev.daily_airport_summary, batch, ["flight_date"])
-    summary = cut_lineage(summary)
+    summary = keep(summary, "daily_airport_summary")
     return FlightState(airlines, airports, fact, summary)

@@ -179,10 +179,13 @@ SNAPSHOT_AS_OF = ("2024-01-15 23:59:59", "2024-01-30 23:59:59")
 def _two_runs(spark, sf_dir):
     from skyfold.plans import incremental
 
+    from skyfold.session import scratch_path
+
     stg = _model(spark, sf_dir).stg
+    store = incremental.FlightStore(spark, scratch_path(spark, "warehouse"))
     batch1 = stg.where(F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz"))
-    state1 = incremental.run(batch1, RUN1_AS_OF)
-    return incremental.run(stg, RUN2_AS_OF, previous=state1)
+    state1 = incremental.run(batch1, RUN1_AS_OF, store=store)
+    return incremental.run(stg, RUN2_AS_OF, previous=state1, store=store)
 
 
 def q_fct_flights_two_batches(spark, sf_dir):
@@ -199,7 +202,9 @@ def _airline_snapshots(stg):
     snap = None
     for as_of in SNAPSHOT_AS_OF:
         src = dims.airline_best_rows(stg, as_of=as_of)
-        snap = cut_lineage(dims.scd2_snapshot(src, "airline_iata", ["airline_name", "airline_icao"], as_of, existing=snap))
+        snap = cut_lineage(
+            dims.scd2_snapshot(src, "airline_iata", ["airline_name", "airline_icao"], as_of, existing=snap), "dim_airlines"
+        )
     return snap
 
 
@@ -214,7 +219,7 @@ def q_airport_scd2(spark, sf_dir):
     snap = None
     for as_of in SNAPSHOT_AS_OF:
         src = dims.airport_best_rows(stg, as_of=as_of)
-        snap = cut_lineage(dims.scd2_snapshot(src, "airport_iata", ["airport_name"], as_of, existing=snap))
+        snap = cut_lineage(dims.scd2_snapshot(src, "airport_iata", ["airport_name"], as_of, existing=snap), "dim_airports")
     return snap
 
 

@@ -61,11 +61,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a
-    local checkpoint: executors may be lost)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: the lineage is cut with one job (``Dataset.checkpoint``
+    would compute an unpersisted plan twice), the result survives lost
+    executors, and later readers get file statistics. Never a local
+    checkpoint."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def is_local_path(path: str) -> bool:
