@@ -104,10 +104,15 @@ def snapshot_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return (spark.read.parquet(f"{path}/dim_airlines_current"), spark.read.parquet(f"{path}/dim_airports_current"))
 
 
+# Ties on extracted_at (two records of one flight in one extract) are
+# decided by the mutable columns, latest-looking status first.
+FACT_TIE_BREAKERS = ["flight_status", "actual_arr", "actual_dep"]
+
+
 def operating_latest(stg_or_enriched: DataFrame) -> DataFrame:
     """Operating rows, latest extract per ``flight_id`` (F2 + W1)."""
     ops = stg_or_enriched.where(F.col("carrier_role") == "operating")
-    return latest_per_key(ops, ["flight_id"], "extracted_at")
+    return latest_per_key(ops, ["flight_id"], "extracted_at", *[F.col(c) for c in FACT_TIE_BREAKERS])
 
 
 class FlightModel:
