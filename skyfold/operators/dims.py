@@ -61,6 +61,21 @@ def date_spine_covering(df: DataFrame, *date_cols: str) -> DataFrame:
     return bounds.select(F.explode(F.sequence("lo", "hi")).alias("date_day"))
 
 
+# Best-row rankings (D13): non-NULL first, then the latest extract, then the values.
+def airline_rank() -> list[Column]:
+    return [
+        F.col("airline_name").isNotNull(),
+        F.col("airline_icao").isNotNull(),
+        F.col("extracted_at"),
+        F.col("airline_name"),
+        F.col("airline_icao"),
+    ]
+
+
+def airport_rank() -> list[Column]:
+    return [F.col("airport_name").isNotNull(), F.col("extracted_at"), F.col("airport_name")]
+
+
 def airline_best_rows(stg: DataFrame, as_of: str | None = None) -> DataFrame:
     """One row per airline IATA: non-NULL name first, then non-NULL ICAO, then
     the latest extract, then name and ICAO (W2 + D13)."""
@@ -68,17 +83,7 @@ def airline_best_rows(stg: DataFrame, as_of: str | None = None) -> DataFrame:
     if as_of is not None:
         src = src.where(F.col("extracted_at") <= F.lit(as_of).cast("timestamp_ntz"))
     src = src.select("airline_iata", "airline_name", "airline_icao", "extracted_at")
-    best = top1_per_key(
-        src,
-        ["airline_iata"],
-        [
-            F.col("airline_name").isNotNull(),
-            F.col("airline_icao").isNotNull(),
-            F.col("extracted_at"),
-            F.col("airline_name"),
-            F.col("airline_icao"),
-        ],
-    )
+    best = top1_per_key(src, ["airline_iata"], airline_rank())
     return best.select("airline_iata", "airline_name", "airline_icao")
 
 
@@ -104,11 +109,7 @@ def airport_best_rows(stg: DataFrame, as_of: str | None = None) -> DataFrame:
     if as_of is not None:
         src = src.where(F.col("extracted_at") <= F.lit(as_of).cast("timestamp_ntz"))
     obs = airport_observations(src)
-    best = top1_per_key(
-        obs,
-        ["airport_iata"],
-        [F.col("airport_name").isNotNull(), F.col("extracted_at"), F.col("airport_name")],
-    )
+    best = top1_per_key(obs, ["airport_iata"], airport_rank())
     return best.select("airport_iata", "airport_name")
 
 

@@ -72,3 +72,23 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def canonical_airline_lookup(
+    facts: DataFrame,
+    reference: DataFrame,
+    fact_key: str = "airline_iata",
+    columns: dict[str, str] | None = None,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """LEFT join to the airline reference seed by IATA, active rows only.
+
+    The reference can list several active airlines under one IATA code; the
+    lowest ``airline_id`` is kept so the fact row count never changes.
+    """
+    from skyfold.operators.dedupe import top1_per_key
+
+    cols = columns or {"airline_name": "ref_airline_name", "country": "ref_country"}
+    active = reference.where((F.col("active") == "Y") & F.col("iata").isNotNull())
+    one = top1_per_key(active.select("iata", "airline_id", *cols), ["iata"], [-F.col("airline_id")])
+    return lookup(facts, checked_broadcast(one, max_rows), fact_key, "iata", cols)

@@ -108,8 +108,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write a table version (S13). ``path`` must not be read by ``df``."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    sort_by: Sequence[str] = (),
+    files: int | None = None,
+) -> None:
+    """Write a table version (S13). ``path`` must not be read by ``df``.
+
+    ``sort_by`` stores the table ordered (O1): range-partitioned on the sort
+    keys (sampled boundaries, so a hot key does not land in one task more
+    than its share) and sorted within each file, so readers get pruning
+    min/max statistics and an ordered scan without a global sort at read.
+    """
+    if sort_by:
+        df = df.repartitionByRange(files, *sort_by) if files else df.repartitionByRange(*sort_by)
+        df = df.sortWithinPartitions(*sort_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

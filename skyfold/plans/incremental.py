@@ -55,6 +55,8 @@ class FlightState:
     dim_airports: DataFrame
     fct_flights: DataFrame
     daily_airport_summary: DataFrame
+    airline_best: DataFrame | None = None
+    airport_best: DataFrame | None = None
 
 
 class SnapshotModel(FlightModel):
@@ -78,17 +80,46 @@ class SnapshotModel(FlightModel):
         return self._airports
 
 
-def snapshot_dims(stg: DataFrame, as_of: str, previous: FlightState | None) -> tuple[DataFrame, DataFrame]:
+AIRLINE_OBS = ["airline_iata", "airline_name", "airline_icao", "extracted_at"]
+AIRPORT_OBS = ["airport_iata", "airport_name", "extracted_at"]
+
+
+def best_observations(stg: DataFrame, as_of: str, previous: FlightState | None,
+                      new_rows: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Best airline / airport observation per key, with its extract time.
+
+    The ranking is a total order, so the best of all history equals the
+    best of (previous best ∪ new rows): with ``new_rows`` a run reads only
+    the new rows and the small previous best, never the whole history."""
+    src = new_rows if (new_rows is not None and previous is not None and previous.airline_best is not None) else stg
+    src = src.where(F.col("extracted_at") <= F.lit(as_of).cast("timestamp_ntz"))
+    air = src.where(F.col("airline_iata").isNotNull()).select(*AIRLINE_OBS)
+    apt = dims.airport_observations(src).select(*AIRPORT_OBS)
+    if src is new_rows:
+        air = air.unionByName(previous.airline_best)
+        apt = apt.unionByName(previous.airport_best)
+    air_best = dims.top1_per_key(air, ["airline_iata"], dims.airline_rank())
+    apt_best = dims.top1_per_key(apt, ["airport_iata"], dims.airport_rank())
+    return air_best, apt_best
+
+
+def snapshot_dims(stg: DataFrame, as_of: str, previous: FlightState | None,
+                  best: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Run both SCD2 snapshots at ``as_of`` (before enrichment, D25)."""
+    if best is not None:
+        air_src = best[0].select("airline_iata", "airline_name", "airline_icao")
+        apt_src = best[1].select("airport_iata", "airport_name")
+    else:
+        air_src, apt_src = dims.airline_best_rows(stg, as_of=as_of), dims.airport_best_rows(stg, as_of=as_of)
     airlines = dims.scd2_snapshot(
-        dims.airline_best_rows(stg, as_of=as_of),
+        air_src,
         "airline_iata",
         ["airline_name", "airline_icao"],
         as_of,
         existing=previous.dim_airlines if previous else None,
     )
     airports = dims.scd2_snapshot(
-        dims.airport_best_rows(stg, as_of=as_of),
+        apt_src,
         "airport_iata",
         ["airport_name"],
         as_of,
@@ -166,6 +197,20 @@ class FlightStore:
     def has_fact(self) -> bool:
         return table_exists(self.spark, self.fact_path)
 
+    @property
+    def staging_path(self) -> str:
+        return f"{self.root}/stg_flights"
+
+    def append_staging(self, stg_batch: DataFrame, batch_id: int) -> DataFrame:
+        """Append flattened rows under ``batch_id`` (a retried batch
+        overwrites its own folder), sorted by date for min/max pruning."""
+        path = f"{self.staging_path}/batch_id={batch_id}"
+        write_table(stg_batch.sortWithinPartitions("flight_date"), path)
+        return self.spark.read.parquet(path)
+
+    def read_staging(self) -> DataFrame:
+        return self.spark.read.parquet(self.staging_path).drop("batch_id")
+
 
 def summary_rows(fact: DataFrame, target: DataFrame | None) -> DataFrame:
     src = fact
@@ -181,6 +226,7 @@ def run(
     previous: FlightState | None = None,
     full_refresh: bool = False,
     store: FlightStore | None = None,
+    new_rows: DataFrame | None = None,
 ) -> FlightState:
     """One scheduled run over the staging relation as of ``as_of``.
 
@@ -192,7 +238,9 @@ def run(
     def keep(df: DataFrame, name: str) -> DataFrame:
         return store.new_version(df, name) if store else cut_lineage(df, name)
 
-    airlines, airports = snapshot_dims(stg, as_of, prev)
+    air_best, apt_best = best_observations(stg, as_of, prev, new_rows)
+    air_best, apt_best = keep(air_best, "airline_best"), keep(apt_best, "airport_best")
+    airlines, airports = snapshot_dims(stg, as_of, prev, (air_best, apt_best))
     airlines, airports = keep(airlines, "dim_airlines"), keep(airports, "dim_airports")
     model = SnapshotModel(stg, airlines, airports)
 
@@ -216,4 +264,4 @@ def run(
         check_schema(batch, prev.daily_airport_summary)
         summary = delete_insert(prev.daily_airport_summary, batch, ["flight_date"])
     summary = keep(summary, "daily_airport_summary")
-    return FlightState(airlines, airports, fact, summary)
+    return FlightState(airlines, airports, fact, summary, air_best, apt_best)

@@ -485,4 +485,20 @@ SELECT CAST(ascii(substr(airline_iata, 1, 1)) * 100 + TRY_CAST(substr(airline_ia
   CAST(NULL AS VARCHAR) AS callsign, 'Country, Land' AS country,
   CASE WHEN airline_iata LIKE 'A%' THEN 'Y' ELSE 'N' END AS active
 FROM airlines"""
+    q["airline_canonical"] = "WITH " + EVENTS_CTE + "," + airlines_cte() + """,
+ref AS (
+  SELECT CAST(ascii(substr(airline_iata, 1, 1)) * 100 + TRY_CAST(substr(airline_iata, 2, 8) AS INTEGER) AS INTEGER) AS airline_id,
+    airline_iata AS iata, airline_name, 'Country, Land' AS country,
+    CASE WHEN airline_iata LIKE 'A%' THEN 'Y' ELSE 'N' END AS active
+  FROM airlines),
+ref1 AS (SELECT * FROM ref WHERE active = 'Y' AND iata IS NOT NULL
+         QUALIFY ROW_NUMBER() OVER (PARTITION BY iata ORDER BY airline_id) = 1)
+SELECT s.flight_id, s.extracted_at, s.airline_iata, r.airline_name AS ref_airline_name, r.country AS ref_country
+FROM stg s LEFT JOIN ref1 r ON s.airline_iata = r.iata"""
+    q["stream_upsert"] = two_runs_with() + "SELECT flight_id, flight_date, direction FROM merged"
+    q["unexpected_statuses"] = "WITH " + EVENTS_CTE + """
+SELECT flight_status, CAST(COUNT(*) AS BIGINT) AS rows FROM stg
+WHERE flight_status IS NOT NULL AND flight_status NOT IN
+  ('scheduled', 'active', 'landed', 'actual', 'cancelled', 'canceled', 'incident', 'diverted', '')
+GROUP BY flight_status"""
     return q

@@ -278,7 +278,7 @@ def q_ingest_stream(spark, sf_dir):
     return drop_variants(flatten_flights(read_raw(spark, f"{base}/raw")))
 
 
-def q_airline_reference(spark, sf_dir):
+def _airline_reference(spark, sf_dir):
     """Airline reference file written from the observed airlines (with
     sentinels and a malformed 7-column line per airline), read back and
     cleaned (S10)."""
@@ -300,6 +300,49 @@ def q_airline_reference(spark, sf_dir):
     return read_airline_reference(spark, path)
 
 
+def q_airline_reference(spark, sf_dir):
+    return _airline_reference(spark, sf_dir)
+
+
+def q_airline_canonical(spark, sf_dir):
+    """Flights with the canonical airline of the reference seed."""
+    from skyfold.operators.joins import canonical_airline_lookup
+
+    flights = _model(spark, sf_dir).stg.select("flight_id", "extracted_at", "airline_iata")
+    return canonical_airline_lookup(flights, _airline_reference(spark, sf_dir))
+
+
+def q_unexpected_statuses(spark, sf_dir):
+    """Status values outside the accepted list, with counts."""
+    from skyfold.operators.quality import unexpected_values
+    from skyfold.plans.checks import STATUSES
+
+    return unexpected_values(_model(spark, sf_dir).stg, "flight_status", STATUSES)
+
+
+def q_stream_upsert(spark, sf_dir):
+    """Two scheduled runs of the streaming upsert (R2): extracts before
+    2024-01-20 land and are drained, then the rest. Extract times come
+    from the landing names (one per direction and day), so the flight keys
+    are the deterministic output: (flight_id, flight_date, direction)."""
+    from skyfold.plans.incremental import FlightStore
+    from skyfold.session import scratch_path
+    from skyfold.sources.fixtures import raw_json_text_from_events
+    from skyfold.sources.landing import write_landing
+    from skyfold.streaming.ingest import upsert_stream
+
+    base = scratch_path(spark, "stream_upsert")
+    records = raw_json_text_from_events(read_table(spark, sf_dir, "events"))
+    first = F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz")
+    day = F.date_trunc("day", "extracted_at").cast("timestamp_ntz")
+    store = FlightStore(spark, f"{base}/warehouse")
+    state = None
+    for batch in (records.where(first), records.where(~first)):  # two scheduled runs
+        write_landing(batch.withColumn("extracted_at", day), f"{base}/landing")
+        state = upsert_stream(spark, f"{base}/landing", store, f"{base}/_checkpoint", "HUB", previous=state)
+    return state.fct_flights.select("flight_id", "flight_date", "direction")
+
+
 QUERIES: dict[str, Query] = {
     "stg_flights": q_stg_flights,
     "surrogate_key_orders": q_surrogate_key_orders,
@@ -338,6 +381,9 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "ingest_stream": q_ingest_stream,
     "airline_reference": q_airline_reference,
+    "airline_canonical": q_airline_canonical,
+    "unexpected_statuses": q_unexpected_statuses,
+    "stream_upsert": q_stream_upsert,
 }
 
 

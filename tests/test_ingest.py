@@ -101,3 +101,25 @@ def test_airline_reference_cleaning(spark):
 def test_capacity_seed(spark):
     r = gate_capacity(spark).first()
     assert (r.gate_count, r.runway_count, r.operating_hours_start, r.operating_hours_end) == (11, 2, "06:45", "23:00")
+
+
+def test_upsert_stream_two_runs_keep_keys(spark, tmp_dir):
+    from skyfold.plans.incremental import FlightStore
+    from skyfold.streaming.ingest import upsert_stream
+
+    land = os.path.join(tmp_dir, "landing")
+    rec = ('{"flight_date":"%s","flight_status":"%s","flight":{"iata":"AC1"},"departure":{"iata":"HUB",'
+           '"scheduled":"%sT10:00:00-05:00"},"arrival":{"iata":"P1","scheduled":"%sT11:00:00-05:00"},'
+           '"airline":{"iata":"AC","name":"Air C"}}')
+    store = FlightStore(spark, os.path.join(tmp_dir, "wh"))
+    _write(f"{land}/flights_departure_20260501_060000.json", rec % ("2026-05-01", "scheduled", "2026-05-01", "2026-05-01") + "\n")
+    s1 = upsert_stream(spark, land, store, os.path.join(tmp_dir, "ck"), "HUB")
+    assert s1.fct_flights.first().flight_status == "scheduled"
+    # later extract: same flight landed (update), plus a flight 10 days older than the stored max (ignored)
+    _write(f"{land}/flights_departure_20260502_060000.json",
+           rec % ("2026-05-01", "landed", "2026-05-01", "2026-05-01") + "\n"
+           + (rec % ("2026-04-20", "landed", "2026-04-20", "2026-04-20")).replace("AC1", "AC2") + "\n")
+    s2 = upsert_stream(spark, land, store, os.path.join(tmp_dir, "ck"), "HUB", previous=s1)
+    rows = s2.fct_flights.collect()
+    assert [(r.flight_iata, r.flight_status) for r in rows] == [("AC1", "landed")]
+    assert store.read_staging().count() == 3
