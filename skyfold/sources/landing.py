@@ -23,38 +23,51 @@ UNKNOWN_DIRECTION = "UNKNOWN"
 RAW_SCHEMA = "raw_json VARIANT, extracted_at TIMESTAMP_NTZ, direction STRING, target_airport STRING"
 
 
-def _match(segment: Column, group: int) -> Column:
-    return F.regexp_extract(segment, NAME_PATTERN, group)
-
-
-def landing_metadata(file_path: Column, now: Column | None = None) -> tuple[Column, Column]:
-    """(direction, extracted_at) from a landing path.
+def with_landing_metadata(df: DataFrame, path_col: Column, now: Column | None = None) -> DataFrame:
+    """Add ``direction`` and ``extracted_at`` parsed from a landing path.
 
     Case-insensitive; direction upper-cased; the timestamp is assembled from
     the two digit groups. No match → (``UNKNOWN``, ``now``), where ``now``
     defaults to the local current timestamp (pass one in for tests, H9).
+    Written as stacked projections so that each regular expression runs
+    once per row (a nested expression would re-evaluate them per use).
     """
-    name = F.regexp_extract(file_path, r"([^/]+)$", 1)
-    parent = F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1)
-    seg = F.when(_match(name, 1) != "", name).otherwise(parent)
-    direction_raw = _match(seg, 1)
-    stamp = F.concat(_match(seg, 2), _match(seg, 3))
-    ts = F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
-    matched = direction_raw != ""
-    now_col = now if now is not None else F.localtimestamp()
-    direction = F.when(matched, F.upper(direction_raw)).otherwise(F.lit(UNKNOWN_DIRECTION))
-    extracted_at = F.when(matched & ts.isNotNull(), ts).otherwise(now_col.cast("timestamp_ntz"))
-    return direction, extracted_at
+    now_col = (now if now is not None else F.localtimestamp()).cast("timestamp_ntz")
+    step = df.withColumns(
+        {
+            "_name": F.substring_index(path_col, "/", -1),
+            "_parent": F.substring_index(F.substring_index(path_col, "/", -2), "/", 1),
+        }
+    )
+    step = step.withColumn("_seg", F.when(F.col("_name").rlike(NAME_PATTERN), F.col("_name")).otherwise(F.col("_parent")))
+    step = step.withColumns(
+        {
+            "_dir": F.regexp_extract("_seg", NAME_PATTERN, 1),
+            "_stamp": F.concat(F.regexp_extract("_seg", NAME_PATTERN, 2), F.regexp_extract("_seg", NAME_PATTERN, 3)),
+        }
+    )
+    step = step.withColumn("_ts", F.try_to_timestamp(F.col("_stamp"), F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz"))
+    matched = F.col("_dir") != ""
+    return step.withColumns(
+        {
+            "direction": F.when(matched, F.upper("_dir")).otherwise(F.lit(UNKNOWN_DIRECTION)),
+            "extracted_at": F.when(matched & F.col("_ts").isNotNull(), F.col("_ts")).otherwise(now_col),
+        }
+    ).drop("_name", "_parent", "_seg", "_dir", "_stamp", "_ts")
 
 
 def to_raw(lines: DataFrame, target_airport: str, now: Column | None = None) -> DataFrame:
     """Text lines + ``_metadata`` → raw rows (S1, S3). Unparsable JSON gives
     a NULL ``raw_json``; blank lines are dropped."""
-    direction, extracted_at = landing_metadata(F.col("_metadata.file_path"), now)
-    return lines.where(F.trim("value") != "").select(
+    tagged = with_landing_metadata(
+        lines.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("_path")),
+        F.col("_path"),
+        now,
+    )
+    return tagged.select(
         F.try_parse_json("value").alias("raw_json"),
-        extracted_at.alias("extracted_at"),
-        direction.alias("direction"),
+        "extracted_at",
+        "direction",
         F.lit(target_airport).alias("target_airport"),
         F.col("value").alias("_line"),
     )

@@ -34,10 +34,15 @@ def landing_stream(spark: SparkSession, landing_dir: str, target_airport: str, n
 
 def _batch_writer(raw_path: str, reject_path: str | None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_rejects(batch)
-        good.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
-        if reject_path:
-            bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        # two sinks: parse the micro-batch once (persist), write both, release
+        batch = batch.persist()
+        try:
+            good, bad = split_rejects(batch)
+            good.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
+            if reject_path:
+                bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -101,10 +106,14 @@ def upsert_stream(
     states = [previous]
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_rejects(batch)
-        if reject_path:
-            bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-        stg_batch = store.append_staging(flatten_flights(good), batch_id)
+        batch = batch.persist()
+        try:
+            good, bad = split_rejects(batch)
+            if reject_path:
+                bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+            stg_batch = store.append_staging(flatten_flights(good), batch_id)
+        finally:
+            batch.unpersist()
         as_of = stg_batch.agg(F.max("extracted_at").cast("string")).first()[0]  # one scalar
         if as_of is None:
             return

@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from skyfold.sources.landing import landing_metadata, read_landing, split_rejects, write_landing
+from skyfold.sources.landing import read_landing, split_rejects, with_landing_metadata, write_landing
 from skyfold.sources.seeds import clean_airline_reference, gate_capacity
 from skyfold.streaming.ingest import ingest_available, read_raw
 
@@ -18,9 +18,9 @@ def test_file_name_parse(spark):
         "/l/flights_unknown_20260430_171746.json",
         "/l/landing_file=flights_departure_20260430_171743.json/part-0000.txt",
     ]
-    df = spark.createDataFrame([(n,) for n in names], "p string")
-    d, t = landing_metadata(F.col("p"), F.lit(NOW).cast("timestamp_ntz"))
-    got = [(r.d, r.t) for r in df.select(d.alias("d"), t.alias("t")).collect()]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, p string")
+    out = with_landing_metadata(df, F.col("p"), F.lit(NOW).cast("timestamp_ntz")).orderBy("i")
+    got = [(r.direction, r.extracted_at) for r in out.collect()]
     assert got == [
         ("DEPARTURE", dt.datetime(2026, 4, 30, 17, 17, 43)),
         ("ARRIVAL", dt.datetime(2026, 4, 30, 17, 17, 46)),
