@@ -163,10 +163,10 @@ class FlightStore:
     folder. Snapshots are new version folders too.
     """
 
-    def __init__(self, spark, root: str, files_per_date: int = 4):
+    def __init__(self, spark, root: str, max_writers_per_date: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.files_per_date = files_per_date
+        self.max_writers_per_date = max_writers_per_date
         self.version = 0
 
     @property
@@ -176,9 +176,13 @@ class FlightStore:
     def read_fact(self) -> DataFrame:
         return self.spark.read.parquet(self.fact_path).select(*FCT_COLUMNS)
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        # one hot date is written by several tasks, never by one
-        return df.repartition(F.col("flight_date"), F.pmod(F.xxhash64("flight_id"), F.lit(self.files_per_date)))
+    def _spread(self, df: DataFrame, salt_col: str = "flight_id") -> DataFrame:
+        """Hash-partition by (date, salt) before a partitioned write: a hot
+        date is spread over up to ``max_writers_per_date`` tasks, never one.
+        No count is needed: AQE coalesces the small shuffle partitions, so
+        small data still ends up in few files per date."""
+        salt = F.pmod(F.xxhash64(salt_col), F.lit(self.max_writers_per_date))
+        return df.repartition(F.col("flight_date"), salt)
 
     def write_fact(self, df: DataFrame) -> DataFrame:
         write_table(self._spread(df), self.fact_path, ["flight_date"])
@@ -202,11 +206,15 @@ class FlightStore:
         return f"{self.root}/stg_flights"
 
     def append_staging(self, stg_batch: DataFrame, batch_id: int) -> DataFrame:
-        """Append flattened rows under ``batch_id`` (a retried batch
-        overwrites its own folder), sorted by date for min/max pruning."""
-        path = f"{self.staging_path}/batch_id={batch_id}"
-        write_table(stg_batch.sortWithinPartitions("flight_date"), path)
-        return self.spark.read.parquet(path)
+        """Append flattened rows, partitioned by (flight_date, batch_id).
+
+        The look-back reads of later runs prune by ``flight_date``; a
+        retried batch replaces exactly its own partitions (dynamic
+        overwrite), so the append is idempotent. VARIANT columns are kept.
+        """
+        rows = stg_batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        overwrite_partitions(self._spread(rows, "extracted_at"), self.staging_path, ["flight_date", "batch_id"])
+        return self.read_staging().where(F.col("batch_id") == batch_id).drop("batch_id")
 
     def read_staging(self) -> DataFrame:
         return self.spark.read.parquet(self.staging_path).drop("batch_id")

@@ -121,3 +121,27 @@ def write_landing(records: DataFrame, landing_dir: str, json_col: str = "json_te
         .partitionBy("landing_file")
         .text(landing_dir)
     )
+
+
+def load_landing(
+    spark: SparkSession,
+    landing_dir: str,
+    raw_path: str,
+    target_airport: str,
+    reject_path: str | None = None,
+    now: Column | None = None,
+) -> DataFrame:
+    """Batch load of the pending landing files: append the parsed rows to
+    the raw table (S4) and unparsable lines to the reject table. Returns
+    the appended raw rows (read back from the appended files is not
+    possible, so the caller re-reads ``raw_path`` for the whole table).
+    Use the streaming ingest for load-once bookkeeping and archiving."""
+    raw = read_landing(spark, landing_dir, target_airport, now).persist()
+    try:
+        good, bad = split_rejects(raw)
+        good.write.mode("append").parquet(raw_path)
+        if reject_path:
+            bad.write.mode("append").parquet(reject_path)
+        return good
+    finally:
+        raw.unpersist()

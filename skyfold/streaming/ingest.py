@@ -111,7 +111,9 @@ def upsert_stream(
             good, bad = split_rejects(batch)
             if reject_path:
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-            stg_batch = store.append_staging(flatten_flights(good), batch_id)
+            flat = flatten_flights(good).persist()
+            stg_batch = store.append_staging(flat, batch_id)
+            flat.unpersist()
         finally:
             batch.unpersist()
         as_of = stg_batch.agg(F.max("extracted_at").cast("string")).first()[0]  # one scalar

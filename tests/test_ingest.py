@@ -123,3 +123,24 @@ def test_upsert_stream_two_runs_keep_keys(spark, tmp_dir):
     rows = s2.fct_flights.collect()
     assert [(r.flight_iata, r.flight_status) for r in rows] == [("AC1", "landed")]
     assert store.read_staging().count() == 3
+
+
+def test_batch_load_appends_raw_and_rejects(spark, tmp_dir):
+    from skyfold.sources.landing import load_landing
+
+    land = os.path.join(tmp_dir, "landing")
+    _write(f"{land}/flights_departure_20260430_171743.json", '{"a":1}\n{"a":2}\nnot json\n')
+    raw, rej = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "rej")
+    load_landing(spark, land, raw, "HUB", reject_path=rej)
+    load_landing(spark, land, raw, "HUB", reject_path=rej)  # a batch re-load appends again (no bookkeeping)
+    assert spark.read.parquet(raw).count() == 4 and spark.read.parquet(rej).count() == 2
+
+
+def test_freshness(spark):
+    from skyfold.operators.quality import freshness
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 30, 12),)], "extracted_at timestamp_ntz")
+    r = freshness(df, "extracted_at", "2024-01-31 12:00:00", 48).first()
+    assert r.age_hours == 24.0 and r.stale is False
+    r2 = freshness(df, "extracted_at", "2024-02-05 12:00:00", 48).first()
+    assert r2.stale is True
