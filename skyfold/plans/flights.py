@@ -19,7 +19,7 @@ from skyfold.operators.enrich import enrich_flights
 from skyfold.operators.flatten import drop_variants, flatten_flights
 from skyfold.operators.joins import checked_broadcast
 from skyfold.operators.materialize import write_table
-from skyfold.session import cut_lineage, scratch_path
+from skyfold.session import cut_lineage, ensure_parallelism, scratch_path
 from skyfold.sources.fixtures import raw_flights_from_events
 from skyfold.sources.seeds import gate_capacity
 from skyfold.sources.tables import read_table
@@ -54,7 +54,7 @@ MART_LOOKBACK_DAYS = 7
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flight records derived from the driver's ``events`` table."""
-    return raw_flights_from_events(read_table(spark, sf_dir, "events"))
+    return raw_flights_from_events(ensure_parallelism(read_table(spark, sf_dir, "events")))
 
 
 _LANDED: dict[tuple[int, str], str] = {}

@@ -20,6 +20,7 @@ from skyfold.operators.flatten import drop_variants
 from skyfold.operators.joins import checked_broadcast, lookup
 from skyfold.plans import reports
 from skyfold.plans.flights import FlightModel
+from skyfold.session import ensure_parallelism
 from skyfold.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,21 +237,28 @@ def q_flights_asof_airline(spark, sf_dir):
 
 
 def q_quality_report(spark, sf_dir):
+    """The data-test suite over every table of the model. As in the
+    reference (tests run against built tables), the shared relations are
+    materialized once and each table's row checks run as one aggregation."""
     from skyfold.plans.checks import flight_suite
+    from skyfold.session import cut_lineage
 
     m = _model(spark, sf_dir)
-    snaps_air = _airline_snapshots(m.stg)
+    enriched = cut_lineage(drop_variants(m.enriched), "int_flights_enriched")
+    fact = cut_lineage(m.fact, "fct_flights")
     frames = {
         "stg_flights": drop_variants(m.stg),
         "dim_dates": dims.date_dimension(spark),
-        "int_flights_enriched": drop_variants(m.enriched),
-        "fct_flights": m.fact,
-        "gate_usage_summary": m.gate_usage_summary,
-        "daily_airport_summary": m.daily_airport_summary,
-        "daily_airport_operations": m.daily_airport_operations,
-        "daily_airline_summary": m.daily_airline_summary,
-        "daily_airline_operations": m.daily_airline_operations,
-        "dim_airlines": snaps_air,
+        "int_flights_enriched": enriched,
+        "fct_flights": fact,
+        "gate_usage_summary": kpi.gate_usage_summary(enriched),
+        "daily_airport_summary": kpi.flight_kpis(fact, ["flight_date"]),
+        "daily_airport_operations": kpi.flight_kpis(fact, ["actual_operation_date"], not_null_keys=True),
+        "daily_airline_summary": kpi.flight_kpis(enriched.where(F.col("airline_iata").isNotNull()),
+                                                 ["flight_date", "airline_iata"]),
+        "daily_airline_operations": kpi.flight_kpis(enriched, ["actual_operation_date", "airline_iata"],
+                                                    not_null_keys=True),
+        "dim_airlines": _airline_snapshots(m.stg),
         "dim_airports": q_airport_scd2(spark, sf_dir),
     }
     return flight_suite().run(frames)
@@ -267,7 +275,7 @@ def q_ingest_stream(spark, sf_dir):
     from skyfold.operators.flatten import flatten_flights
 
     base = scratch_path(spark, "ingest")
-    records = raw_json_text_from_events(read_table(spark, sf_dir, "events")).withColumn(
+    records = raw_json_text_from_events(ensure_parallelism(read_table(spark, sf_dir, "events"))).withColumn(
         "extracted_at", F.date_trunc("day", "extracted_at").cast("timestamp_ntz")
     )
     write_landing(records, f"{base}/landing")
@@ -332,7 +340,7 @@ def q_stream_upsert(spark, sf_dir):
     from skyfold.streaming.ingest import upsert_stream
 
     base = scratch_path(spark, "stream_upsert")
-    records = raw_json_text_from_events(read_table(spark, sf_dir, "events"))
+    records = raw_json_text_from_events(ensure_parallelism(read_table(spark, sf_dir, "events")))
     first = F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz")
     day = F.date_trunc("day", "extracted_at").cast("timestamp_ntz")
     store = FlightStore(spark, f"{base}/warehouse")

@@ -83,3 +83,13 @@ def local_os_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return is_local_path(path) and os.path.exists(local_os_path(path))
+
+
+def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least the cluster's default parallelism
+    when it has fewer partitions (a small single-file source); large inputs
+    already have enough splits and are returned unchanged (no shuffle)."""
+    want = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
