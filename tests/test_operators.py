@@ -129,3 +129,28 @@ def test_date_spine_half_open(spark):
 def test_top1_explicit_rank(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b")], "k long, r long, v string")
     assert top1_per_key(df, ["k"], [F.col("r")]).first().v == "b"
+
+
+def test_canonical_airline_lookup_keeps_row_count(spark):
+    from skyfold.operators.joins import canonical_airline_lookup
+
+    ref = spark.createDataFrame(
+        [(2, "Air Two", "AC", "Canada", "Y"), (1, "Air One", "AC", "Canada", "Y"), (3, "Old Air", "AC", "X", "N"),
+         (4, "Other", "UA", "US", "N")],
+        "airline_id int, airline_name string, iata string, country string, active string",
+    )
+    flights = spark.createDataFrame([("f1", "AC"), ("f2", "AC"), ("f3", "UA"), ("f4", None)], "fid string, airline_iata string")
+    got = {r.fid: (r.ref_airline_name, r.ref_country) for r in canonical_airline_lookup(flights, ref).collect()}
+    assert got == {"f1": ("Air One", "Canada"), "f2": ("Air One", "Canada"), "f3": (None, None), "f4": (None, None)}
+
+
+def test_sorted_write_orders_files(spark, tmp_dir):
+    from skyfold.operators.materialize import write_table
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    write_table(df, tmp_dir + "/t", sort_by=["k"], files=4)
+    back = spark.read.parquet(tmp_dir + "/t")
+    parts = back.withColumn("f", F.input_file_name()).groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    ranges = sorted((r.lo, r.hi) for r in parts.collect())
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # range-partitioned: no overlap
+    assert back.count() == 1000
