@@ -154,3 +154,56 @@ def test_sorted_write_orders_files(spark, tmp_dir):
     ranges = sorted((r.lo, r.hi) for r in parts.collect())
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # range-partitioned: no overlap
     assert back.count() == 1000
+
+
+def test_actual_operation_date_is_coalesce_of_local_dates(spark):  # D10, H1
+    from skyfold.operators.enrich import flight_measures
+
+    df = spark.createDataFrame(
+        [(T(2024, 1, 1, 23, 50), T(2024, 1, 2, 1, 0), 5, 70, "landed"),
+         (None, T(2024, 1, 3, 0, 10), None, 3, "landed"),
+         (None, None, None, None, None)],
+        "actual_dep timestamp_ntz, actual_arr timestamp_ntz, delay_dep long, delay_arr long, flight_status string",
+    )
+    rows = flight_measures(df).collect()
+    assert [r.actual_operation_date for r in rows] == [dt.date(2024, 1, 1), dt.date(2024, 1, 3), None]
+    assert [r.is_cancelled for r in rows] == [False, False, False]
+    assert [(r.delay_bucket_dep, r.delay_bucket_arr) for r in rows] == [
+        ("On Time", "60+ min"), (None, "On Time"), (None, None)]
+
+
+def test_delete_insert_window_empties_lost_days(spark):  # D22
+    from skyfold.operators.materialize import delete_insert_window
+
+    d = dt.date
+    target = spark.createDataFrame([(d(2024, 1, 1), 1), (d(2024, 1, 5), 5), (d(2024, 1, 6), 6)], "day date, n long")
+    batch = spark.createDataFrame([(d(2024, 1, 6), 60)], "day date, n long")
+    plain = sorted((r.day.day, r.n) for r in delete_insert(target, batch, ["day"]).collect())
+    window = sorted((r.day.day, r.n) for r in delete_insert_window(target, batch, "day", F.lit("2024-01-04").cast("date")).collect())
+    assert plain == [(1, 1), (5, 5), (6, 60)]  # reference behaviour: 01-05 keeps its stale row
+    assert window == [(1, 1), (6, 60)]  # replace_window: the whole look-back range is replaced
+
+
+def test_checked_broadcast_falls_back_above_bound(spark):
+    import contextlib
+    import io
+
+    from skyfold.operators.joins import lookup
+
+    facts = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id"))
+    dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    with_b = lookup(facts, checked_broadcast(dim, max_rows=100), "k", "k", {"v": "v"})
+    without = lookup(facts, checked_broadcast(dim, max_rows=3), "k", "k", {"v": "v"})
+    assert sorted(with_b.collect()) == sorted(without.collect())
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        with_b.explain()
+    assert "BroadcastHashJoin" in buf.getvalue()
+
+
+def test_unexpected_values(spark):
+    from skyfold.operators.quality import unexpected_values
+
+    df = spark.createDataFrame([("landed",), ("Cancelled",), ("Cancelled",), (None,), ("",)], "s string")
+    got = {(r.s, r.rows) for r in unexpected_values(df, "s", ["landed", ""]).collect()}
+    assert got == {("Cancelled", 2)}
