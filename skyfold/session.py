@@ -10,6 +10,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for a large cluster (100 TB inputs, ~1000 executors). They are
+# recommendations for the cluster's own session builder, not applied here.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "skyfold") -> SparkSession:
     """Session used by tests and bench.py. On a cluster, build the session
     with the cluster's own settings instead; nothing here is required."""
