@@ -3,7 +3,6 @@ checkpoint folder that cuts lineage between incremental steps."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,18 +88,6 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(local_os_path(path))
-
-
 def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least the cluster's default parallelism
     when it has fewer partitions (a small single-file source); large inputs
