@@ -26,8 +26,17 @@ from skyfold.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_MODELS: dict[tuple[int, str], FlightModel] = {}
+
+
 def _model(spark: SparkSession, sf_dir: str) -> FlightModel:
-    return FlightModel.from_tables(spark, sf_dir)
+    """One model per Spark application and data folder. DataFrames are
+    immutable lazy plans, so queries share the model's relations (the
+    plan is built once); every action still executes the whole plan."""
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = FlightModel.from_tables(spark, sf_dir)
+    return _MODELS[key]
 
 
 # -- staging, keys, dimensions ----------------------------------------------
