@@ -8,6 +8,7 @@ broadcast behind a size check. Nothing is collected to the driver.
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +58,8 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_flights_from_events(ensure_parallelism(read_table(spark, sf_dir, "events")))
 
 
-_LANDED: dict[tuple[int, str], str] = {}
+_LANDED: dict[tuple[str, str], str] = {}
+_LOCK = threading.RLock()
 
 
 def land_flights(raw: DataFrame, path: str) -> None:
@@ -73,12 +75,13 @@ def land_flights(raw: DataFrame, path: str) -> None:
 def landed_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the landed flight tables of ``sf_dir`` (landed once per
     Spark application in the shared checkpoint folder)."""
-    key = (id(spark.sparkContext), sf_dir)
-    if key not in _LANDED:
-        path = scratch_path(spark, "flights")
-        land_flights(raw_flights(spark, sf_dir), path)
-        _LANDED[key] = path
-    return _LANDED[key]
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        if key not in _LANDED:
+            path = scratch_path(spark, "flights")
+            land_flights(raw_flights(spark, sf_dir), path)
+            _LANDED[key] = path
+        return _LANDED[key]
 
 
 def landed_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -96,11 +99,12 @@ def snapshot_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     Like the reference's snapshot step, they are built once per run (one
     aggregation over staging each) and stored; every model reads them."""
     path = landed_path(spark, sf_dir)
-    if path not in _DIMS_BUILT:
-        stg = spark.read.parquet(f"{path}/stg")
-        write_table(dims.airline_best_rows(stg), f"{path}/dim_airlines_current")
-        write_table(dims.airport_best_rows(stg), f"{path}/dim_airports_current")
-        _DIMS_BUILT.add(path)
+    with _LOCK:
+        if path not in _DIMS_BUILT:
+            stg = spark.read.parquet(f"{path}/stg")
+            write_table(dims.airline_best_rows(stg), f"{path}/dim_airlines_current")
+            write_table(dims.airport_best_rows(stg), f"{path}/dim_airports_current")
+            _DIMS_BUILT.add(path)
     return (spark.read.parquet(f"{path}/dim_airlines_current"), spark.read.parquet(f"{path}/dim_airports_current"))
 
 

@@ -7,6 +7,7 @@ by the DuckDB oracle in ``skyfold.plans.oracle``.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +27,19 @@ from skyfold.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_MODELS: dict[tuple[int, str], FlightModel] = {}
+_MODELS: dict[tuple[str, str], FlightModel] = {}
+_MODEL_LOCK = threading.Lock()
 
 
 def _model(spark: SparkSession, sf_dir: str) -> FlightModel:
     """One model per Spark application and data folder. DataFrames are
     immutable lazy plans, so queries share the model's relations (the
     plan is built once); every action still executes the whole plan."""
-    key = (id(spark.sparkContext), sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = FlightModel.from_tables(spark, sf_dir)
-    return _MODELS[key]
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _MODEL_LOCK:
+        if key not in _MODELS:
+            _MODELS[key] = FlightModel.from_tables(spark, sf_dir)
+        return _MODELS[key]
 
 
 # -- staging, keys, dimensions ----------------------------------------------

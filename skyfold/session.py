@@ -47,7 +47,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_LOCAL_CHECKPOINT_DIRS: dict[int, str] = {}
+_LOCAL_CHECKPOINT_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -62,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
-    key = id(sc)
+    key = sc.applicationId
     if key not in _LOCAL_CHECKPOINT_DIRS:
         path = tempfile.mkdtemp(prefix="skyfold-ckpt-")
         sc.setCheckpointDir(path)
