@@ -36,3 +36,27 @@ def test_summary_plan_prunes_pushes_and_limits_before_shuffle(spark):
     assert p.count("WindowGroupLimit") >= 2
     # star join stays map-side
     assert "BroadcastHashJoin LeftOuter" in p and "SortMergeJoin" not in p
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """One key holds a third of the rows: the partial top-1 keeps at most one
+    row per key and map task, so the shuffle carries ~distinct keys, not the
+    hot key's rows (read from AQE's final plan statistics)."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from skyfold.operators.dedupe import latest_per_key
+
+    n = 30000
+    df = spark.range(0, n, 1, 8).select(  # 8 map tasks, no extra shuffle
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.col("id").cast("timestamp").alias("ts"),
+    )
+    out = latest_per_key(df, ["k"], "ts")
+    assert out.count() == 1 + (n - n // 3)
+    out.collect()
+    p = plan(out)
+    counts = [float(x) for x in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\(sizeInBytes=[^,]+, rowCount=([0-9.E+]+)\)", p)]
+    assert counts, p
+    assert max(counts) <= (n - n // 3) + 8  # the 10,000 hot rows arrive as at most 8
