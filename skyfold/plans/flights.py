@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from skyfold.operators import dims, kpi
 from skyfold.operators.dedupe import latest_per_key
-from skyfold.operators.enrich import enrich_flights
+from skyfold.operators.enrich import enrich_flights, flight_measures
 from skyfold.operators.flatten import drop_variants, flatten_flights
-from skyfold.operators.joins import checked_broadcast
+from skyfold.operators.joins import checked_broadcast, lookup
 from skyfold.operators.materialize import write_table
 from skyfold.session import cut_lineage, ensure_parallelism, scratch_path
 from skyfold.sources.fixtures import raw_flights_from_events
@@ -189,26 +189,44 @@ class FlightModel:
         de-duplicating the enriched rows."""
         return self.enrich(operating_latest(drop_variants(self.stg))).select(*FCT_COLUMNS)
 
+    # -- lean relations for the marts ---------------------------------------
+    # The KPI marts use per-row measures only, never a dimension column.
+    # Catalyst cannot drop a LEFT join it cannot prove unique, so the marts
+    # read these join-free relations instead of the enriched ones (same
+    # rows, same measures; five fewer lookups per row).
+    @cached_property
+    def measured(self) -> DataFrame:
+        """Staging rows with the derived measures (like ``enriched``, no dims)."""
+        return flight_measures(drop_variants(self.stg))
+
+    @cached_property
+    def fact_measured(self) -> DataFrame:
+        """Fact rows with the derived measures (like ``fact``, no dims)."""
+        return flight_measures(operating_latest(drop_variants(self.stg)))
+
     # -- marts -------------------------------------------------------------
     @cached_property
     def daily_airport_summary(self) -> DataFrame:
-        return kpi.flight_kpis(self.fact, ["flight_date"])
+        return kpi.flight_kpis(self.fact_measured, ["flight_date"])
 
     @cached_property
     def daily_airport_operations(self) -> DataFrame:
-        return kpi.flight_kpis(self.fact, ["actual_operation_date"], not_null_keys=True)
+        return kpi.flight_kpis(self.fact_measured, ["actual_operation_date"], not_null_keys=True)
 
     @cached_property
     def daily_airline_summary(self) -> DataFrame:
-        return kpi.flight_kpis(self.enriched.where(F.col("airline_iata").isNotNull()), ["flight_date", "airline_iata"])
+        return kpi.flight_kpis(self.measured.where(F.col("airline_iata").isNotNull()), ["flight_date", "airline_iata"])
 
     @cached_property
     def daily_airline_operations(self) -> DataFrame:
-        return kpi.flight_kpis(self.enriched, ["actual_operation_date", "airline_iata"], not_null_keys=True)
+        return kpi.flight_kpis(self.measured, ["actual_operation_date", "airline_iata"], not_null_keys=True)
 
     @cached_property
     def gate_usage_summary(self) -> DataFrame:
-        return kpi.gate_usage_summary(self.enriched)
+        """Needs the airline dimension name only: one lookup on operating rows."""
+        ops = drop_variants(self.stg).where(F.col("carrier_role") == "operating")
+        named = lookup(ops, self.airlines, "airline_iata", "airline_iata", {"airline_name": "dim_airline_name"})
+        return kpi.gate_usage_summary(named)
 
     def gate_share(self) -> DataFrame:
-        return kpi.gate_share(self.fact, gate_capacity(self.spark))
+        return kpi.gate_share(self.fact_measured, gate_capacity(self.spark))

@@ -109,12 +109,12 @@ def q_gate_heatmap(spark, sf_dir):
 
 # -- presentation ------------------------------------------------------------
 def q_kpi_tiles(spark, sf_dir):
-    return kpi.kpi_tiles(_model(spark, sf_dir).fact)
+    return kpi.kpi_tiles(_model(spark, sf_dir).fact_measured)
 
 
 def q_kpi_tiles_airline(spark, sf_dir):
-    enriched = _model(spark, sf_dir).enriched
-    return kpi.kpi_tiles(enriched.where(F.col("airline_iata").isNotNull()), ["airline_iata"])
+    measured = _model(spark, sf_dir).measured
+    return kpi.kpi_tiles(measured.where(F.col("airline_iata").isNotNull()), ["airline_iata"])
 
 
 def q_daily_volume(spark, sf_dir):

@@ -34,8 +34,15 @@ def test_summary_plan_prunes_pushes_and_limits_before_shuffle(spark):
         assert unused not in stg_schema
     # de-duplication: partial top-1 per key before the exchange, final after
     assert p.count("WindowGroupLimit") >= 2
-    # star join stays map-side
-    assert "BroadcastHashJoin LeftOuter" in p and "SortMergeJoin" not in p
+    # the KPI mart needs no dimension: no join at all, one shuffle for the
+    # de-duplication and one for the roll-up
+    tree = p.split("\n\n")[0]  # the operator tree, without the per-node details
+    assert "Join" not in tree and tree.count("Exchange (") == 2
+
+
+def test_enrichment_star_join_is_broadcast(spark):
+    p = plan(E.queries()["fct_flights"](spark, SF))
+    assert p.count("BroadcastHashJoin LeftOuter") == 5 and "SortMergeJoin" not in p
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
