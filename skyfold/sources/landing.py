@@ -16,8 +16,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Landing file-name convention of the reference loader.
-NAME_PATTERN = r"(?i)^(?:[^=/]*=)?flights_(departure|arrival)_(\d{8})_(\d{6})\.json"
+# Landing file-name convention of the reference loader
+# (matched case-insensitively: names are lower-cased before matching).
+NAME_PATTERN = r"^(?:[^=/]*=)?flights_(departure|arrival)_(\d{8})_(\d{6})\.json"
 UNKNOWN_DIRECTION = "UNKNOWN"
 
 RAW_SCHEMA = "raw_json VARIANT, extracted_at TIMESTAMP_NTZ, direction STRING, target_airport STRING"
@@ -35,8 +36,8 @@ def with_landing_metadata(df: DataFrame, path_col: Column, now: Column | None =
     now_col = (now if now is not None else F.localtimestamp()).cast("timestamp_ntz")
     step = df.withColumns(
         {
-            "_name": F.substring_index(path_col, "/", -1),
-            "_parent": F.substring_index(F.substring_index(path_col, "/", -2), "/", 1),
+            "_name": F.lower(F.substring_index(path_col, "/", -1)),
+            "_parent": F.lower(F.substring_index(F.substring_index(path_col, "/", -2), "/", 1)),
         }
     )
     step = step.withColumn("_seg", F.when(F.col("_name").rlike(NAME_PATTERN), F.col("_name")).otherwise(F.col("_parent")))
