@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontaminate as decon
-from skyfold.llm import language_id, packing, sharding, url_filter
+from skyfold.llm import language_id, packing, sharding, suffix_dedup, url_filter
 
 #: Environment variable that names another file of the packing tokenizer.
 TOKENIZER_VARIABLE = "SKYFOLD_TOKENIZER"
@@ -52,6 +52,10 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filter.rule(*r) for r in URL_RULES]
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op5_shard": op5_shard,
         "op7_pack": op7_pack,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
     }
 
