@@ -13,9 +13,10 @@ length is a power of two, which is left as it is but pays a fixed charge.
 Padding is linear in j - i, so the minimum over the sliding range is the
 front of a monotone queue of ``best(i) + i``; powers of two are looked up.
 
-Tokenizing needs one call per *distinct* word of a slice: white space is
-dropped by the tokenizer and never joins two words. The word's ids come
-from a dictionary of bounded size.
+Tokenizing needs the tokenizer for *new* parts of texts only: it drops white
+space, never joins two words, and treats letters, digits and punctuation one
+by one. The ids of known parts come from a dictionary of bounded size that
+the tasks of a Python worker share.
 
 Each partition is packed in blocks of about ``BLOCK_TOKENS`` tokens: all
 sequences but the last of a block are final, and the open one goes on into
@@ -28,18 +29,18 @@ packed one by one. Extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.text import column_buffers, doc_slices
+from skyfold.llm.text import LOWER, U64, column_buffers, doc_slices, range_hashes
 
 CAPACITY = 4096
 END_ID = 2
@@ -49,15 +50,44 @@ SMALL_CHARGE = 24  # of a sequence that ends at a power of two
 SMALLEST_POWER = 128
 MAX_GAP = 128  # tokens between two possible cuts
 BLOCK_TOKENS = 1 << 18
-WORD_CACHE = 1 << 20
+WORD_CACHE = 3 << 20
 
 PIECES = (
     "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
+_CLASS = np.full(256, 3, dtype=np.uint8)  # digits' neighbours, apostrophes, non-ASCII: never a boundary beside them
+_CLASS[[0x20, *range(0x09, 0x0E)]] = 0
+_CLASS[0x61:0x7B] = 1
+_CLASS[[x for x in range(0x21, 0x7F) if not (chr(x).isalnum() or x == 0x27)]] = 2
+_CLASS[0x30:0x3A] = 4
+
+
+def _pieces(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the parts that the tokenizer surely treats one by one:
+    words, split where an ASCII letter, a digit and ASCII punctuation meet
+    (not at apostrophes), and digits."""
+    c = _CLASS[low]
+    before = np.empty(len(c) + 1, dtype=np.uint8)
+    before[0] = 0
+    before[1:] = c
+    before[offsets] = 0
+    before = before[: len(c)]
+    plain = (c != 3) & (before != 3)
+    begin = (c != 0) & ((before == 0) | plain & ((before != c) | (c == 4)))
+    start = np.flatnonzero(begin)
+    # a part ends where the next begins or at white space or its document's end
+    blank = np.append(c == 0, True)
+    blank[offsets[1:]] = True
+    blank[:-1] |= begin
+    stops = np.flatnonzero(blank)
+    return start, stops[np.searchsorted(stops, start, side="right")] if len(start) else start
+
+
 class WordTokenizer:
-    """Token ids of whole texts through a cache of their words' ids."""
+    """Token ids of whole texts through a cache of the ids of their parts,
+    looked up by 64-bit hash; only new parts go to the tokenizer."""
 
     def __init__(self, path: str, cache: int = WORD_CACHE):
         from tokenizers import Tokenizer
@@ -67,38 +97,69 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, offsets per text, cut class per token: 0 inside a word,
-        1 end of a word, 2 end of a sentence)."""
-        texts = pc.fill_null(texts, "")
-        parts = pc.ascii_split_whitespace(texts)
-        offs = parts.offsets.to_numpy().astype(np.int64)
-        coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.number) > self.max:
+        self.known = np.zeros(0, U64)
+        self.begin = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.stop = np.zeros(0, bool)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        ids = [e.ids for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        begin = len(self.flat) + np.cumsum(length) - length
+        stop = np.fromiter((any(c in ".!?" for c in p[-2:]) for p in parts), bool, len(parts))
+        self.flat = np.concatenate([self.flat, np.fromiter((x for i in ids for x in i), np.uint32, int(length.sum()))])
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.begin, self.length, self.stop = (np.insert(a, at, b) for a, b in ((self.begin, begin), (self.length, length), (self.stop, stop)))
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, offsets per text, cut class per token: 0 inside a part, 1
+        end of a part, 2 end of a sentence) of the texts of one slice."""
+        if b"<|" in raw.tobytes():  # perhaps a special token's string: texts as they are
+            return self._encode_plain(raw, offsets)
+        low = LOWER[raw]
+        start, end = _pieces(low, offsets)
+        hashes = range_hashes(low, start, end)
+        distinct, first, use = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > self.max:
             self.clear()
-        new = [w for w in words if w not in self.number]
-        if new:
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-                self.number[w] = len(self.ids)
-                self.ids.append(np.array(e.ids, dtype=np.uint32))
-        own = [self.ids[self.number[w]] for w in words]
-        lens = np.array([len(x) for x in own], dtype=np.int64)
-        flat = np.concatenate(own) if own else np.zeros(0, np.uint32)
-        begin = np.concatenate([[0], np.cumsum(lens)])
-        stop = np.array([any(c in ".!?" for c in w[-2:]) for w in words], dtype=bool)
-        use = coded.indices.to_numpy().astype(np.int64)
-        n = lens[use]
-        upto = np.concatenate([[0], np.cumsum(n)])
+        at = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != distinct[inside]
+        if new.any():
+            data = low.tobytes()
+            self._learn(distinct[new], [data[start[x] : end[x]].decode("utf-8", "replace") for x in first[new].tolist()])
+            at = np.searchsorted(self.known, distinct)
+        use = at[use]
+        n = self.length[use]
+        upto = np.zeros(len(n) + 1, dtype=np.int64)
+        np.cumsum(n, out=upto[1:])
         total = int(upto[-1])
-        ids = flat[np.repeat(begin[use] - upto[:-1], n) + np.arange(total)] if total else np.zeros(0, np.uint32)
+        ids = self.flat[np.repeat(self.begin[use] - upto[:-1], n) + np.arange(total)]
         ends = np.zeros(total, dtype=np.uint8)
         full = n > 0
-        ends[upto[1:][full] - 1] = 1 + stop[use][full]
-        return ids, upto[offs - offs[0]], ends
+        ends[upto[1:][full] - 1] = 1 + self.stop[use][full]
+        return ids, upto[np.searchsorted(start, offsets)], ends
+
+    def _encode_plain(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        texts = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        own = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        first = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
+        ids = np.concatenate(own)
+        return ids, first, np.ones(len(ids), dtype=np.uint8)
+
+
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def shared_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer and cache for all tasks of a Python worker."""
+    if path not in _TOKENIZERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def choose_cuts(cuts: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> list[int]:
@@ -217,7 +278,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     sequence_id, offset``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = WordTokenizer(tokenizer_path)
+        tok = shared_tokenizer(tokenizer_path)
         packer = _Packer(TaskContext.get().partitionId(), capacity)
         id_type = None
         rows: list[tuple] = []
@@ -231,9 +292,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         for batch in batches:
             id_type = batch.column(0).type
             ids = batch.column(0).to_pylist()
-            _, offs = column_buffers(batch.column(1))
+            raw, offs = column_buffers(batch.column(1))
             for i, j in doc_slices(offs):
-                tokens, first, ends = tok.encode(batch.column(1).slice(i, j - i))
+                tokens, first, ends = tok.encode(raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 for d in range(j - i):
                     own = np.append(tokens[first[d] : first[d + 1]], np.uint32(end_id))
                     rows += packer.add(ids[i + d], own, np.append(ends[first[d] : first[d + 1]], np.uint8(2)))

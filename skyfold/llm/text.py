@@ -100,6 +100,22 @@ def doc_slices(offsets: np.ndarray, max_bytes: int = SLICE_BYTES) -> Iterator[tu
         i = min(j, n)
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomial prefix sums: the basis of the hash of any byte range."""
+    up, _ = _TABLES.get(len(data) + 1)
+    total = np.empty(len(data) + 1, dtype=U64)
+    total[0] = 0
+    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=total[1:])
+    return total
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of byte ranges of one slice."""
+    total = prefix_sums(data) if sums is None else sums
+    _, down = _TABLES.get(len(data) + 1)
+    return mix64((total[end] - total[start]) * down[start])
+
+
 class Words:
     """Words of the documents of one slice.
 
@@ -125,16 +141,7 @@ class Words:
         self.end = np.flatnonzero(inside & ~after[1:]) + 1
         self.lower = low
         self.first = np.searchsorted(self.start, offs)
-        self.hash = self._hashes(low) if hashes else None
-
-    def _hashes(self, low: np.ndarray) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, dtype=U64)
-        up, down = _TABLES.get(len(low) + 1)
-        total = np.empty(len(low) + 1, dtype=U64)
-        total[0] = 0
-        np.cumsum(_BYTE_VALUES[low] * up[: len(low)], out=total[1:])
-        return mix64((total[self.end] - total[self.start]) * down[self.start])
+        self.hash = range_hashes(low, self.start, self.end) if hashes else None
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
