@@ -103,7 +103,9 @@ def block_texts(texts: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 Asker = Callable[[np.ndarray, np.ndarray, pa.RecordBatch, dict], Iterator[tuple[int, bytes]]]
-Answerer = Callable[[list[bytes]], list[bytes]]
+#: Answers in the order of the messages, and what the bucket has to report.
+Answerer = Callable[[list[bytes]], tuple[list[bytes], bytes | None]]
+REPORT = -1  # block number of the reports
 
 
 def _message(rows: list[tuple], first: str) -> pa.RecordBatch:
@@ -121,6 +123,11 @@ def with_answers(blocks: DataFrame, **answers: DataFrame) -> DataFrame:
     return out
 
 
+def reports(answers: DataFrame) -> list[bytes]:
+    """What the buckets have reported: one row each."""
+    return [bytes(r[0]) for r in answers.where(F.col("block") == REPORT).orderBy("bucket").select("data").collect()]
+
+
 def over_blocks(frame: DataFrame, run: Callable, schema) -> DataFrame:
     """``run(block, raw, offsets, docs, answers)`` -> record batches, for
     every row of ``with_answers``."""
@@ -139,7 +146,8 @@ def over_blocks(frame: DataFrame, run: Callable, schema) -> DataFrame:
 def ask(frame: DataFrame, asker: Asker, answerer: Answerer, buckets: int, label: str) -> DataFrame:
     """``asker(raw, offsets, docs, answers)`` yields (bucket, keys) for a
     block; ``answerer(all blocks' keys of a bucket)`` gives an answer for
-    each. Returns ``block, bucket, data``, written to the shared folder."""
+    each (and perhaps a report). Returns ``block, bucket, data``, written to
+    the shared folder."""
     sent = over_blocks(
         frame,
         lambda block, raw, offs, docs, got: iter([_message([(b, block, d) for b, d in asker(raw, offs, docs, got)], "bucket")]),
@@ -156,8 +164,9 @@ def ask(frame: DataFrame, asker: Asker, answerer: Answerer, buckets: int, label:
         for b in sorted(by):
             blocks_of, datas = by.pop(b)
             order = sorted(range(len(blocks_of)), key=blocks_of.__getitem__)  # the same result in any order of arrival
-            answers = answerer([datas[i] for i in order])
-            yield _message([(b, blocks_of[i], a) for i, a in zip(order, answers, strict=True)], "bucket")
+            answers, report = answerer([datas[i] for i in order])
+            rows = [(b, blocks_of[i], a) for i, a in zip(order, answers, strict=True)]
+            yield _message(rows + [(b, REPORT, report)] * (report is not None), "bucket")
 
     dealt = sent.repartitionById(buckets, F.col("bucket"))
     return cut_lineage(dealt.mapInArrow(reply, "bucket int, block long, data binary"), label)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontaminate as decon
-from skyfold.llm import language_id, packing, sharding, suffix_dedup, url_filter
+from skyfold.llm import katz, language_id, packing, sharding, suffix_dedup, url_filter
 
 #: Environment variable that names another file of the packing tokenizer.
 TOKENIZER_VARIABLE = "SKYFOLD_TOKENIZER"
@@ -61,6 +61,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op10_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folds, out = HELD_OUT["lm"]
+    held = F.coalesce(language_id.fold(F.col("doc_id"), folds) == out, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held.alias("held_out"), "text")
+    return katz.score(docs, "held_out")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -69,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_pack": op7_pack,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
+        "op10_katz_lm": op10_katz_lm,
     }
 
 

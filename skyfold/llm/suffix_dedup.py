@@ -115,7 +115,7 @@ def find_anchors(raw: np.ndarray, offsets: np.ndarray, length: int) -> Anchors:
 ONCE, WHOLE, PARTLY, WHOLE_SENT = 0, 1, 2, 3
 
 
-def judge_anchors(messages: list[bytes]) -> list[bytes]:
+def judge_anchors(messages: list[bytes]) -> tuple[list[bytes], None]:
     """A code for every anchor that the blocks sent to one bucket."""
     parts = [unpack(m) for m in messages]
     sizes = [len(p[0]) for p in parts]
@@ -131,7 +131,7 @@ def judge_anchors(messages: list[bytes]) -> list[bytes]:
     code[(code == WHOLE) & new_both & some_partly] = WHOLE_SENT  # one of them stands for all in the merge
     out = np.empty(len(code), dtype=np.uint8)
     out[order] = code
-    return [pack(x) for x in np.split(out, np.cumsum(sizes)[:-1])]
+    return [pack(x) for x in np.split(out, np.cumsum(sizes)[:-1])], None
 
 
 # -- step 2: front-coded runs and their merge ---------------------------------
@@ -237,7 +237,7 @@ def merge_runs(runs: list[tuple[list[int], list[int], bytes]]) -> Iterator[tuple
             node >>= 1
 
 
-def resolve(messages: list[bytes], length: int) -> list[bytes]:
+def resolve(messages: list[bytes], length: int) -> tuple[list[bytes], None]:
     """Merge one bucket's runs; answer with a bit mask over b for every
     suffix of each block (in the order sent)."""
     parts = [unpack(m) for m in messages]
@@ -270,7 +270,7 @@ def resolve(messages: list[bytes], length: int) -> list[bytes]:
         bits[use[twice], b >> 3] |= np.uint8(1 << (b & 7))
     out = np.empty_like(bits)
     out[who] = bits
-    return [pack(x.reshape(-1)) for x in np.split(out, first[1:-1])]
+    return [pack(x.reshape(-1)) for x in np.split(out, first[1:-1])], None
 
 
 # -- the operator ---------------------------------------------------------------
