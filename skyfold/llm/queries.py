@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontaminate as decon
-from skyfold.llm import jaccard_join, katz, language_id, packing, sharding, suffix_dedup, url_filter
+from skyfold.llm import fingerprints, jaccard_join, katz, language_id, packing, sharding, suffix_dedup, url_filter
 
 #: Environment variable that names another file of the packing tokenizer.
 TOKENIZER_VARIABLE = "SKYFOLD_TOKENIZER"
@@ -48,6 +48,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": op1_decontaminate,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_language_id": op3_language_id,
+        "op4_fingerprints": op4_fingerprints,
         "op5_shard": op5_shard,
         "op7_pack": op7_pack,
         "op8_suffix_dedup": op8_suffix_dedup,

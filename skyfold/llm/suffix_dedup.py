@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import BinaryType, LongType, StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from skyfold.llm.blocks import ask, bucket_count, over_blocks, with_answers, write_blocks
 from skyfold.llm.text import U64, doc_slices, mix64, pack, prefix_sums, range_hashes, split_by, unpack
@@ -278,8 +278,8 @@ def resolve(messages: list[bytes], length: int) -> tuple[list[bytes], None]:
 
 def repeated_bytes(docs: DataFrame, text_col: str = "text", length: int = LENGTH, with_kept: bool = False) -> DataFrame:
     """All columns of ``docs`` but the text, with ``n_bytes, n_removed,
-    n_spans, kept_sha256`` (and ``kept``: the remaining bytes, null for null
-    texts)."""
+    n_spans, kept_sha256`` (and ``kept``: the remaining text without
+    characters of which only a part remains; null for null texts)."""
     spark = docs.sparkSession
     names = [c for c in docs.columns if c != text_col]
     n = bucket_count(spark)
@@ -324,7 +324,7 @@ def repeated_bytes(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         schema.add(c, LongType())
     schema.add("kept_sha256", StringType())
     if with_kept:
-        schema.add("kept", BinaryType())
+        schema.add("kept", StringType())
 
     def finish(_block, raw, offs, rest, got):
         found = find_anchors(raw, offs, length)
@@ -357,7 +357,7 @@ def repeated_bytes(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         cols = [pa.array(np.diff(offs)), pa.array(removed, pa.int64()), pa.array(np.diff(first)), pa.array(sums, pa.string())]
         if with_kept:
             absent = rest.column("absent").to_pylist()
-            cols.append(pa.array([None if a else k for a, k in zip(absent, kept, strict=True)], pa.binary()))
+            cols.append(pa.array([None if a else k.decode("utf-8", "ignore") for a, k in zip(absent, kept, strict=True)], pa.string()))
         yield pa.RecordBatch.from_arrays([*rest.columns[:-1], *cols], out_names)
 
     return over_blocks(with_answers(blocks, codes=codes, settled=settled), finish, schema)
