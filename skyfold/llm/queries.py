@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontaminate as decon
-from skyfold.llm import fingerprints, jaccard_join, katz, language_id, packing, sharding, suffix_dedup, url_filter
+from skyfold.llm import fingerprints, jaccard_join, katz, language_id, packing, passages, sharding, suffix_dedup, url_filter
 
 #: Environment variable that names another file of the packing tokenizer.
 TOKENIZER_VARIABLE = "SKYFOLD_TOKENIZER"
@@ -56,6 +56,10 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op6_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -83,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_fingerprints": op4_fingerprints,
         "op5_shard": op5_shard,
+        "op6_near_passages": op6_near_passages,
         "op7_pack": op7_pack,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
