@@ -1,0 +1,164 @@
+"""Small tables with nulls, empty, short, long, repeated and tied rows and
+clashing extra columns through every operator."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from katz_brute import Brute, tokens
+from skyfold.llm import decontaminate, fingerprints, jaccard_join, katz, language_id, packing, passages, sharding, suffix_dedup, url_filter
+from skyfold.llm.queries import tokenizer_path
+
+PASSAGE = " ".join(f"word{i} étage{i * 7 % 13}" for i in range(60))
+ROWS = [
+    (1, "alpha beta gamma. " * 3 + PASSAGE, "en", "a"),
+    (2, PASSAGE + " and an own end of this text", "en", "a"),
+    (3, None, "en", "a"),
+    (4, "", None, "a"),
+    (5, "Only four words here", "en", "b"),
+    (6, "only four words here", "en", "b"),
+    (7, " ".join(f"long{i}" for i in range(4000)), "de", "b"),
+    (8, "12345 !!! 67", "de", None),
+    (8, "12345 !!! 67", "de", None),
+    (None, "a text without id, <|endoftext|> inside, don't! 3x", "de", None),
+    (10, PASSAGE + " and an own end of this paper", "en", "a"),
+]
+SCHEMA = "doc_id long, text string, lang string, items string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_decontaminate(spark, docs, none):
+    bench = spark.createDataFrame([(10, "WORD3 étage8 word4 étage2"), (9, PASSAGE), (9, PASSAGE), (7, None), (6, "")], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got[1].n_items == 2 and got[1].n_hit == 120 and got[3].n_words == 0 and not got[5].contaminated
+    assert decontaminate.decontaminate(none, bench).count() == 0
+    clean = decontaminate.decontaminate(docs, bench.limit(0))
+    assert clean.count() == len(ROWS) and clean.where("contaminated").count() == 0
+
+
+def test_jaccard(docs, none):
+    got = jaccard_join.jaccard_components(docs).collect()
+    comp = {r.doc_id: r.component_id for r in got}
+    assert len(got) == len(ROWS) and comp[6] == 5 and comp[10] == comp[2] == 1 and comp[3] == 3 and comp[4] == 4
+    assert {r.n_shingles for r in got if r.doc_id in (3, 4)} == {0}
+    assert jaccard_join.jaccard_components(none).count() == 0
+
+
+def test_family_blocks_agree():
+    rng = np.random.default_rng(5)
+    base = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
+    sets = [np.sort(np.unique(np.where(rng.random(60) < 0.07, rng.integers(1 << 40, size=60), base).astype(np.uint64))) for _ in range(40)]
+    n, label = jaccard_join.family_links(list(range(40)), sets, np.zeros(40, int), 85)
+    for a in range(40):
+        links = [b for b in range(40) if b != a and 100 * (i := len(np.intersect1d(sets[a], sets[b]))) >= 85 * (len(sets[a]) + len(sets[b]) - i)]
+        assert n[a] == len(links) and all(label[b] == label[a] for b in links)
+
+
+def test_language(docs, none):
+    model = language_id.fit(docs.select("doc_id", "text", "lang"))
+    got = {r.doc_id: r for r in language_id.predict(docs, model).collect()}
+    assert got[1].lang_pred == "en" and got[7].lang_pred == "de" and got[3].lang_pred == got[4].lang_pred == got[8].lang_pred == "und"
+    assert all(0 <= r.score <= 1 for r in got.values())
+    empty = language_id.fit(none.select("doc_id", "text", "lang"))
+    assert {r.lang_pred for r in language_id.predict(docs, empty).collect()} == {"und"}
+
+
+def test_fingerprints(docs, none):
+    got = fingerprints.fingerprint_table(docs).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(ROWS) and by[3].fingerprint == by[4].fingerprint and by[3].near_next == 1.0
+    assert by[7].near_edited > 0.5 and fingerprints.fingerprint_table(none).count() == 0
+
+
+def test_sketches_recover_differences():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(1 << 62, size=400).astype(np.uint64), rng.integers(1 << 62, size=300).astype(np.uint64)
+    both = np.concatenate([a[:250], b])
+    key, _, side = fingerprints.differing((a, np.zeros(400, int)), (both, np.zeros(550, int)), 1)
+    assert set(key[side == 1]) == set(a[250:]) and set(key[side == -1]) == set(b)
+
+
+def test_shards(docs, none):
+    got = sharding.assign_shards(docs, shards=3).collect()
+    assert sum(r.size for r in got) == sum(8 + len((t or "").encode()) for _, t, _, _ in ROWS)
+    for s in range(3):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots)))
+    assert len({r.shard for r in got if r.doc_id == 8}) == 1 and sharding.assign_shards(none).count() == 0
+
+
+def test_pack(docs, none):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    got = packing.pack_documents(docs, tokenizer_path(), capacity=512).collect()
+    want = Counter(zlib.crc32(np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for d, t, _, _ in ROWS if d not in (7, 1, 2, 10))
+    assert not want - Counter(r.ids_crc32 for r in got if r.length == r.doc_tokens) or sum(r.length for r in got) == sum(
+        len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _, _ in ROWS
+    )
+    loads = Counter()
+    for r in got:
+        loads[r.sequence_id] += r.length
+    assert max(loads.values()) <= 512 and packing.pack_documents(none, tokenizer_path()).count() == 0
+
+
+def test_repeated_bytes(docs, none):
+    texts = [(t or "").encode() for _, t, _, _ in ROWS]
+    seen = Counter(t[i : i + 40] for t in texts for i in range(len(t) - 39))
+    want = []
+    for t in texts:
+        hit = {x for i in range(len(t) - 39) if seen[t[i : i + 40]] > 1 for x in range(i, i + 40)}
+        want.append((len(t), len(hit)))
+    got = suffix_dedup.repeated_bytes(docs.select("doc_id", "text", "lang"), length=40, with_kept=True).collect()
+    assert Counter((r.n_bytes, r.n_removed) for r in got) == Counter(want)
+    assert [r.kept for r in got if r.doc_id == 3] == [None] and suffix_dedup.repeated_bytes(none).count() == 0
+
+
+def test_merge_runs():
+    rng = np.random.default_rng(3)
+    runs = [sorted(bytes(rng.integers(97, 99, size=rng.integers(0, 12)).astype(np.uint8)) for _ in range(int(n))) for n in (0, 7, 30, 1, 12)]
+    coded = [(s.tolist(), n.tolist(), r) for s, n, r in map(suffix_dedup.front_code, runs)]
+    out = [(runs[r][i], h) for r, i, h in suffix_dedup.merge_runs(coded)]
+    assert [x for x, _ in out] == sorted(x for r in runs for x in r)
+    assert all(h == suffix_dedup.common_prefix(a, b, 0) for (a, _), (b, h) in zip(out, out[1:], strict=False))
+
+
+def test_passages(docs, none):
+    got = passages.near_duplicate_passages(docs).collect()
+    assert {r.doc_id for r in got} == {1, 2, 10} and all(r.n_words >= 120 for r in got)
+    assert passages.near_duplicate_passages(none).count() == 0
+
+
+def test_urls(spark):
+    urls = [(1, "http://A.net/x"), (2, "https://b.example.net/en/y?q"), (3, None), (4, "no scheme"), (5, "http://example.com/de/"), (5, "http://xnet/"), (6, "http://net")]
+    rules = [url_filter.rule(*r) for r in (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"))]
+    got = url_filter.judge_urls(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()
+    assert sorted((r.host, r.rule, r.verdict) for r in got if r.page_id in (1, 2, 5)) == [
+        ("a.net", "net/", "block"), ("b.example.net", "example.net/en/", "allow"), ("example.com", "example.com/de/", "block"), ("xnet", None, "allow")]
+    assert all((r.host, r.path, r.verdict) == ("", "", "allow") for r in got if r.page_id in (3, 4))
+
+
+def test_katz(docs, none):
+    held = F.coalesce(F.col("doc_id") == 5, F.lit(False))
+    frame = docs.select("doc_id", held.alias("held"), "text")
+    brute = Brute([t for d, t, _, _ in ROWS if d != 5])
+    got = katz.score(frame, "held").collect()
+    want = Counter((n, k, round(b, 6), round(s, 6)) for n, k, b, s in (brute.score(t) for _, t, _, _ in ROWS))
+    assert Counter((r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in got) == want
+    for h in ("<s>", "alpha", "word3"):
+        assert abs(sum(brute.p(h, w) for w in brute.uni) + brute.p(h, "never seen") - 1) < 1e-9
+    assert katz.score(none.select("doc_id", F.lit(False).alias("held"), "text"), "held").count() == 0
+    assert tokens(None) == tokens("") and re.match("</s>", tokens("")[0])
