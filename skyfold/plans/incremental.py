@@ -91,11 +91,11 @@ def best_observations(stg: DataFrame, as_of: str, previous: FlightState | None,
     The ranking is a total order, so the best of all history equals the
     best of (previous best ∪ new rows): with ``new_rows`` a run reads only
     the new rows and the small previous best, never the whole history."""
-    src = new_rows if (new_rows is not None and previous is not None and previous.airline_best is not None) else stg
-    src = src.where(F.col("extracted_at") <= F.lit(as_of).cast("timestamp_ntz"))
+    only_new = new_rows is not None and previous is not None and previous.airline_best is not None
+    src = (new_rows if only_new else stg).where(F.col("extracted_at") <= F.lit(as_of).cast("timestamp_ntz"))
     air = src.where(F.col("airline_iata").isNotNull()).select(*AIRLINE_OBS)
     apt = dims.airport_observations(src).select(*AIRPORT_OBS)
-    if src is new_rows:
+    if only_new:
         air = air.unionByName(previous.airline_best)
         apt = apt.unionByName(previous.airport_best)
     air_best = dims.top1_per_key(air, ["airline_iata"], dims.airline_rank())
@@ -147,9 +147,10 @@ def merge_fact_window(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def merge_fact(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Whole new fact: older dates pass through, look-back dates merged."""
+    """Whole new fact: older dates and undated rows pass through, look-back
+    dates are merged."""
     hw = high_water_mark(target, "flight_date")
-    old = target.where(F.col("flight_date") < F.date_sub(hw, FACT_LOOKBACK_DAYS))
+    old = target.where(F.col("flight_date").isNull() | (F.col("flight_date") < F.date_sub(hw, FACT_LOOKBACK_DAYS)))
     return old.unionByName(merge_fact_window(target, rows))
 
 
