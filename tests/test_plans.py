@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from skyfold.plans.queries import queries
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -26,14 +26,14 @@ def operator_tree(p):
     return tree.split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING))
+@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMING))
 def test_no_cross_or_python_in_plan(spark, name):
-    p = plan(E.queries()[name](spark, SF))
+    p = plan(queries()[name](spark, SF))
     assert not [f for f in FORBIDDEN if f in p], p
 
 
 def test_summary_plan_prunes_pushes_and_limits_before_shuffle(spark):
-    p = plan(E.queries()["daily_airport_summary"](spark, SF))
+    p = plan(queries()["daily_airport_summary"](spark, SF))
     # filter pushed into the staging scan, only needed columns read
     assert "PushedFilters: [IsNotNull(carrier_role), EqualTo(carrier_role,operating)]" in p
     stg_schema = [ln for ln in p.splitlines() if ln.startswith("ReadSchema: struct<flight_id")][0]
@@ -48,7 +48,7 @@ def test_summary_plan_prunes_pushes_and_limits_before_shuffle(spark):
 
 
 def test_enrichment_star_join_is_broadcast(spark):
-    tree = operator_tree(plan(E.queries()["fct_flights"](spark, SF)))
+    tree = operator_tree(plan(queries()["fct_flights"](spark, SF)))
     assert tree.count("BroadcastHashJoin LeftOuter") == 5 and "SortMergeJoin" not in tree
 
 
