@@ -133,19 +133,21 @@ def scd2_snapshot(
     ``source`` has one row per ``key``. New key → new open version; a check
     column changed (NULL-safe compare) → the open version is closed at
     ``as_of`` and a new one opened; unchanged → kept; key absent from the
-    source → kept open. ``dbt_scd_id`` hashes key and ``valid_from`` (D19).
+    source → kept open. A run dated before an open version began (late
+    data) switches just after that beginning, so no interval is inverted.
+    ``dbt_scd_id`` hashes key and ``valid_from`` (D19).
     One full outer join on the key; closed history passes through.
     """
     ts = F.lit(as_of).cast("timestamp_ntz")
     attrs = [c for c in source.columns if c != key]
 
-    def _new_version(df: DataFrame) -> DataFrame:
+    def _new_version(df: DataFrame, since: Column = ts) -> DataFrame:
         return df.select(
             key,
             *attrs,
-            surrogate_key(F.col(key), ts).alias("dbt_scd_id"),
-            ts.alias("dbt_updated_at"),
-            ts.alias("dbt_valid_from"),
+            surrogate_key(F.col(key), since).alias("dbt_scd_id"),
+            since.alias("dbt_updated_at"),
+            since.alias("dbt_valid_from"),
             F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
         )
 
@@ -161,13 +163,15 @@ def scd2_snapshot(
     in_t = F.col(f"t.{key}").isNotNull()
     in_s = F.col("s._in_s").isNotNull()
     changed = in_t & in_s & _changed(check_cols)
+    switch = F.greatest(ts, F.col("t.dbt_valid_from") + F.expr("INTERVAL 1 MICROSECOND"))  # ts for a new key
 
     kept_or_closed = j.where(in_t).select(
         *[F.col(f"t.{c}").alias(c) for c in [key, *attrs, "dbt_scd_id", "dbt_updated_at", "dbt_valid_from"]],
-        F.when(changed, ts).otherwise(F.col("t.dbt_valid_to")).alias("dbt_valid_to"),
+        F.when(changed, switch).otherwise(F.col("t.dbt_valid_to")).alias("dbt_valid_to"),
     )
     opened = _new_version(
-        j.where((~in_t) | changed).select(*[F.col(f"s.{c}").alias(c) for c in [key, *attrs]])
+        j.where((~in_t) | changed).select(*[F.col(f"s.{c}").alias(c) for c in [key, *attrs]], switch.alias("_since")),
+        F.col("_since"),
     )
     return history.unionByName(kept_or_closed).unionByName(opened).select(*out_cols)
 

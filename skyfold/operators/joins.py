@@ -7,20 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may have and still be broadcast to every task.
+# Rows a dimension of known size may have and still be broadcast to every task.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``dim`` only behind a size check.
+    """Hint a broadcast only where ``known_rows`` proves the size (e.g. the
+    days of a calendar span).
 
-    ``known_rows`` is a proven bound (e.g. days of a calendar span); without
-    it the dimension is counted, so pass a materialized (checkpointed)
-    dimension. Above the bound the plain DataFrame is returned and Spark
-    plans a shuffle join (AQE may still switch at run time).
+    Without that bound no hint is given: statistics and AQE choose a
+    broadcast under ``spark.sql.autoBroadcastJoinThreshold`` (bytes, not
+    rows), a shuffle join beyond it.
     """
-    rows = known_rows if known_rows is not None else dim.count()
-    return F.broadcast(dim) if rows <= max_rows else dim
+    return F.broadcast(dim) if known_rows is not None and known_rows <= max_rows else dim
 
 
 def lookup(

@@ -137,7 +137,12 @@ def top_gates(gate_usage: DataFrame, n: int = 5) -> DataFrame:
     return totals.orderBy(F.desc("total_flights"), F.asc("gate")).limit(n)
 
 
-def gate_heatmap(gate_usage: DataFrame) -> DataFrame:
-    """Gate × airline matrix of flight counts (Q7); one column per airline."""
+def gate_heatmap(gate_usage: DataFrame, airlines: Sequence[str] | None = None) -> DataFrame:
+    """Gate × airline matrix of flight counts (Q7).
+
+    Long form, one row per cell, so the schema does not depend on the data;
+    with ``airlines`` one column for each of them."""
     src = gate_usage.where(F.col("airline_iata").isNotNull())
-    return src.groupBy("gate").pivot("airline_iata").agg(F.sum("total_flight_count"))
+    if airlines is not None:
+        return src.groupBy("gate").pivot("airline_iata", list(airlines)).agg(F.sum("total_flight_count"))
+    return src.groupBy("gate", "airline_iata").agg(F.sum("total_flight_count").alias("flights"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,11 +102,14 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """False if nothing is stored at ``path``; other read failures are raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001 - any read failure means "no table yet"
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def write_table(

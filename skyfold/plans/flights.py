@@ -25,7 +25,7 @@ from skyfold.sources.fixtures import raw_flights_from_events
 from skyfold.sources.seeds import gate_capacity
 from skyfold.sources.tables import read_table
 
-# fct_flights column list
+# The fact's columns
 FCT_COLUMNS = [
     "flight_id", "flight_date", "direction", "flight_status",
     "dep_iata", "dep_airport_name", "arr_iata", "arr_airport_name",
@@ -41,7 +41,7 @@ FCT_COLUMNS = [
     "actual_year", "actual_month", "actual_day_name", "actual_is_weekend",
 ]
 
-# merge_update_columns of the fact
+# The fact's columns that a merge updates
 FCT_UPDATE_COLUMNS = [
     "flight_status", "actual_dep", "actual_arr", "delay_dep", "delay_arr",
     "is_on_time_dep", "is_on_time_arr", "delay_bucket_dep", "delay_bucket_arr",
@@ -109,14 +109,22 @@ def snapshot_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 # Ties on extracted_at (two records of one flight in one extract) are
-# decided by the mutable columns, latest-looking status first.
-FACT_TIE_BREAKERS = ["flight_status", "actual_arr", "actual_dep"]
+# decided by the mutable columns, latest-looking status first (D14), then by
+# every other stored column: rows that tie in all of them are equal. Rows
+# that tie in the first ones have the same daily measures.
+MEASURE_TIES = ["flight_status", "actual_arr", "actual_dep", "delay_dep", "delay_arr"]
+FACT_TIE_BREAKERS = [
+    *MEASURE_TIES, "sched_dep", "sched_arr", "gate_dep", "gate_arr", "baggage",
+    "terminal_dep", "terminal_arr", "airline_iata", "airline_name", "airline_icao", "flight_iata",
+    "operating_airline_iata", "operating_flight_iata", "dep_iata", "dep_airport_name", "arr_iata",
+    "arr_airport_name", "aircraft_icao24", "target_airport",
+]
 
 
-def operating_latest(stg_or_enriched: DataFrame) -> DataFrame:
+def operating_latest(stg_or_enriched: DataFrame, ties: list[str] = FACT_TIE_BREAKERS) -> DataFrame:
     """Operating rows, latest extract per ``flight_id`` (F2 + W1)."""
     ops = stg_or_enriched.where(F.col("carrier_role") == "operating")
-    return latest_per_key(ops, ["flight_id"], "extracted_at", *[F.col(c) for c in FACT_TIE_BREAKERS])
+    return latest_per_key(ops, ["flight_id"], "extracted_at", *[F.col(c) for c in ties])
 
 
 class FlightModel:
@@ -204,14 +212,20 @@ class FlightModel:
         """Fact rows with the derived measures (like ``fact``, no dims)."""
         return flight_measures(operating_latest(drop_variants(self.stg)))
 
+    @cached_property
+    def fact_kpi(self) -> DataFrame:
+        """``fact_measured`` for daily measures only: the columns that decide
+        no measure are not read."""
+        return flight_measures(operating_latest(drop_variants(self.stg), MEASURE_TIES))
+
     # -- marts -------------------------------------------------------------
     @cached_property
     def daily_airport_summary(self) -> DataFrame:
-        return kpi.flight_kpis(self.fact_measured, ["flight_date"])
+        return kpi.flight_kpis(self.fact_kpi, ["flight_date"])
 
     @cached_property
     def daily_airport_operations(self) -> DataFrame:
-        return kpi.flight_kpis(self.fact_measured, ["actual_operation_date"], not_null_keys=True)
+        return kpi.flight_kpis(self.fact_kpi, ["actual_operation_date"], not_null_keys=True)
 
     @cached_property
     def daily_airline_summary(self) -> DataFrame:

@@ -7,22 +7,25 @@ state of the previous run, and returns the new state:
 * ``fct_flights``: MERGE on ``flight_id`` of the operating, de-duplicated
   rows whose ``flight_date`` is within 3 days of the stored maximum,
   updating only the mutable columns;
-* ``daily_airport_summary``: DELETE+INSERT by ``flight_date`` of the days
-  within 7 days of the stored maximum.
+* the four daily marts: DELETE+INSERT by their key columns of the days
+  within 7 days of the stored maximum (or, with ``replace_window``, of the
+  whole range of days).
 
 Because ``flight_id`` hashes ``flight_date``, a merged key never leaves its
 date: only the look-back dates of the fact are rewritten, and the rest of
 the table passes through untouched (at scale: dynamic partition overwrite
 of those dates only). Each state is checkpointed into the shared
 checkpoint folder between runs, so a lost executor recomputes from the
-stored state, never from the first batch.
+stored state, never from the first batch. With a ``FlightStore`` a run
+starts from what the last committed run has stored, in any process.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from skyfold.operators import dims, kpi
@@ -31,6 +34,7 @@ from skyfold.operators.joins import checked_broadcast
 from skyfold.operators.materialize import (
     check_schema,
     delete_insert,
+    delete_insert_window,
     high_water_mark,
     is_empty,
     merge_upsert,
@@ -54,9 +58,35 @@ class FlightState:
     dim_airlines: DataFrame
     dim_airports: DataFrame
     fct_flights: DataFrame
-    daily_airport_summary: DataFrame
-    airline_best: DataFrame | None = None
-    airport_best: DataFrame | None = None
+    marts: dict[str, DataFrame]
+    airline_best: DataFrame
+    airport_best: DataFrame
+    as_of: str
+    fact_mark: dt.date | None  # largest flight_date of the fact
+
+    @property
+    def daily_airport_summary(self) -> DataFrame:
+        return self.marts["daily_airport_summary"]
+
+
+@dataclass(frozen=True)
+class Mart:
+    """A daily mart: key columns (the first is the day), and whether it reads
+    the fact or every staging row."""
+
+    keys: tuple[str, ...]
+    of_fact: bool
+    not_null: tuple[str, ...]
+
+
+MARTS = {
+    "daily_airport_summary": Mart(("flight_date",), True, ()),
+    "daily_airport_operations": Mart(("actual_operation_date",), True, ("actual_operation_date",)),
+    "daily_airline_summary": Mart(("flight_date", "airline_iata"), False, ("airline_iata",)),
+    "daily_airline_operations": Mart(
+        ("actual_operation_date", "airline_iata"), False, ("actual_operation_date", "airline_iata")
+    ),
+}
 
 
 class SnapshotModel(FlightModel):
@@ -91,7 +121,7 @@ def best_observations(stg: DataFrame, as_of: str, previous: FlightState | None,
     The ranking is a total order, so the best of all history equals the
     best of (previous best ∪ new rows): with ``new_rows`` a run reads only
     the new rows and the small previous best, never the whole history."""
-    only_new = new_rows is not None and previous is not None and previous.airline_best is not None
+    only_new = new_rows is not None and previous is not None
     src = (new_rows if only_new else stg).where(F.col("extracted_at") <= F.lit(as_of).cast("timestamp_ntz"))
     air = src.where(F.col("airline_iata").isNotNull()).select(*AIRLINE_OBS)
     apt = dims.airport_observations(src).select(*AIRPORT_OBS)
@@ -128,79 +158,112 @@ def snapshot_dims(stg: DataFrame, as_of: str, previous: FlightState | None,
     return airlines, airports
 
 
-def fact_rows(model: FlightModel, target: DataFrame | None) -> DataFrame:
-    """New fact rows; with a target only the 3-day look-back."""
-    stg = drop_variants(model.stg)
-    if target is not None:
-        hw = high_water_mark(target, "flight_date")
-        stg = stg.where(F.col("flight_date") >= F.date_sub(hw, FACT_LOOKBACK_DAYS))
+def lookback_start(mark: dt.date | None) -> Column:
+    """First date that a merge touches (NULL, so none, without dated rows)."""
+    return F.date_sub(F.lit(mark).cast("date"), FACT_LOOKBACK_DAYS)
+
+
+def fact_rows(model: FlightModel, mark: dt.date | None) -> DataFrame:
+    """New fact rows of the 3-day look-back."""
+    stg = drop_variants(model.stg).where(F.col("flight_date") >= lookback_start(mark))
     return model.enrich(operating_latest(stg)).select(*FCT_COLUMNS)
 
 
-def merge_fact_window(target: DataFrame, rows: DataFrame) -> DataFrame:
+def merge_fact_window(target: DataFrame, rows: DataFrame, mark: dt.date | None) -> DataFrame:
     """MERGE restricted to the look-back dates of the target: the merged
     rows of every date >= max(flight_date) - 3 (flight_id determines
     flight_date, so no key of ``rows`` lives in an older date)."""
-    hw = high_water_mark(target, "flight_date")
-    window = target.where(F.col("flight_date") >= F.date_sub(hw, FACT_LOOKBACK_DAYS))
+    window = target.where(F.col("flight_date") >= lookback_start(mark))
     return merge_upsert(window, rows, ["flight_id"], FCT_UPDATE_COLUMNS)
 
 
-def merge_fact(target: DataFrame, rows: DataFrame) -> DataFrame:
+def merge_fact(target: DataFrame, rows: DataFrame, mark: dt.date | None) -> DataFrame:
     """Whole new fact: older dates and undated rows pass through, look-back
     dates are merged."""
-    hw = high_water_mark(target, "flight_date")
-    old = target.where(F.col("flight_date").isNull() | (F.col("flight_date") < F.date_sub(hw, FACT_LOOKBACK_DAYS)))
-    return old.unionByName(merge_fact_window(target, rows))
+    inside = F.coalesce(F.col("flight_date") >= lookback_start(mark), F.lit(False))
+    return target.where(~inside).unionByName(merge_fact_window(target, rows, mark))
+
+
+def mart_rows(mart: Mart, model: FlightModel, fact: DataFrame, since: Column | None) -> DataFrame:
+    src = fact if mart.of_fact else model.measured
+    for c in mart.not_null:
+        src = src.where(F.col(c).isNotNull())
+    if since is not None:
+        src = src.where(F.col(mart.keys[0]) >= since)
+    return kpi.flight_kpis(src, list(mart.keys))
+
+
+def mart_table(mart: Mart, model: FlightModel, fact: DataFrame, target: DataFrame | None, replace_window: bool) -> DataFrame:
+    """New state of a mart; an absent or empty target is a first build."""
+    if target is None or is_empty(target):
+        return mart_rows(mart, model, fact, None)
+    day = mart.keys[0]
+    since = F.date_sub(high_water_mark(target, day), MART_LOOKBACK_DAYS)
+    batch = mart_rows(mart, model, fact, since)
+    check_schema(batch, target)
+    if replace_window:
+        return delete_insert_window(target, batch, day, since)
+    return delete_insert(target, batch, list(mart.keys))
 
 
 class FlightStore:
     """Physical tables of the incremental model under ``root``.
 
-    ``fct_flights`` is partitioned by ``flight_date``: an incremental run
-    rewrites only the look-back dates (dynamic partition overwrite of a
-    checkpointed slice, so the write never reads its own target). The
-    small ``daily_airport_summary`` is rewritten whole into a new version
-    folder. Snapshots are new version folders too.
+    Every run writes new version folders (``<table>/v<run>``) and, as its
+    last step, appends one row to the ``commits`` table; readers and the next
+    run see the tables of the last committed run only, so an attempt that
+    fails changes nothing and its number is used again. ``fct_flights`` is
+    partitioned by ``flight_date``: an incremental run rewrites only the
+    look-back dates of the current version (dynamic partition overwrite of a
+    checkpointed slice, so the write never reads its own target); the
+    look-back starts at the *committed* mark, so a repeated attempt merges
+    the same dates again. A full refresh writes a new version. One run at a
+    time.
     """
 
-    def __init__(self, spark, root: str, max_writers_per_date: int = 64):
+    SMALL = ("dim_airlines", "dim_airports", "airline_best", "airport_best", *MARTS)
+    COMMIT = "run long, fact_run long, as_of string, fact_mark date"
+
+    def __init__(self, spark, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.max_writers_per_date = max_writers_per_date
-        self.version = 0
 
-    @property
-    def fact_path(self) -> str:
-        return f"{self.root}/fct_flights"
+    def last_commit(self) -> Row | None:
+        path = f"{self.root}/commits"
+        if not table_exists(self.spark, path):
+            return None
+        return self.spark.read.schema(self.COMMIT).parquet(path).orderBy(F.desc("run")).first()
+
+    def commit(self, run: int, fact_run: int, as_of: str, fact_mark: dt.date | None) -> None:
+        row = self.spark.createDataFrame([(run, fact_run, as_of, fact_mark)], self.COMMIT)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def read_fact(self) -> DataFrame:
-        return self.spark.read.parquet(self.fact_path).select(*FCT_COLUMNS)
+    def load(self) -> FlightState | None:
+        """State after the last committed run; None before the first one."""
+        last = self.last_commit()
+        if last is None:
+            return None
+        small = {name: self.spark.read.parquet(self.path(name, last.run)) for name in self.SMALL}
+        marts = {name: small.pop(name) for name in MARTS}
+        return FlightState(fct_flights=self.read_fact(last.fact_run), marts=marts, as_of=last.as_of, fact_mark=last.fact_mark, **small)
 
-    def _spread(self, df: DataFrame, salt_col: str = "flight_id") -> DataFrame:
-        """Hash-partition by (date, salt) before a partitioned write: a hot
-        date is spread over up to ``max_writers_per_date`` tasks, never one.
-        No count is needed: AQE coalesces the small shuffle partitions, so
-        small data still ends up in few files per date."""
-        salt = F.pmod(F.xxhash64(salt_col), F.lit(self.max_writers_per_date))
-        return df.repartition(F.col("flight_date"), salt)
+    def path(self, name: str, run: int) -> str:
+        return f"{self.root}/{name}/v{run:05d}"
 
-    def write_fact(self, df: DataFrame) -> DataFrame:
-        write_table(self._spread(df), self.fact_path, ["flight_date"])
-        return self.read_fact()
+    def write(self, df: DataFrame, name: str, run: int) -> DataFrame:
+        write_table(df, self.path(name, run))
+        return self.spark.read.parquet(self.path(name, run))
 
-    def write_fact_dates(self, df: DataFrame) -> DataFrame:
-        overwrite_partitions(self._spread(df), self.fact_path, ["flight_date"])
-        return self.read_fact()
+    def read_fact(self, run: int) -> DataFrame:
+        return self.spark.read.parquet(self.path("fct_flights", run)).select(*FCT_COLUMNS)
 
-    def new_version(self, df: DataFrame, name: str) -> DataFrame:
-        self.version += 1
-        path = f"{self.root}/{name}/v{self.version:05d}"
-        write_table(df, path)
-        return self.spark.read.parquet(path).select(*df.columns)
+    def write_fact(self, df: DataFrame, run: int) -> DataFrame:
+        write_table(by_date(df), self.path("fct_flights", run), ["flight_date"])
+        return self.read_fact(run)
 
-    def has_fact(self) -> bool:
-        return table_exists(self.spark, self.fact_path)
+    def write_fact_dates(self, df: DataFrame, run: int) -> DataFrame:
+        overwrite_partitions(by_date(df), self.path("fct_flights", run), ["flight_date"])
+        return self.read_fact(run)
 
     @property
     def staging_path(self) -> str:
@@ -214,19 +277,18 @@ class FlightStore:
         overwrite), so the append is idempotent. VARIANT columns are kept.
         """
         rows = stg_batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        overwrite_partitions(self._spread(rows, "extracted_at"), self.staging_path, ["flight_date", "batch_id"])
-        return self.read_staging().where(F.col("batch_id") == batch_id).drop("batch_id")
+        overwrite_partitions(by_date(rows), self.staging_path, ["flight_date", "batch_id"])
+        stored = self.spark.read.parquet(self.staging_path)
+        return stored.where(F.col("batch_id") == batch_id).drop("batch_id")
 
     def read_staging(self) -> DataFrame:
         return self.spark.read.parquet(self.staging_path).drop("batch_id")
 
 
-def summary_rows(fact: DataFrame, target: DataFrame | None) -> DataFrame:
-    src = fact
-    if target is not None:
-        hw = high_water_mark(target, "flight_date")
-        src = src.where(F.col("flight_date") >= F.date_sub(hw, MART_LOOKBACK_DAYS))
-    return kpi.flight_kpis(src, ["flight_date"])
+def by_date(df: DataFrame) -> DataFrame:
+    """Rows of a date together before a partitioned write; AQE splits a hot
+    date, and joins small ones, by size."""
+    return df.hint("rebalance", F.col("flight_date"))
 
 
 def run(
@@ -236,41 +298,55 @@ def run(
     full_refresh: bool = False,
     store: FlightStore | None = None,
     new_rows: DataFrame | None = None,
+    replace_window: bool = False,
 ) -> FlightState:
-    """One scheduled run over the staging relation as of ``as_of``.
+    """One scheduled run over the staging relation as of ``as_of`` (or as of
+    the last run, if that was later).
 
-    With a ``store`` the tables are written there (the production path);
-    without, each state is cut from its lineage into the checkpoint folder.
+    With a ``store`` the run starts from its last committed state, and the
+    tables are written there (the production path); without, it starts from
+    ``previous`` and each state is cut from its lineage into the checkpoint
+    folder.
     """
+    last = store.last_commit() if store else None
+    if store:
+        previous = store.load()
     prev = None if full_refresh else previous
+    number = last.run + 1 if last else 1
+    if prev is not None:
+        as_of = max(as_of, prev.as_of)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return store.new_version(df, name) if store else cut_lineage(df, name)
+        return store.write(df, name, number) if store else cut_lineage(df, name)
 
-    air_best, apt_best = best_observations(stg, as_of, prev, new_rows)
-    air_best, apt_best = keep(air_best, "airline_best"), keep(apt_best, "airport_best")
-    airlines, airports = snapshot_dims(stg, as_of, prev, (air_best, apt_best))
+    best = best_observations(stg, as_of, prev, new_rows)
+    best = keep(best[0], "airline_best"), keep(best[1], "airport_best")
+    airlines, airports = snapshot_dims(stg, as_of, prev, best)
     airlines, airports = keep(airlines, "dim_airlines"), keep(airports, "dim_airports")
     model = SnapshotModel(stg, airlines, airports)
 
     first = prev is None or is_empty(prev.fct_flights)  # D21: empty target = first build
+    fact_run = number if first or last is None else last.fact_run
     if first:
         fact = model.fact.select(*FCT_COLUMNS)
-        fact = store.write_fact(fact) if store else cut_lineage(fact, "fct_flights")
+        fact = store.write_fact(fact, number) if store else cut_lineage(fact, "fct_flights")
+        newest = fact
     else:
-        rows = fact_rows(model, prev.fct_flights)
+        rows = fact_rows(model, prev.fact_mark)
         check_schema(rows, prev.fct_flights)  # on_schema_change='fail'
         if store:
-            window = cut_lineage(merge_fact_window(prev.fct_flights, rows), "fct_window")
-            fact = store.write_fact_dates(window)
+            newest = cut_lineage(merge_fact_window(prev.fct_flights, rows, prev.fact_mark), "fct_window")
+            fact = store.write_fact_dates(newest, fact_run)
         else:
-            fact = cut_lineage(merge_fact(prev.fct_flights, rows), "fct_flights")
-
-    if first or is_empty(prev.daily_airport_summary):
-        summary = summary_rows(fact, None)
-    else:
-        batch = summary_rows(fact, prev.daily_airport_summary)
-        check_schema(batch, prev.daily_airport_summary)
-        summary = delete_insert(prev.daily_airport_summary, batch, ["flight_date"])
-    summary = keep(summary, "daily_airport_summary")
-    return FlightState(airlines, airports, fact, summary, air_best, apt_best)
+            newest = fact = cut_lineage(merge_fact(prev.fct_flights, rows, prev.fact_mark), "fct_flights")
+    mark = newest.agg(F.max("flight_date")).first()[0]  # one value, of the rows just written
+    if prev is not None and prev.fact_mark is not None:
+        mark = max(mark or prev.fact_mark, prev.fact_mark)
+
+    marts = {
+        name: keep(mart_table(mart, model, fact, prev.marts[name] if prev else None, replace_window), name)
+        for name, mart in MARTS.items()
+    }
+    if store:
+        store.commit(number, fact_run, as_of, mark)
+    return FlightState(airlines, airports, fact, marts, best[0], best[1], as_of, mark)

@@ -179,12 +179,19 @@ FCT_COLUMNS = """flight_id, flight_date, direction, flight_status, dep_iata, dep
   actual_year, actual_month, actual_day_name, actual_is_weekend"""
 
 
+#: Which of several records of a flight in one extract counts.
+LATEST_TIES = """flight_status actual_arr actual_dep delay_dep delay_arr sched_dep sched_arr gate_dep gate_arr baggage terminal_dep terminal_arr
+  airline_iata airline_name airline_icao flight_iata operating_airline_iata operating_flight_iata
+  dep_iata dep_airport_name arr_iata arr_airport_name aircraft_icao24 target_airport""".split()
+
+
 def fact_cte(src: str = "enriched", name: str = "fact", extra_where: str = "") -> str:
     return f"""
 {name} AS (
   SELECT {FCT_COLUMNS} FROM {src}
   WHERE carrier_role = 'operating'{extra_where}
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY extracted_at DESC) = 1
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY extracted_at DESC,
+    {", ".join(f"{c} DESC NULLS LAST" for c in LATEST_TIES)}) = 1
 )"""
 
 
@@ -287,10 +294,9 @@ SELECT flight_date, gates_used, CAST(c.gate_count AS BIGINT) AS gate_count,
 FROM used, capacity c"""
     q["top_gates"] = model_with() + gate_usage + """SELECT gate, CAST(SUM(total_flight_count) AS BIGINT) AS total_flights
 FROM gus GROUP BY gate ORDER BY total_flights DESC, gate ASC LIMIT 5"""
-    q["gate_heatmap"] = model_with() + gate_usage + """, cells AS (
-  SELECT gate, airline_iata, CAST(SUM(total_flight_count) AS BIGINT) AS n FROM gus
-  WHERE airline_iata IS NOT NULL GROUP BY gate, airline_iata)
-PIVOT cells ON airline_iata USING first(n) GROUP BY gate"""
+    q["gate_heatmap"] = model_with() + gate_usage + """SELECT gate, airline_iata,
+  CAST(SUM(total_flight_count) AS BIGINT) AS flights
+FROM gus WHERE airline_iata IS NOT NULL GROUP BY ALL"""
     q["kpi_tiles"] = _m(tiles_select() + " FROM fact")
     q["kpi_tiles_airline"] = _m(tiles_select("airline_iata") + " FROM enriched WHERE airline_iata IS NOT NULL GROUP BY airline_iata")
     summary = ", summary AS (" + kpi_select("flight_date") + " FROM fact GROUP BY flight_date)\n"
@@ -463,12 +469,29 @@ gate_usage_summary AS (
     return "WITH " + ",".join(ctes) + "\n" + "\nUNION ALL\n".join(selects)
 
 
+def mart_two_runs(keys: list[str], first: str, second: str) -> str:
+    """A mart built from ``first``; of the last 7 days the keys that ``second`` has are built anew."""
+    cols, day = ", ".join(keys), keys[0]
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys if k != "flight_date")
+    same = " AND ".join(f"n.{k} = o.{k}" for k in keys)
+    return f""", old AS ({kpi_select(cols)} FROM {first} WHERE {known} GROUP BY ALL),
+new AS ({kpi_select(cols)} FROM {second} WHERE {known} AND {day} >= (SELECT max({day}) FROM old) - 7 GROUP BY ALL)
+SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE {same})
+UNION ALL SELECT * FROM new"""
+
+
 def oracle_sql_incremental() -> dict[str, str]:
     q = {}
     q["fct_flights_two_batches"] = two_runs_with() + "SELECT * FROM merged"
     q["daily_summary_two_batches"] = two_runs_with() + """SELECT * FROM summary1
 WHERE flight_date NOT IN (SELECT flight_date FROM batch2)
 UNION ALL SELECT * FROM batch2"""
+    for name, keys, first, second in (
+        ("daily_airport_operations", ["actual_operation_date"], "fact1", "merged"),
+        ("daily_airline_summary", ["flight_date", "airline_iata"], "enriched1", "enriched2"),
+        ("daily_airline_operations", ["actual_operation_date", "airline_iata"], "enriched1", "enriched2"),
+    ):
+        q[f"{name}_two_batches"] = two_runs_with() + mart_two_runs(keys, first, second)
     q["airline_scd2"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airline") + "\nSELECT * FROM scd"
     q["airport_scd2"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airport") + "\nSELECT * FROM scd"
     q["flights_asof_airline"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airline") + """

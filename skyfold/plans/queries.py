@@ -195,10 +195,10 @@ def _two_runs(spark, sf_dir):
     from skyfold.session import scratch_path
 
     stg = _model(spark, sf_dir).stg
-    store = incremental.FlightStore(spark, scratch_path(spark, "warehouse"))
+    root = scratch_path(spark, "warehouse")
     batch1 = stg.where(F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz"))
-    state1 = incremental.run(batch1, RUN1_AS_OF, store=store)
-    return incremental.run(stg, RUN2_AS_OF, previous=state1, store=store)
+    incremental.run(batch1, RUN1_AS_OF, store=incremental.FlightStore(spark, root))
+    return incremental.run(stg, RUN2_AS_OF, store=incremental.FlightStore(spark, root))  # as a second process would
 
 
 def q_fct_flights_two_batches(spark, sf_dir):
@@ -209,6 +209,18 @@ def q_daily_summary_two_batches(spark, sf_dir):
     return _two_runs(spark, sf_dir).daily_airport_summary
 
 
+def q_daily_airport_operations_two_batches(spark, sf_dir):
+    return _two_runs(spark, sf_dir).marts["daily_airport_operations"]
+
+
+def q_daily_airline_summary_two_batches(spark, sf_dir):
+    return _two_runs(spark, sf_dir).marts["daily_airline_summary"]
+
+
+def q_daily_airline_operations_two_batches(spark, sf_dir):
+    return _two_runs(spark, sf_dir).marts["daily_airline_operations"]
+
+
 def _airline_snapshots(stg):
     from skyfold.session import cut_lineage
 
@@ -355,11 +367,10 @@ def q_stream_upsert(spark, sf_dir):
     records = raw_json_text_from_events(ensure_parallelism(read_table(spark, sf_dir, "events")))
     first = F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz")
     day = F.date_trunc("day", "extracted_at").cast("timestamp_ntz")
-    store = FlightStore(spark, f"{base}/warehouse")
-    state = None
     for batch in (records.where(first), records.where(~first)):  # two scheduled runs
         write_landing(batch.withColumn("extracted_at", day), f"{base}/landing")
-        state = upsert_stream(spark, f"{base}/landing", store, f"{base}/_checkpoint", "HUB", previous=state)
+        store = FlightStore(spark, f"{base}/warehouse")  # a new process opens the store again
+        state = upsert_stream(spark, f"{base}/landing", store, f"{base}/_checkpoint", "HUB")
     return state.fct_flights.select("flight_id", "flight_date", "direction")
 
 
@@ -395,6 +406,9 @@ QUERIES: dict[str, Query] = {
     "orders_status_rollup": q_orders_status_rollup,
     "fct_flights_two_batches": q_fct_flights_two_batches,
     "daily_summary_two_batches": q_daily_summary_two_batches,
+    "daily_airport_operations_two_batches": q_daily_airport_operations_two_batches,
+    "daily_airline_summary_two_batches": q_daily_airline_summary_two_batches,
+    "daily_airline_operations_two_batches": q_daily_airline_operations_two_batches,
     "airline_scd2": q_airline_scd2,
     "airport_scd2": q_airport_scd2,
     "flights_asof_airline": q_flights_asof_airline,

@@ -54,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read
-    (SparkContext applies it at start-up). Where it is unset (local tests)
+    (SparkContext applies it at start-up). Where it is unset, a cluster
+    session is refused; a local one (tests) gets
     a private folder under the system temp directory is created once per
     SparkContext and registered with ``setCheckpointDir``.
     """
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
+    if sc.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     key = sc.applicationId
     if key not in _LOCAL_CHECKPOINT_DIRS:
         path = tempfile.mkdtemp(prefix="skyfold-ckpt-")

@@ -83,7 +83,9 @@ def read_landing(spark: SparkSession, landing_dir: str, target_airport: str, now
     or no ``*.json`` entry gives an empty raw table."""
     try:
         lines = spark.read.text(landing_glob(landing_dir)).select("value", "_metadata")
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RAW_SCHEMA + ", _line STRING")
     return to_raw(lines, target_airport, now)
 
@@ -108,16 +110,15 @@ def write_landing(records: DataFrame, landing_dir: str, json_col: str = "json_te
     """Write NDJSON records, one landing folder per (direction, extract
     time) (S8). ``records`` has ``json_col``, ``direction``, ``extracted_at``.
 
-    Rows are spread over tasks by the landing name *and* a hash of the
-    record, so one large extract is written by many tasks (many part
-    files in its folder), never by one.
+    The rebalance lets AQE split a large extract over as many tasks as its
+    size asks for (many part files in its folder) and join small ones.
     """
     out = records.select(
         landing_name(F.col("direction"), F.col("extracted_at")).alias("landing_file"),
         F.col(json_col).alias("value"),
     )
     (
-        out.repartition("landing_file", F.pmod(F.xxhash64("value"), F.lit(8)))
+        out.hint("rebalance", F.col("landing_file"))
         .write.mode("append")
         .partitionBy("landing_file")
         .text(landing_dir)

@@ -32,7 +32,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, target_airport: str, n
     return to_raw(lines, target_airport, now)
 
 
-def _batch_writer(raw_path: str, reject_path: str | None) -> Callable[[DataFrame, int], None]:
+def _batch_writer(raw_path: str, reject_path: str | None, done: set[int]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         # two sinks: parse the micro-batch once (persist), write both, release
         batch = batch.persist()
@@ -41,6 +41,7 @@ def _batch_writer(raw_path: str, reject_path: str | None) -> Callable[[DataFrame
             good.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
             if reject_path:
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+            done.add(batch_id)
         finally:
             batch.unpersist()
 
@@ -61,8 +62,9 @@ def ingest_available(
     """Drain pending landing files into the raw table; returns the number
     of micro-batches run."""
     stream = landing_stream(spark, landing_dir, target_airport, now, archive_dir, max_files_per_trigger)
+    done: set[int] = set()
     q = (
-        stream.writeStream.foreachBatch(_batch_writer(raw_path, reject_path))
+        stream.writeStream.foreachBatch(_batch_writer(raw_path, reject_path, done))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -70,7 +72,7 @@ def ingest_available(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    return len(done)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -84,14 +86,16 @@ def upsert_stream(
     store,
     checkpoint: str,
     target_airport: str,
-    previous=None,
     reject_path: str | None = None,
     archive_dir: str | None = None,
     now: Column | None = None,
+    max_files_per_trigger: int | None = None,
 ):
     """One scheduled run: drain pending landing files into the incremental
-    model (R2). Returns the state after the run (``previous`` if nothing
-    was pending).
+    model (R2). Returns the stored state after the run. The state is read
+    from the store for every micro-batch, so a run may start in a new
+    process, and a micro-batch that is tried again continues from the last
+    committed run.
 
     Each micro-batch is flattened and appended to the stored staging table
     (the reference's staging view covers all loaded records); the model
@@ -103,26 +107,21 @@ def upsert_stream(
     from skyfold.operators.flatten import flatten_flights
     from skyfold.plans import incremental
 
-    states = [previous]
-
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             good, bad = split_rejects(batch)
             if reject_path:
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-            flat = flatten_flights(good).persist()
-            stg_batch = store.append_staging(flat, batch_id)
-            flat.unpersist()
+            stg_batch = store.append_staging(flatten_flights(good), batch_id)
         finally:
             batch.unpersist()
         as_of = stg_batch.agg(F.max("extracted_at").cast("string")).first()[0]  # one scalar
         if as_of is None:
             return
-        states.append(incremental.run(store.read_staging(), as_of, previous=states[-1], store=store,
-                                      new_rows=stg_batch))
+        incremental.run(store.read_staging(), as_of, store=store, new_rows=stg_batch)
 
-    stream = landing_stream(spark, landing_dir, target_airport, now, archive_dir)
+    stream = landing_stream(spark, landing_dir, target_airport, now, archive_dir, max_files_per_trigger)
     q = (
         stream.writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
@@ -132,4 +131,4 @@ def upsert_stream(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return states[-1]
+    return store.load()

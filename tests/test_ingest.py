@@ -104,25 +104,35 @@ def test_capacity_seed(spark):
 
 
 def test_upsert_stream_two_runs_keep_keys(spark, tmp_dir):
-    from skyfold.plans.incremental import FlightStore
+    from skyfold.plans.incremental import MARTS, FlightStore
     from skyfold.streaming.ingest import upsert_stream
 
     land = os.path.join(tmp_dir, "landing")
     rec = ('{"flight_date":"%s","flight_status":"%s","flight":{"iata":"AC1"},"departure":{"iata":"HUB",'
            '"scheduled":"%sT10:00:00-05:00"},"arrival":{"iata":"P1","scheduled":"%sT11:00:00-05:00"},'
            '"airline":{"iata":"AC","name":"Air C"}}')
-    store = FlightStore(spark, os.path.join(tmp_dir, "wh"))
+    wh = os.path.join(tmp_dir, "wh")
     _write(f"{land}/flights_departure_20260501_060000.json", rec % ("2026-05-01", "scheduled", "2026-05-01", "2026-05-01") + "\n")
-    s1 = upsert_stream(spark, land, store, os.path.join(tmp_dir, "ck"), "HUB")
+    s1 = upsert_stream(spark, land, FlightStore(spark, wh), os.path.join(tmp_dir, "ck"), "HUB")
     assert s1.fct_flights.first().flight_status == "scheduled"
     # later extract: same flight landed (update), plus a flight 10 days older than the stored max (ignored)
     _write(f"{land}/flights_departure_20260502_060000.json",
            rec % ("2026-05-01", "landed", "2026-05-01", "2026-05-01") + "\n"
            + (rec % ("2026-04-20", "landed", "2026-04-20", "2026-04-20")).replace("AC1", "AC2") + "\n")
-    s2 = upsert_stream(spark, land, store, os.path.join(tmp_dir, "ck"), "HUB", previous=s1)
+    store = FlightStore(spark, wh)  # a second process: nothing but the folder is known
+    s2 = upsert_stream(spark, land, store, os.path.join(tmp_dir, "ck"), "HUB")
     rows = s2.fct_flights.collect()
     assert [(r.flight_iata, r.flight_status) for r in rows] == [("AC1", "landed")]
-    assert store.read_staging().count() == 3
+    assert store.read_staging().count() == 3 and store.last_commit().run == 2
+    assert [r.airline_name for r in s2.airline_best.collect()] == ["Air C"]
+    assert s2.dim_airlines.where("dbt_valid_to IS NULL").count() == 1
+    # a late extract without the airline's name: the best row and its version stay
+    _write(f"{land}/flights_departure_20260430_060000.json",
+           (rec % ("2026-05-01", "landed", "2026-05-01", "2026-05-01")).replace(',"name":"Air C"', ""))
+    s3 = upsert_stream(spark, land, FlightStore(spark, wh), os.path.join(tmp_dir, "ck"), "HUB")
+    assert [r.airline_name for r in s3.airline_best.collect()] == ["Air C"]
+    assert s3.dim_airlines.where("dbt_valid_to IS NOT NULL").count() == 0
+    assert set(s3.marts) == set(MARTS) and s3.marts["daily_airline_summary"].count() == 1
 
 
 def test_batch_load_appends_raw_and_rejects(spark, tmp_dir):

@@ -207,3 +207,36 @@ def test_unexpected_values(spark):
     df = spark.createDataFrame([("landed",), ("Cancelled",), ("Cancelled",), (None,), ("",)], "s string")
     got = {(r.s, r.rows) for r in unexpected_values(df, "s", ["landed", ""]).collect()}
     assert got == {("Cancelled", 2)}
+
+
+def test_scd2_late_run_never_inverts_an_interval(spark):
+    from skyfold.operators.dims import scd2_snapshot
+
+    def src(v):
+        return spark.createDataFrame([("k", v)], "k string, v string")
+
+    one = scd2_snapshot(src("a"), "k", ["v"], "2026-01-10 00:00:00")
+    two = scd2_snapshot(src("b"), "k", ["v"], "2026-01-05 00:00:00", existing=one)
+    rows = sorted(two.collect(), key=lambda r: r.dbt_valid_from)
+    assert [r.v for r in rows] == ["a", "b"] and rows[0].dbt_valid_from < rows[0].dbt_valid_to == rows[1].dbt_valid_from
+    assert rows[0].dbt_scd_id != rows[1].dbt_scd_id
+
+
+def test_latest_row_of_ties_is_the_same_under_any_partitioning(spark):
+    from skyfold.plans.flights import FCT_COLUMNS, FACT_TIE_BREAKERS, operating_latest
+
+    cols = [*FACT_TIE_BREAKERS]
+    rows = spark.range(400).select(
+        F.lit("f").alias("flight_id"), F.lit("operating").alias("carrier_role"), F.lit(1).alias("extracted_at"),
+        *[(F.concat(F.lit("g"), F.col("id") % 40) if c == "gate_dep" else F.lit("x")).alias(c) for c in cols],
+    )
+    got = {operating_latest(rows.repartition(n)).first().gate_dep for n in (1, 2, 3, 7)}
+    assert got == {"g9"} and "gate_dep" in FCT_COLUMNS
+
+
+def test_gate_heatmap_long_and_wide(spark):
+    from skyfold.operators.kpi import gate_heatmap
+
+    use = spark.createDataFrame([("1", "A", 2), ("1", "A", 3), ("1", None, 9), ("2", "B", 1)], "gate string, airline_iata string, total_flight_count long")
+    assert {tuple(r) for r in gate_heatmap(use).collect()} == {("1", "A", 5), ("2", "B", 1)}
+    assert {tuple(r) for r in gate_heatmap(use, ["A", "B", "C"]).collect()} == {("1", 5, None, None), ("2", None, 1, None)}
