@@ -12,21 +12,21 @@ NOW = dt.datetime(2030, 1, 1, 0, 0)
 
 def test_file_name_parse(spark):
     names = [
-        "/l/flights_departure_20260430_171743.json",
-        "/l/FLIGHTS_Arrival_20260430_171746.json",
-        "/l/bad_filename.json",
-        "/l/flights_unknown_20260430_171746.json",
-        "/l/landing_file=flights_departure_20260430_171743.json/part-0000.txt",
+        "/l/flights_departure_20270314_060102.json",
+        "/l/FLIGHTS_Arrival_20270314_060109.json",
+        "/l/timetable.json",
+        "/l/flights_charter_20270314_060109.json",
+        "/l/landing_file=flights_departure_20270314_060102.json/part-0000.txt",
     ]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, p string")
     out = with_landing_metadata(df, F.col("p"), F.lit(NOW).cast("timestamp_ntz")).orderBy("i")
     got = [(r.direction, r.extracted_at) for r in out.collect()]
     assert got == [
-        ("DEPARTURE", dt.datetime(2026, 4, 30, 17, 17, 43)),
-        ("ARRIVAL", dt.datetime(2026, 4, 30, 17, 17, 46)),
+        ("DEPARTURE", dt.datetime(2027, 3, 14, 6, 1, 2)),
+        ("ARRIVAL", dt.datetime(2027, 3, 14, 6, 1, 9)),
         ("UNKNOWN", NOW),
         ("UNKNOWN", NOW),
-        ("DEPARTURE", dt.datetime(2026, 4, 30, 17, 17, 43)),
+        ("DEPARTURE", dt.datetime(2027, 3, 14, 6, 1, 2)),
     ]
 
 
@@ -39,9 +39,9 @@ def _write(path, text):
 def test_pending_scan_top_level_json_only(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
     assert read_landing(spark, land, "HUB").count() == 0  # missing folder → nothing
-    _write(f"{land}/flights_departure_20260430_171743.json", '{"flight_date":"2026-04-30"}\n{"flight_date":"2026-04-30"}\n')
-    _write(f"{land}/notes.txt", '{"flight_date":"2026-04-30"}\n')
-    _write(f"{land}/archive/flights_arrival_20260430_171746.json", '{"flight_date":"2026-04-30"}\n')
+    _write(f"{land}/flights_departure_20270314_060102.json", '{"flight_date":"2027-03-14"}\n{"flight_date":"2027-03-14"}\n')
+    _write(f"{land}/notes.txt", '{"flight_date":"2027-03-14"}\n')
+    _write(f"{land}/archive/flights_arrival_20270314_060109.json", '{"flight_date":"2027-03-14"}\n')
     raw = read_landing(spark, land, "HUB")
     rows = raw.collect()
     assert len(rows) == 2 and {r.direction for r in rows} == {"DEPARTURE"}
@@ -50,7 +50,7 @@ def test_pending_scan_top_level_json_only(spark, tmp_dir):
 
 def test_rejects_split(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
-    _write(f"{land}/flights_arrival_20260430_171746.json", '{"a":1}\n{broken\n')
+    _write(f"{land}/flights_arrival_20270314_060109.json", '{"a":1}\n{broken\n')
     good, bad = split_rejects(read_landing(spark, land, "HUB"))
     assert good.count() == 1 and bad.first().line == "{broken"
 
@@ -58,7 +58,7 @@ def test_rejects_split(spark, tmp_dir):
 def test_streaming_ingest_loads_once_and_archives(spark, tmp_dir):
     land, raw = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
     ckpt, arch = os.path.join(tmp_dir, "ckpt"), os.path.join(tmp_dir, "archive")
-    _write(f"{land}/flights_departure_20260430_171743.json", '{"flight_date":"2026-04-30"}\n' * 3)
+    _write(f"{land}/flights_departure_20270314_060102.json", '{"flight_date":"2027-03-14"}\n' * 3)
     ingest_available(spark, land, raw, ckpt, "HUB", archive_dir=arch, max_files_per_trigger=1)
     assert read_raw(spark, raw).count() == 3
     ingest_available(spark, land, raw, ckpt, "HUB", archive_dir=arch)  # same files again: nothing new
@@ -68,13 +68,13 @@ def test_streaming_ingest_loads_once_and_archives(spark, tmp_dir):
     got = read_raw(spark, raw).groupBy("direction").count().collect()
     assert sorted((r.direction, r["count"]) for r in got) == [("ARRIVAL", 1), ("DEPARTURE", 3)]
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
-    assert "flights_departure_20260430_171743.json" in archived  # moved once a later batch committed
+    assert "flights_departure_20270314_060102.json" in archived  # moved once a later batch committed
 
 
 def test_spark_written_landing_round_trip(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
     recs = spark.createDataFrame(
-        [('{"flight_date":"2026-04-30"}', "DEPARTURE", dt.datetime(2026, 4, 30, 6, 0))] * 5,
+        [('{"flight_date":"2027-03-14"}', "DEPARTURE", dt.datetime(2026, 4, 30, 6, 0))] * 5,
         "json_text string, direction string, extracted_at timestamp_ntz",
     )
     write_landing(recs, land)
@@ -139,7 +139,7 @@ def test_batch_load_appends_raw_and_rejects(spark, tmp_dir):
     from skyfold.sources.landing import load_landing
 
     land = os.path.join(tmp_dir, "landing")
-    _write(f"{land}/flights_departure_20260430_171743.json", '{"a":1}\n{"a":2}\nnot json\n')
+    _write(f"{land}/flights_departure_20270314_060102.json", '{"a":1}\n{"a":2}\nnot json\n')
     raw, rej = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "rej")
     load_landing(spark, land, raw, "HUB", reject_path=rej)
     load_landing(spark, land, raw, "HUB", reject_path=rej)  # a batch re-load appends again (no bookkeeping)

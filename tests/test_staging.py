@@ -9,26 +9,26 @@ def _raw(spark, lines, direction="DEPARTURE"):
     df = spark.createDataFrame([(x,) for x in lines], "j string")
     return df.select(
         F.try_parse_json("j").alias("raw_json"),
-        F.lit(dt.datetime(2026, 5, 6, 12, 0)).cast("timestamp_ntz").alias("extracted_at"),
+        F.lit(dt.datetime(2027, 3, 14, 12, 0)).cast("timestamp_ntz").alias("extracted_at"),
         F.lit(direction).alias("direction"),
         F.lit("HUB").alias("target_airport"),
     )
 
 
 def test_minimal_record_flattens_to_nulls(spark):
-    stg = flatten_flights(_raw(spark, ['{"flight_date": "2026-05-06", "flight": {"iata": "PD101"}}']))
+    stg = flatten_flights(_raw(spark, ['{"flight_date": "2027-03-14", "flight": {"iata": "QZ7"}}']))
     r = stg.first().asDict()
     assert stg.columns == STAGING_COLUMNS
-    assert r["flight_date"] == dt.date(2026, 5, 6) and r["flight_iata"] == "PD101"
-    assert r["carrier_role"] == "operating" and r["operating_flight_iata"] == "PD101"
+    assert r["flight_date"] == dt.date(2027, 3, 14) and r["flight_iata"] == "QZ7"
+    assert r["carrier_role"] == "operating" and r["operating_flight_iata"] == "QZ7"
     for c in ("flight_status", "dep_iata", "sched_dep", "actual_dep", "airline_iata", "delay_dep", "gate_arr"):
         assert r[c] is None
 
 
 def test_codeshare_json_null_is_operating_object_is_marketing(spark):
     lines = [
-        '{"flight_date":"2026-05-06","flight":{"iata":"AC1","codeshared":null},"airline":{"iata":"AC"}}',
-        '{"flight_date":"2026-05-06","flight":{"iata":"UA9","codeshared":{"airline_iata":"AC","flight_iata":"AC1"}},'
+        '{"flight_date":"2027-03-14","flight":{"iata":"AC1","codeshared":null},"airline":{"iata":"AC"}}',
+        '{"flight_date":"2027-03-14","flight":{"iata":"UA9","codeshared":{"airline_iata":"AC","flight_iata":"AC1"}},'
         '"airline":{"iata":"UA"}}',
     ]
     rows = flatten_flights(_raw(spark, lines)).orderBy("flight_iata").collect()
@@ -39,11 +39,11 @@ def test_codeshare_json_null_is_operating_object_is_marketing(spark):
 
 
 def test_local_wall_time_kept_and_delay_from_instants(spark):
-    line = ('{"flight_date":"2026-05-06","departure":{"iata":"HUB","scheduled":"2026-05-06T23:30:00-04:00",'
-            '"actual":"2026-05-07T00:10:00-04:00"},"arrival":{"scheduled":"not a time"}}')
+    line = ('{"flight_date":"2027-03-14","departure":{"iata":"HUB","scheduled":"2027-03-14T23:30:00-04:00",'
+            '"actual":"2027-03-15T00:10:00-04:00"},"arrival":{"scheduled":"not a time"}}')
     r = flatten_flights(_raw(spark, [line])).first()
-    assert r.sched_dep == dt.datetime(2026, 5, 6, 23, 30)  # local date stays 05-06 (H1)
-    assert r.actual_dep == dt.datetime(2026, 5, 7, 0, 10)
+    assert r.sched_dep == dt.datetime(2027, 3, 14, 23, 30)  # local date stays 03-14 (H1)
+    assert r.actual_dep == dt.datetime(2027, 3, 15, 0, 10)
     assert r.delay_dep == 40
     assert r.sched_arr is None  # bad text → NULL, no failure
 
