@@ -162,3 +162,17 @@ def test_katz(docs, none):
         assert abs(sum(brute.p(h, w) for w in brute.uni) + brute.p(h, "never seen") - 1) < 1e-9
     assert katz.score(none.select("doc_id", F.lit(False).alias("held"), "text"), "held").count() == 0
     assert tokens(None) == tokens("") and re.match("</s>", tokens("")[0])
+
+
+def test_passages_of_a_group():
+    """Members are compared as sets: a repeated line counts in every phase, an exact run whatever surrounds it."""
+    rng = np.random.default_rng(2)
+    line = rng.integers(1, 1 << 31, size=10).astype(np.uint32)
+    anchor = [np.roll(np.tile(line, 14), x)[:129] for x in (0, 0, 3)]
+    run = rng.integers(1, 1 << 31, size=(4, 129)).astype(np.uint32)
+    run[:, 40:90] = run[0, 40:90]
+    for slices in (np.array(anchor), run):
+        found = list(passages.verify_group(slices, np.arange(len(slices)), 46, 0.8))
+        assert {m for m, *_ in found} == set(range(len(slices))) and all(like >= 0.8 and last - first >= 45 for _, _, first, last, like in found)
+    assert not list(passages.verify_group(run, np.zeros(4, int), 46, 0.8))  # one document
+    assert not list(passages.verify_group(rng.integers(1, 1 << 31, size=(5, 129)).astype(np.uint32), np.arange(5), 46, 0.8))
