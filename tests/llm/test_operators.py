@@ -176,3 +176,11 @@ def test_passages_of_a_group():
         assert {m for m, *_ in found} == set(range(len(slices))) and all(like >= 0.8 and last - first >= 45 for _, _, first, last, like in found)
     assert not list(passages.verify_group(run, np.zeros(4, int), 46, 0.8))  # one document
     assert not list(passages.verify_group(rng.integers(1, 1 << 31, size=(5, 129)).astype(np.uint32), np.arange(5), 46, 0.8))
+
+
+def test_passages_of_many_splits(spark):
+    """Documents of any partition, far beyond the 128th."""
+    text = F.when(F.col("id").isin(0, 140, 149), F.concat(F.col("id").cast("string"), F.lit(" " + PASSAGE)))
+    docs = spark.range(0, 150, numPartitions=150).select(F.col("id").alias("doc_id"), text.alias("text"))
+    got = passages.near_duplicate_passages(docs).collect()
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == [(0, 1, 121), (140, 1, 121), (149, 1, 121)]
