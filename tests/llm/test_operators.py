@@ -184,3 +184,14 @@ def test_passages_of_many_splits(spark):
     docs = spark.range(0, 150, numPartitions=150).select(F.col("id").alias("doc_id"), text.alias("text"))
     got = passages.near_duplicate_passages(docs).collect()
     assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == [(0, 1, 121), (140, 1, 121), (149, 1, 121)]
+
+
+def test_windows_of_a_long_text():
+    """The windows of a text of more than 2**20 shingles are those of its smallest hashes, up to its end."""
+    n, least = (1 << 20) + 30_000, 46
+    h = np.random.default_rng(4).integers(1 << 62, size=n).astype(np.uint64)
+    ((_, _, left, c, right),) = passages._windows(h, np.array([0, n]), least, 0, 0, 0)
+    want = np.unique(np.arange(n - least + 1) + np.lib.stride_tricks.sliding_window_view(h, least).argmin(axis=1))
+    assert np.array_equal(np.sort(c), want)
+    late = np.flatnonzero(c >= 1 << 20)
+    assert len(late) > 1000 and all(h[left[x] : right[x] + 1].min() == h[c[x]] and right[x] - left[x] + 1 >= least for x in late)
