@@ -195,3 +195,63 @@ def test_windows_of_a_long_text():
     assert np.array_equal(np.sort(c), want)
     late = np.flatnonzero(c >= 1 << 20)
     assert len(late) > 1000 and all(h[left[x] : right[x] + 1].min() == h[c[x]] and right[x] - left[x] + 1 >= least for x in late)
+
+
+def edited_pair(rng, words, edits):
+    """Shingle numbers of two texts that share a passage with some words replaced, inserted or left out."""
+    passage = [f"p{i}" for i in range(words)]
+    other = list(passage)
+    for _ in range(edits):
+        at = int(rng.integers(len(other)))
+        kind = int(rng.integers(3))
+        other[at : at + (kind != 1)] = [f"e{rng.integers(1 << 30)}"] * (kind != 2)
+    own, lead = ([f"{s}{i}" for i in range(80)] + p + [f"{s}{i}" for i in range(80, 160)] for s, p in (("a", passage), ("b", other)))
+    number: dict = {}
+    return [np.array([number.setdefault(tuple(t[i : i + 5]), len(number) + 1) for i in range(len(t) - 4)], np.uint32) for t in (own, lead)]
+
+
+def brute_width(own, lead, least, similarity):
+    """Width of the widest similar stretch around the middle, of distinct shingles, or 0."""
+    table = np.zeros((len(own) + 1, len(lead) + 1), int)
+    table[1:, 1:] = np.cumsum(np.cumsum(own[:, None] == lead, axis=0), axis=1)
+    mid = len(own) // 2
+    first, last, shift, grow = np.meshgrid(np.arange(mid + 1), np.arange(mid, len(own)), np.arange(-4, 5), np.arange(-4, 5), indexing="ij")
+    first_2, last_2 = np.clip(first + shift, 0, mid), np.clip(last + grow, mid, len(own) - 1)
+    a, b = last - first + 1, last_2 - first_2 + 1
+    both = table[last + 1, last_2 + 1] - table[first, last_2 + 1] - table[last + 1, first_2] + table[first, first_2]
+    ok = (a >= least) & (b >= least) & (both >= similarity * (a + b - both))
+    return int(a[ok].max(initial=0))
+
+
+def test_edited_passages_against_brute_force():
+    """From every shared anchor, a passage is found exactly if one of 50 words with Jaccard 0.8 is there."""
+    rng = np.random.default_rng(8)
+    reach = np.arange(-passages.REACH, passages.REACH + 1)
+    wanted = 0
+    cases = [(words, edits) for words in (50, 55, 60, 80, 89, 90, 120) for edits in (1, 2)]
+    for words, edits in cases:
+        own, lead = edited_pair(rng, words, edits)
+        shared = np.flatnonzero(np.isin(own, lead))
+        for c in rng.choice(shared, min(8, len(shared)), replace=False).tolist():
+            slices = np.array([own[c + reach], lead[int(np.flatnonzero(lead == own[c])[0]) + reach]])
+            width = brute_width(slices[0], slices[1], 46, 0.8)
+            for pair in (slices, slices[::-1]):
+                found = {m: (last - first + 1, like) for m, _, first, last, like in passages.verify_group(pair, np.arange(2), 46, 0.8)}
+                assert set(found) == ({0, 1} if width else set()), (words, edits, c, width, found)
+                assert all(46 <= n and like >= 0.8 for n, like in found.values())
+            wanted += width > 0
+    assert wanted > 60
+
+
+def test_one_changed_word_is_inside():
+    """One word changed in the middle: every anchor finds the whole passage."""
+    for words in (50, 60, 80, 89, 90):
+        own, lead = np.arange(1, words + 157, dtype=np.uint32), np.arange(1, words + 157, dtype=np.uint32)
+        lead[:80], lead[80 + words - 4 :] = lead[:80] + 1000, lead[80 + words - 4 :] + 1000
+        lead[80 + words // 2 - 4 : 80 + words // 2 + 1] += 2000
+        for c in np.flatnonzero(own == lead).tolist():
+            lo, hi = c - passages.REACH, c + passages.REACH + 1
+            if lo > 80 or hi < 80 + words - 4:
+                continue
+            found = list(passages.verify_group(np.array([own[lo:hi], lead[lo:hi]]), np.arange(2), 46, 0.8))
+            assert {(m, first + lo, last + lo) for m, _, first, last, _ in found} == {(m, 80, 80 + words - 5) for m in (0, 1)}
