@@ -255,3 +255,20 @@ def test_one_changed_word_is_inside():
                 continue
             found = list(passages.verify_group(np.array([own[lo:hi], lead[lo:hi]]), np.arange(2), 46, 0.8))
             assert {(m, first + lo, last + lo) for m, _, first, last, _ in found} == {(m, 80, 80 + words - 5) for m in (0, 1)}
+
+
+def test_recall_of_edited_passages(spark):
+    """Every document of 300 pairs that share 50 words but one, at Jaccard 0.8 or more."""
+    rng = np.random.default_rng(50)
+    texts: list[str] = []
+    while len(texts) < 600:
+        x = len(texts) // 2
+        passage = [f"p{x}q{i}" for i in range(50)]
+        other = list(passage)
+        at, kind = int(rng.integers(50)), int(rng.integers(3))
+        other[at : at + (kind != 1)] = [f"e{rng.integers(1 << 30)}"] * (kind != 2)
+        a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (passage, other))
+        if min(len(a), len(b)) >= 46 and 10 * len(a & b) >= 8 * len(a | b):
+            texts += [" ".join([f"{s}{x}w{i}" for i in range(80)] + p + [f"{s}{x}v{i}" for i in range(80)]) for s, p in (("a", passage), ("b", other))]
+    got = passages.near_duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(600)) and all(r.other_doc_id == r.doc_id ^ 1 and r.similarity >= 0.8 for r in got)
