@@ -272,3 +272,21 @@ def test_recall_of_edited_passages(spark):
             texts += [" ".join([f"{s}{x}w{i}" for i in range(80)] + p + [f"{s}{x}v{i}" for i in range(80)]) for s, p in (("a", passage), ("b", other))]
     got = passages.near_duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id for r in got} == set(range(600)) and all(r.other_doc_id == r.doc_id ^ 1 and r.similarity >= 0.8 for r in got)
+
+
+def test_pairs_agree_with_groups():
+    """Groups of two, compared at once, get what ``verify_group`` gives; repeated shingles are left to it."""
+    rng = np.random.default_rng(6)
+    lead = rng.integers(1, 1 << 32, size=(120, 129)).astype(np.uint32) | np.uint32(1)
+    own = lead.copy()
+    for x in range(120):
+        for at in rng.integers(0, 124, size=rng.integers(0, 5)):
+            own[x, at : at + 5] = rng.integers(1, 1 << 32, size=5)
+        own[x, 64] = lead[x, 64]
+        own[x, rng.integers(80, 129) :] = 0
+    lead[0, 70] = lead[0, 71]
+    *found, other = passages.verify_pairs(lead, own, 46, 0.8)
+    got = {x: {(1, a, b, like), (0, c, d, like)} for x, a, b, c, d, like in zip(*(f.tolist() for f in found), strict=True)}
+    assert 0 in other and len(got) > 30
+    for x in set(range(120)) - set(other.tolist()):
+        assert got.get(x, set()) == {(m, a, b, like) for m, _, a, b, like in passages.verify_group(np.array([lead[x], own[x]]), np.arange(2), 46, 0.8)}
