@@ -152,9 +152,9 @@ def _has_letter(raw: bytes) -> bool:
     return any(c.isalpha() for c in raw.decode("utf-8", "replace"))
 
 
-def classify(model: Model, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the language or -1 for ``und``, score) of every document
-    of a slice."""
+def classify(model: Model, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the language or -1 for ``und``, score, whether it has a
+    usable n-gram) of every document of a slice."""
     n_docs, n_langs = len(offsets) - 1, len(model.languages)
     share = np.zeros((n_docs, n_langs))
     weight = np.zeros(n_docs)
@@ -183,15 +183,16 @@ def classify(model: Model, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     for d in np.flatnonzero(ascii_letter[offsets[1:]] == ascii_letter[offsets[:-1]]):
         if not _has_letter(raw[offsets[d] : offsets[d + 1]].tobytes()):
             best[d], score[d] = -1, 0.0
-    return (best if n_langs else np.full(n_docs, -1)), score
+    return (best if n_langs else np.full(n_docs, -1)), score, weight > 0
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", evidence_col: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` in place of columns of
-    these names; no shuffle."""
+    these names (and ``evidence_col``: whether the text has a usable n-gram);
+    no shuffle."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    plain = docs.drop("lang_pred", "score")
+    plain = docs.drop("lang_pred", "score", *([evidence_col] if evidence_col else []))
     names = plain.columns
     at = names.index(text_col)
 
@@ -200,17 +201,24 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         labels = np.array([*m.languages, UNKNOWN], dtype=object)
         for batch in batches:
             raw, offs = column_buffers(batch.column(at))
-            langs, scores = [], []
+            langs, scores, evidence = [], [], []
             for i, j in doc_slices(offs):
-                best, score = classify(m, raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                best, score, some = classify(m, raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 langs.append(labels[best])
                 scores.append(score)
+                evidence.append(some)
             pred = pa.array(np.concatenate(langs) if langs else [], pa.string())
             value = pa.array(np.concatenate(scores) if scores else [], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pred, value], [*names, "lang_pred", "score"])
+            cols, more = [*batch.columns, pred, value], []
+            if evidence_col:
+                cols.append(pa.array(np.concatenate(evidence) if evidence else [], pa.bool_()))
+                more = [evidence_col]
+            yield pa.RecordBatch.from_arrays(cols, [*names, "lang_pred", "score", *more])
 
     schema = plain.schema
-    from pyspark.sql.types import DoubleType, StringType, StructType
+    from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
     out = StructType([*schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    if evidence_col:
+        out = out.add(evidence_col, BooleanType())
     return plain.mapInArrow(run, out)
