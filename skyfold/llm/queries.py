@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontaminate as decon
-from skyfold.llm import fingerprints, jaccard_join, katz, language_id, packing, passages, sharding, suffix_dedup, url_filter
+from skyfold.llm import fingerprints, jaccard_join, katz, language_id, packing, passages, sharding, source_audit, suffix_dedup, url_filter
 
 #: Environment variable that names another file of the packing tokenizer.
 TOKENIZER_VARIABLE = "SKYFOLD_TOKENIZER"
@@ -80,6 +80,10 @@ def op10_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(docs, "held_out")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -92,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_katz_lm": op10_katz_lm,
+        "op11_source_audit": op11_source_audit,
     }
 
 
@@ -137,6 +142,35 @@ j AS (
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM j
 """
 
+_OP11 = """
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, r, unnest(w) AS item FROM d),
+k AS (SELECT lang, item FROM t GROUP BY lang, item HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, item, count(*) AS n FROM t JOIN k USING (lang, item) GROUP BY lang, source, item),
+s AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0) AS total, coalesce(max(v), 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN c USING (lang, source) LEFT JOIN v USING (lang) GROUP BY g.lang, g.source),
+p AS (
+  SELECT s.lang, s.source, k.item, coalesce(n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5) // (total + 5 * v) AS p
+  FROM s JOIN k USING (lang) LEFT JOIN c USING (lang, source, item)),
+q AS (
+  SELECT lang, item, 1 + CAST(1000000000 AS HUGEINT) * (n + 5) // (total + 5 * v) AS q
+  FROM (SELECT lang, item, sum(n) AS n FROM c GROUP BY lang, item) JOIN (SELECT lang, sum(total) AS total, max(v) AS v FROM s GROUP BY lang) USING (lang)),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b USING (lang, item) GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', item, p - q FROM p JOIN q USING (lang, item) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op9_url_filter": _OP9}
+    return {"op1_decontaminate": _OP1, "op9_url_filter": _OP9, "op11_source_audit": _OP11}
