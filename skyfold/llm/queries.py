@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontaminate as decon
-from skyfold.llm import fingerprints, jaccard_join, katz, language_id, packing, passages, sharding, source_audit, suffix_dedup, url_filter
+from skyfold.llm import fingerprints, jaccard_join, katz, language_id, mixing, packing, passages, prefix_trie, sharding, source_audit, suffix_dedup, url_filter
+from skyfold.session import cut_lineage
 
 #: Environment variable that names another file of the packing tokenizer.
 TOKENIZER_VARIABLE = "SKYFOLD_TOKENIZER"
@@ -84,6 +85,16 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut_lineage(prefix_trie.turn_rows(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.lend_heads(turns))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.by_first_position(mixing.mix_sources(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -97,6 +108,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": op9_url_filter,
         "op10_katz_lm": op10_katz_lm,
         "op11_source_audit": op11_source_audit,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_mixing": op13_mixing,
     }
 
 
@@ -171,6 +184,64 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 WHERE part = 'pair' OR rank <= 50
 """
 
+_OP12 = """
+WITH t AS (
+  SELECT conv_id AS c, turn, length(coalesce(text, '')) AS chars,
+         sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, k, chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS pos FROM t),
+h AS (
+  SELECT c, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, z: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 6 AS h
+  FROM (SELECT DISTINCT c FROM o)),
+r AS (
+  SELECT c, k, chars, row_number() OVER (PARTITION BY c ORDER BY pos) AS d
+  FROM (SELECT h.c, o.pos, o.k, o.chars FROM h JOIN o ON o.c = h.c - h.c % 100 WHERE o.pos <= h.h
+        UNION ALL SELECT o.c, o.pos, o.k, o.chars FROM h JOIN o ON o.c = h.c WHERE o.pos > h.h)),
+p AS (
+  SELECT c, 0 AS d, '' AS path, 0 AS chars FROM h
+  UNION ALL SELECT c, d, string_agg(k, '') OVER (PARTITION BY c ORDER BY d), chars FROM r),
+n AS (SELECT path, any_value(d) AS d, any_value(chars) AS chars, count(*) AS n, min(c) AS c FROM p GROUP BY path),
+ends AS (
+  SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT c, arg_max(path, d) AS path FROM p GROUP BY c) GROUP BY path),
+kids AS (SELECT path[1 : 64 * (d - 1)] AS path, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN kids USING (path)),
+below AS (
+  SELECT a.path, count(*) FILTER (WHERE b.kids = 0) AS leaves, sum((b.n - 1) * b.chars) AS saved
+  FROM m a JOIN m b ON starts_with(b.path, a.path) GROUP BY a.path)
+SELECT m.c AS conv_id, CAST(m.d AS BIGINT) AS depth, up.c AS parent_conv_id, CAST(m.n AS BIGINT) AS n_convs, CAST(m.kids AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM m JOIN below USING (path) LEFT JOIN ends USING (path) LEFT JOIN m up ON m.d > 0 AND up.path = m.path[1 : 64 * (m.d - 1)]
+"""
+
+_OP13 = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', coalesce(text, ''))) AS key FROM documents),
+b AS (SELECT *, CAST('0x' || substr(key, 1, 8) AS BIGINT) % greatest(1, (SELECT (count(*) + 3999) // 4000 FROM d)) AS bucket FROM d),
+s AS (
+  SELECT *, CASE kind WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, CASE kind WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0 ELSE 0.5 END AS rate
+  FROM (SELECT source, sum(size) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind FROM d GROUP BY source)),
+f AS (
+  SELECT *, ((SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM s WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS FIRST)),
+g AS (SELECT *, least(3.0 * source_size, weight * (SELECT first(level ORDER BY 3 * source_size / weight, source NULLS FIRST) FROM f WHERE weight * level <= 3 * source_size)) AS target FROM f),
+p AS (
+  SELECT b.doc_id, b.size, g.source_size, g.target, rate,
+         coalesce(sum(b.size) OVER (PARTITION BY b.source ORDER BY bucket, key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+  FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source),
+t AS (
+  SELECT *, CAST(floor(target) AS BIGINT) AS goal, c / target AS share,
+         greatest(0, least(size, floor(target) - c)) + greatest(0, least(size, floor(target) - c - source_size))
+         + greatest(0, least(size, floor(target) - c - 2 * source_size)) AS taken FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken > 0 THEN CASE WHEN share > 0 THEN 2 * share / (rate + sqrt(greatest(rate * rate + 2 * (2 - 2 * rate) * share, 0))) ELSE 0.0 END END AS position
+FROM t
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op9_url_filter": _OP9, "op11_source_audit": _OP11}
+    return {"op1_decontaminate": _OP1, "op9_url_filter": _OP9, "op11_source_audit": _OP11, "op12_prefix_trie": _OP12, "op13_mixing": _OP13}
