@@ -1,4 +1,5 @@
-"""The flight model's data tests as a declarative suite (§2.11).
+"""The flight model's data tests as a declarative suite (§2.11): the column
+tests of the schema files and the design's cross-table checks (T6-T10).
 
 Status lists follow the staging contract everywhere (D17); the operations
 OTP percentages are nullable (D18); snapshot ids are unique per version
@@ -11,7 +12,12 @@ from skyfold.operators.quality import (
     Suite,
     accepted_values,
     between,
+    expression_holds,
+    fewer_rows,
+    functional_dependency,
     not_null,
+    one_open_version,
+    referenced_in,
     unique,
     unique_combination,
 )
@@ -19,6 +25,7 @@ from skyfold.operators.quality import (
 # Accepted values of the reference's tests.
 DIRECTIONS = ["DEPARTURE", "ARRIVAL"]
 STATUSES = ["scheduled", "active", "landed", "actual", "cancelled", "canceled", "incident", "diverted", ""]
+ACTIVE_FLAGS = ["Y", "N"]
 CARRIER_ROLES = ["operating", "marketing"]
 DELAY_BUCKETS = ["On Time", "15-30 min", "30-60 min", "60+ min"]
 DELAY_RANGE = (-60, 1440)
@@ -35,6 +42,11 @@ def _pct_checks():
     return out
 
 
+def _planned_not_below_actual():
+    """Cancellations explain the gap between the two counts of a day."""
+    return expression_holds("scheduled_dep_not_below_actual_dep", "scheduled_dep >= actual_dep")
+
+
 def flight_suite() -> Suite:
     s = Suite()
     s.tables["stg_flights"] = [
@@ -43,6 +55,8 @@ def flight_suite() -> Suite:
         accepted_values("direction", DIRECTIONS),
         accepted_values("flight_status", STATUSES),
         accepted_values("carrier_role", CARRIER_ROLES),
+        functional_dependency(("flight_date", "operating_flight_iata", "direction"), "flight_id"),
+        referenced_in(("airline_iata",), "daily_airline_summary", row_condition="carrier_role = 'marketing'"),
     ]
     s.tables["dim_dates"] = [
         unique("date_id"),
@@ -69,12 +83,15 @@ def flight_suite() -> Suite:
         between("delay_arr", *DELAY_RANGE, row_condition="delay_arr IS NOT NULL"),
         accepted_values("delay_bucket_dep", DELAY_BUCKETS),
         accepted_values("delay_bucket_arr", DELAY_BUCKETS),
+        fewer_rows("stg_flights"),
     ]
     s.tables["gate_usage_summary"] = not_null("gate", "airline_iata", "departure_count", "arrival_count",
                                               "total_flight_count")
-    s.tables["daily_airport_summary"] = [unique("flight_date"), *not_null("flight_date", *COUNTS), *_pct_checks()]
+    s.tables["daily_airport_summary"] = [unique("flight_date"), *not_null("flight_date", *COUNTS), *_pct_checks(),
+                                         _planned_not_below_actual()]
     s.tables["daily_airport_operations"] = [
-        unique("actual_operation_date"), *not_null("actual_operation_date", *COUNTS), *_pct_checks()
+        unique("actual_operation_date"), *not_null("actual_operation_date", *COUNTS), *_pct_checks(),
+        _planned_not_below_actual(),
     ]
     s.tables["daily_airline_summary"] = [
         unique_combination("flight_date", "airline_iata"),
@@ -86,6 +103,11 @@ def flight_suite() -> Suite:
         *not_null("actual_operation_date", "airline_iata", *COUNTS),
         *_pct_checks(),
     ]
-    s.tables["dim_airlines"] = [*not_null("airline_iata", "dbt_valid_from", "dbt_scd_id"), unique("dbt_scd_id")]
-    s.tables["dim_airports"] = [*not_null("airport_iata", "dbt_valid_from", "dbt_scd_id"), unique("dbt_scd_id")]
+    s.tables["dim_airlines"] = [*not_null("airline_iata", "dbt_valid_from", "dbt_scd_id"), unique("dbt_scd_id"),
+                                one_open_version("airline_iata")]
+    s.tables["dim_airports"] = [*not_null("airport_iata", "dbt_valid_from", "dbt_scd_id"), unique("dbt_scd_id"),
+                                one_open_version("airport_iata")]
+    s.tables["gate_capacity"] = not_null("gate_count", "runway_count", "operating_hours_start", "operating_hours_end")
+    s.tables["airline_reference"] = [unique("airline_id"), *not_null("airline_id", "airline_name"),
+                                     accepted_values("active", ACTIVE_FLAGS)]
     return s

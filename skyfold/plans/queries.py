@@ -266,6 +266,7 @@ def q_quality_report(spark, sf_dir):
     the shared enriched / fact relations across the checks (measured faster
     than materializing them first)."""
     from skyfold.plans.checks import flight_suite
+    from skyfold.sources.seeds import gate_capacity
 
     m = _model(spark, sf_dir)
     enriched = drop_variants(m.enriched)
@@ -284,6 +285,8 @@ def q_quality_report(spark, sf_dir):
                                                     not_null_keys=True),
         "dim_airlines": _airline_snapshots(m.stg),
         "dim_airports": q_airport_scd2(spark, sf_dir),
+        "gate_capacity": gate_capacity(spark),
+        "airline_reference": _airline_reference(spark, sf_dir),
     }
     return flight_suite().run(frames)
 
