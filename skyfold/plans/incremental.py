@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from skyfold.operators import dims, kpi
+from skyfold.operators.enrich import flight_measures
 from skyfold.operators.flatten import drop_variants
 from skyfold.operators.joins import checked_broadcast
 from skyfold.operators.materialize import (
@@ -50,8 +51,12 @@ from skyfold.plans.flights import (
     FlightModel,
     operating_latest,
 )
+from skyfold.operators.zones import in_partitions, partitions_since, replace_zones, zone_map
 from skyfold.session import cut_lineage
 
+#: Column whose range in every ``flight_date`` partition the zone maps keep.
+ZONE_COLUMN = "actual_operation_date"
+
 
 @dataclass
 class FlightState:
@@ -63,6 +68,7 @@ class FlightState:
     airport_best: DataFrame
     as_of: str
     fact_mark: dt.date | None  # largest flight_date of the fact
+    fact_zones: DataFrame | None = None  # zone map of the fact's partitions (with a store)
 
     @property
     def daily_airport_summary(self) -> DataFrame:
@@ -184,22 +190,29 @@ def merge_fact(target: DataFrame, rows: DataFrame, mark: dt.date | None) -> Data
     return target.where(~inside).unionByName(merge_fact_window(target, rows, mark))
 
 
-def mart_rows(mart: Mart, model: FlightModel, fact: DataFrame, since: Column | None) -> DataFrame:
+def mart_rows(mart: Mart, model: FlightModel, fact: DataFrame, since: Column | None, zones: DataFrame | None = None) -> DataFrame:
+    """Rows of a mart, since a day. Marts by ``flight_date`` prune partitions
+    by that filter; the others read the partitions that ``zones`` names."""
     src = fact if mart.of_fact else model.measured
+    day = mart.keys[0]
+    if since is not None and zones is not None and day == ZONE_COLUMN:
+        src = in_partitions(src, "flight_date", partitions_since(zones, "flight_date", day, since))
     for c in mart.not_null:
         src = src.where(F.col(c).isNotNull())
     if since is not None:
-        src = src.where(F.col(mart.keys[0]) >= since)
+        src = src.where(F.col(day) >= since)
     return kpi.flight_kpis(src, list(mart.keys))
 
 
-def mart_table(mart: Mart, model: FlightModel, fact: DataFrame, target: DataFrame | None, replace_window: bool) -> DataFrame:
-    """New state of a mart; an absent or empty target is a first build."""
+def mart_table(mart: Mart, model: FlightModel, fact: DataFrame, target: DataFrame | None, replace_window: bool,
+               zones: DataFrame | None = None) -> DataFrame:
+    """New state of a mart; an absent or empty target is a first build.
+    ``zones``: zone map of the table that the mart reads."""
     if target is None or is_empty(target):
         return mart_rows(mart, model, fact, None)
     day = mart.keys[0]
     since = F.date_sub(high_water_mark(target, day), MART_LOOKBACK_DAYS)
-    batch = mart_rows(mart, model, fact, since)
+    batch = mart_rows(mart, model, fact, since, zones)
     check_schema(batch, target)
     if replace_window:
         return delete_insert_window(target, batch, day, since)
@@ -221,7 +234,7 @@ class FlightStore:
     time.
     """
 
-    SMALL = ("dim_airlines", "dim_airports", "airline_best", "airport_best", *MARTS)
+    SMALL = ("dim_airlines", "dim_airports", "airline_best", "airport_best", "fact_zones", *MARTS)
     COMMIT = "run long, fact_run long, as_of string, fact_mark date"
 
     def __init__(self, spark, root: str):
@@ -278,12 +291,23 @@ class FlightStore:
         """
         rows = stg_batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
         overwrite_partitions(by_date(rows), self.staging_path, ["flight_date", "batch_id"])
-        stored = self.spark.read.parquet(self.staging_path)
-        return stored.where(F.col("batch_id") == batch_id).drop("batch_id")
+        stored = self.spark.read.parquet(self.staging_path).where(F.col("batch_id") == batch_id)
+        zones = zone_map(flight_measures(drop_variants(stored)), "flight_date", [ZONE_COLUMN])
+        overwrite_partitions(zones.withColumn("batch_id", F.lit(batch_id).cast("long")), self.staging_zones_path, ["batch_id"])
+        return stored.drop("batch_id")
 
     def read_staging(self) -> DataFrame:
         return self.spark.read.parquet(self.staging_path).drop("batch_id")
 
+    @property
+    def staging_zones_path(self) -> str:
+        return f"{self.root}/stg_zones"
+
+    def read_staging_zones(self) -> DataFrame:
+        """Zone map of the stored staging table: one row for each date and
+        batch."""
+        return self.spark.read.parquet(self.staging_zones_path).drop("batch_id")
+
 
 def by_date(df: DataFrame) -> DataFrame:
     """Rows of a date together before a partitioned write; AQE splits a hot
@@ -292,7 +316,7 @@ def by_date(df: DataFrame) -> DataFrame:
 
 
 def run(
-    stg: DataFrame,
+    stg: DataFrame | None,
     as_of: str,
     previous: FlightState | None = None,
     full_refresh: bool = False,
@@ -306,8 +330,12 @@ def run(
     With a ``store`` the run starts from its last committed state, and the
     tables are written there (the production path); without, it starts from
     ``previous`` and each state is cut from its lineage into the checkpoint
-    folder.
+    folder. ``stg`` None reads the store's own staging table, of which the
+    marts by day of operation read the partitions that its zone map names.
     """
+    stg_zones = None
+    if stg is None:
+        stg, stg_zones = store.read_staging(), store.read_staging_zones()
     last = store.last_commit() if store else None
     if store:
         previous = store.load()
@@ -343,10 +371,18 @@ def run(
     if prev is not None and prev.fact_mark is not None:
         mark = max(mark or prev.fact_mark, prev.fact_mark)
 
-    marts = {
-        name: keep(mart_table(mart, model, fact, prev.marts[name] if prev else None, replace_window), name)
-        for name, mart in MARTS.items()
-    }
+    fact_zones = None
+    if store:
+        fact_zones = zone_map(newest, "flight_date", [ZONE_COLUMN])
+        if not first:
+            fact_zones = replace_zones(prev.fact_zones, fact_zones, "flight_date")
+        fact_zones = keep(fact_zones, "fact_zones")
+
+    def mart_now(name: str, mart: Mart) -> DataFrame:
+        zones = fact_zones if mart.of_fact else stg_zones
+        return mart_table(mart, model, fact, prev.marts[name] if prev else None, replace_window, zones)
+
+    marts = {name: keep(mart_now(name, mart), name) for name, mart in MARTS.items()}
     if store:
         store.commit(number, fact_run, as_of, mark)
-    return FlightState(airlines, airports, fact, marts, best[0], best[1], as_of, mark)
+    return FlightState(airlines, airports, fact, marts, best[0], best[1], as_of, mark, fact_zones)

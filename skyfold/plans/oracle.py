@@ -557,6 +557,15 @@ def oracle_sql_incremental() -> dict[str, str]:
     q["daily_summary_two_batches"] = two_runs_with() + """SELECT * FROM summary1
 WHERE flight_date NOT IN (SELECT flight_date FROM batch2)
 UNION ALL SELECT * FROM batch2"""
+    differs = [f"if(b.{c} IS DISTINCT FROM a.{c}, '{c}', NULL)" for c in _fct_cols() if c != "flight_id"]
+    q["rerun_diff"] = two_runs_with()[:-1] + "," + fact_cte("enriched2", "rebuilt") + f"""
+SELECT * FROM (
+  SELECT coalesce(b.flight_id, a.flight_id) AS flight_id,
+    CASE WHEN b.flight_id IS NULL THEN 'added' WHEN a.flight_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+    CAST(b.flight_id IS NOT NULL AS BIGINT) AS rows_before, CAST(a.flight_id IS NOT NULL AS BIGINT) AS rows_after,
+    CASE WHEN b.flight_id = a.flight_id THEN concat_ws(',', {", ".join(differs)}) END AS changed_columns
+  FROM merged b FULL OUTER JOIN rebuilt a ON b.flight_id = a.flight_id)
+WHERE changed_columns IS DISTINCT FROM ''"""
     for name, keys, first, second in (
         ("daily_airport_operations", ["actual_operation_date"], "fact1", "merged"),
         ("daily_airline_summary", ["flight_date", "airline_iata"], "enriched1", "enriched2"),

@@ -189,16 +189,24 @@ RUN2_AS_OF = "2024-01-30 23:59:59"
 SNAPSHOT_AS_OF = ("2024-01-15 23:59:59", "2024-01-30 23:59:59")
 
 
-def _two_runs(spark, sf_dir):
-    from skyfold.plans import incremental
-
+def _two_run_store(spark, sf_dir):
+    """A store after two runs: extracts before 2024-01-20, then the rest.
+    Each run opens the store as a process of its own would."""
+    from skyfold.plans.incremental import FlightStore, run
     from skyfold.session import scratch_path
 
     stg = _model(spark, sf_dir).stg
     root = scratch_path(spark, "warehouse")
-    batch1 = stg.where(F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz"))
-    incremental.run(batch1, RUN1_AS_OF, store=incremental.FlightStore(spark, root))
-    return incremental.run(stg, RUN2_AS_OF, store=incremental.FlightStore(spark, root))  # as a second process would
+    first = F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz")
+    for number, (batch, as_of) in enumerate(((stg.where(first), RUN1_AS_OF), (stg.where(~first), RUN2_AS_OF)), 1):
+        store = FlightStore(spark, root)
+        store.append_staging(batch, number)
+        run(None, as_of, store=store)
+    return FlightStore(spark, root)
+
+
+def _two_runs(spark, sf_dir):
+    return _two_run_store(spark, sf_dir).load()
 
 
 def q_fct_flights_two_batches(spark, sf_dir):
@@ -221,6 +229,19 @@ def q_daily_airline_operations_two_batches(spark, sf_dir):
     return _two_runs(spark, sf_dir).marts["daily_airline_operations"]
 
 
+def q_rerun_diff(spark, sf_dir):
+    """What two incremental runs leave different from a full refresh of the
+    same staging rows: late records outside the look-back, and columns that a
+    merge does not update (T11)."""
+    from skyfold.operators.diff import diff_tables
+    from skyfold.plans.incremental import run
+
+    store = _two_run_store(spark, sf_dir)
+    incremental = store.load().fct_flights
+    rebuilt = run(None, RUN2_AS_OF, store=store, full_refresh=True).fct_flights
+    return diff_tables(incremental, rebuilt, ["flight_id"], ["flight_date"])
+
+
 def _airline_snapshots(stg):
     from skyfold.session import cut_lineage
 
@@ -412,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "daily_airport_operations_two_batches": q_daily_airport_operations_two_batches,
     "daily_airline_summary_two_batches": q_daily_airline_summary_two_batches,
     "daily_airline_operations_two_batches": q_daily_airline_operations_two_batches,
+    "rerun_diff": q_rerun_diff,
     "airline_scd2": q_airline_scd2,
     "airport_scd2": q_airport_scd2,
     "flights_asof_airline": q_flights_asof_airline,

@@ -119,7 +119,7 @@ def upsert_stream(
         as_of = stg_batch.agg(F.max("extracted_at").cast("string")).first()[0]  # one scalar
         if as_of is None:
             return
-        incremental.run(store.read_staging(), as_of, store=store, new_rows=stg_batch)
+        incremental.run(None, as_of, store=store, new_rows=stg_batch)
 
     stream = landing_stream(spark, landing_dir, target_airport, now, archive_dir, max_files_per_trigger)
     q = (
