@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions.dates import date_attributes
@@ -176,6 +176,67 @@ def scd2_snapshot(
     return history.unionByName(kept_or_closed).unionByName(opened).select(*out_cols)
 
 
+def day_end(ts: str) -> Column:
+    """The first midnight at or after a time: daily runs."""
+    return F.timestamp_add("DAY", F.lit(1), F.date_trunc("day", F.col(ts) - F.expr("INTERVAL 1 MICROSECOND"))).cast("timestamp_ntz")
+
+
+def first_run(ts: str, runs: Sequence[str]) -> Column:
+    """The first of the given run times that sees a record; NULL after the last."""
+    times = F.array(*[F.lit(r).cast("timestamp_ntz") for r in sorted(runs)])
+    return F.get(F.filter(times, lambda r: r >= F.col(ts)), 0)
+
+
+def airline_step_rank() -> list[Column]:
+    """``airline_rank`` as named parts."""
+    return [c.alias(n) for n, c in zip(("named", "coded", "seen", "airline_name", "airline_icao"), airline_rank(), strict=True)]
+
+
+def airport_step_rank() -> list[Column]:
+    return [c.alias(n) for n, c in zip(("named", "seen", "airport_name"), airport_rank(), strict=True)]
+
+
+def _steps(best: DataFrame, key: str) -> DataFrame:
+    order = Window.partitionBy(key).orderBy("run")
+    running = best.groupBy(key, "run").agg(F.max("best").alias("best")).withColumn("best", F.max("best").over(order))
+    risen = running.withColumn("_before", F.lag("best").over(order))
+    return risen.where(~F.col("best").eqNullSafe(F.col("_before"))).drop("_before")
+
+
+def snapshot_steps(observations: DataFrame, key: str, rank: Sequence[Column], run: Column) -> DataFrame:
+    """(key, run, best): the best row known at each run at which it changed.
+
+    ``rank``: named columns, compared in order, the largest wins; they hold
+    the attributes. ``run``: the first run that sees a record (rows without
+    one, and rows without a key, are seen by none). A hot key is reduced to
+    one row for each run in every task."""
+    seen = observations.withColumn("run", run).where(F.col(key).isNotNull() & F.col("run").isNotNull())
+    return _steps(seen.select(key, "run", F.struct(*rank).alias("best")), key)
+
+
+def merge_steps(steps: DataFrame, more: DataFrame, key: str) -> DataFrame:
+    """Steps of two sets of records, in any order of arrival: a late record
+    splits the interval it falls into, or changes nothing where something
+    better was known. A row below the running maximum can never become a step
+    later, so the steps alone are enough."""
+    return _steps(steps.unionByName(more), key)
+
+
+def scd2_history(steps: DataFrame, key: str, check_cols: Sequence[str]) -> DataFrame:
+    """SCD2 versions that repeated snapshots (``scd2_snapshot`` at every run)
+    would have made: islands of runs with equal check columns (NULL-safe)."""
+    order = Window.partitionBy(key).orderBy("run")
+    attrs = steps.select(key, "run", *[F.col(f"best.{c}").alias(c) for c in check_cols])
+    changed = F.lag("run").over(order).isNull()
+    for c in check_cols:
+        changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(order))
+    islands = attrs.withColumn("_first", changed).where("_first")
+    return islands.select(
+        key, *check_cols, surrogate_key(F.col(key), F.col("run")).alias("dbt_scd_id"),
+        F.col("run").alias("dbt_updated_at"), F.col("run").alias("dbt_valid_from"), F.lead("run").over(order).alias("dbt_valid_to"),
+    )
+
+
 def current_versions(snapshot: DataFrame) -> DataFrame:
     """Open versions only (F10): filter the dimension before joining it."""
     return snapshot.where(F.col("dbt_valid_to").isNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows a dimension of known size may have and still be broadcast to every task.
@@ -48,22 +48,37 @@ def asof_version_lookup(
     columns: dict[str, str],
     valid_from: str = "dbt_valid_from",
     valid_to: str = "dbt_valid_to",
+    bucket_days: int = 1,
 ) -> DataFrame:
     """LEFT join to the version valid at ``fact_ts`` (J11):
     ``valid_from <= ts AND (valid_to IS NULL OR ts < valid_to)``.
 
-    Versions of one key do not overlap, so at most one matches. The
-    equi-key keeps the join a hash join; the interval is the residual.
+    Versions of one key do not overlap, so at most one matches. A key with
+    many versions and many facts would pair each fact with all of them, so
+    time is cut into buckets of days: a version stands in every bucket that
+    it covers within the facts' own span, a fact joins by (key, bucket), and
+    only versions of that bucket meet the interval test. Facts without a key
+    or time keep NULLs.
     """
+
+    def bucket(ts: Column) -> Column:
+        return F.floor(F.unix_date(F.to_date(ts)) / bucket_days)
+
+    first, last = (facts.select(f(fact_ts)).scalar() for f in (F.min, F.max))
     v = versions.select(
         F.col(dim_key).alias("_vk"),
         F.col(valid_from).alias("_vf"),
         F.col(valid_to).alias("_vt"),
         *[F.col(src).alias(dst) for src, dst in columns.items()],
+        bucket(F.greatest(F.col(valid_from), first)).alias("_b0"),
+        bucket(F.least(F.col(valid_to), last)).alias("_b1"),  # least() passes over NULL: an open version ends with the facts
     )
-    ts = facts[fact_ts]
-    cond = (facts[fact_key] == v["_vk"]) & (ts >= v["_vf"]) & (v["_vt"].isNull() | (ts < v["_vt"]))
-    return facts.join(v, cond, "left").drop("_vk", "_vf", "_vt")
+    v = v.where(F.col("_b0") <= F.col("_b1")).withColumn("_vb", F.explode(F.sequence("_b0", "_b1"))).drop("_b0", "_b1")
+    f = facts.withColumn("_fb", bucket(F.col(fact_ts)))
+    ts = F.col(fact_ts)
+    inside = (ts >= F.col("_vf")) & (F.col("_vt").isNull() | (ts < F.col("_vt")))
+    joined = f.join(v, (F.col(fact_key) == F.col("_vk")) & (F.col("_fb") == F.col("_vb")) & inside, "left")
+    return joined.drop("_vk", "_vf", "_vt", "_vb", "_fb")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -28,10 +28,12 @@ def zone_map(df: DataFrame, partition_col: str, columns: Sequence[str]) -> DataF
     return df.groupBy(partition_col).agg(*bounds)
 
 
-def replace_zones(old: DataFrame, new: DataFrame, partition_col: str) -> DataFrame:
-    """The map after the partitions of ``new`` were rewritten."""
+def replace_partitions(old: DataFrame, new: DataFrame, partition_col: str) -> DataFrame:
+    """A table kept by partition (a map, partial counts) after the partitions
+    that ``new`` describes were rewritten."""
     same = F.col(f"o.{partition_col}").eqNullSafe(F.col(f"n.{partition_col}"))
-    return old.alias("o").join(new.select(partition_col).alias("n"), same, "left_anti").unionByName(new)
+    gone = new.select(partition_col).distinct().alias("n")
+    return old.alias("o").join(gone, same, "left_anti").unionByName(new)
 
 
 def partitions_since(zones: DataFrame, partition_col: str, column: str, since: Column) -> list:

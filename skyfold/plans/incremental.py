@@ -51,7 +51,7 @@ from skyfold.plans.flights import (
     FlightModel,
     operating_latest,
 )
-from skyfold.operators.zones import in_partitions, partitions_since, replace_zones, zone_map
+from skyfold.operators.zones import in_partitions, partitions_since, replace_partitions, zone_map
 from skyfold.session import cut_lineage
 
 #: Column whose range in every ``flight_date`` partition the zone maps keep.
@@ -69,6 +69,7 @@ class FlightState:
     as_of: str
     fact_mark: dt.date | None  # largest flight_date of the fact
     fact_zones: DataFrame | None = None  # zone map of the fact's partitions (with a store)
+    fact_counts: DataFrame | None = None  # partial counts of the fact (with a store that keeps them)
 
     @property
     def daily_airport_summary(self) -> DataFrame:
@@ -95,6 +96,11 @@ MARTS = {
 }
 
 
+#: Keys of the partial counts kept with a store: finer than every mart that is rolled up from them.
+FACT_COUNT_KEYS = ("flight_date", "actual_operation_date")
+STAGING_COUNT_KEYS = ("flight_date", "actual_operation_date", "airline_iata")
+
+
 class SnapshotModel(FlightModel):
     """Flight model whose dimensions are the current snapshot versions."""
 
@@ -237,9 +243,10 @@ class FlightStore:
     SMALL = ("dim_airlines", "dim_airports", "airline_best", "airport_best", "fact_zones", *MARTS)
     COMMIT = "run long, fact_run long, as_of string, fact_mark date"
 
-    def __init__(self, spark, root: str):
+    def __init__(self, spark, root: str, keep_counts: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_counts = keep_counts
 
     def last_commit(self) -> Row | None:
         path = f"{self.root}/commits"
@@ -256,7 +263,8 @@ class FlightStore:
         last = self.last_commit()
         if last is None:
             return None
-        small = {name: self.spark.read.parquet(self.path(name, last.run)) for name in self.SMALL}
+        names = [*self.SMALL, "fact_counts"] if self.keep_counts else self.SMALL
+        small = {name: self.spark.read.parquet(self.path(name, last.run)) for name in names}
         marts = {name: small.pop(name) for name in MARTS}
         return FlightState(fct_flights=self.read_fact(last.fact_run), marts=marts, as_of=last.as_of, fact_mark=last.fact_mark, **small)
 
@@ -292,10 +300,15 @@ class FlightStore:
         rows = stg_batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
         overwrite_partitions(by_date(rows), self.staging_path, ["flight_date", "batch_id"])
         stored = self.spark.read.parquet(self.staging_path).where(F.col("batch_id") == batch_id)
-        zones = zone_map(flight_measures(drop_variants(stored)), "flight_date", [ZONE_COLUMN])
-        overwrite_partitions(zones.withColumn("batch_id", F.lit(batch_id).cast("long")), self.staging_zones_path, ["batch_id"])
+        measured = flight_measures(drop_variants(stored))
+        self._write_of_batch(zone_map(measured, "flight_date", [ZONE_COLUMN]), self.staging_zones_path, batch_id)
+        if self.keep_counts:
+            self._write_of_batch(kpi.partial_counts(measured, STAGING_COUNT_KEYS), self.staging_counts_path, batch_id)
         return stored.drop("batch_id")
 
+    def _write_of_batch(self, df: DataFrame, path: str, batch_id: int) -> None:
+        overwrite_partitions(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path, ["batch_id"])
+
     def read_staging(self) -> DataFrame:
         return self.spark.read.parquet(self.staging_path).drop("batch_id")
 
@@ -309,6 +322,14 @@ class FlightStore:
         return self.spark.read.parquet(self.staging_zones_path).drop("batch_id")
 
 
+    @property
+    def staging_counts_path(self) -> str:
+        return f"{self.root}/stg_counts"
+
+    def read_staging_counts(self) -> DataFrame:
+        return self.spark.read.parquet(self.staging_counts_path).drop("batch_id")
+
+
 def by_date(df: DataFrame) -> DataFrame:
     """Rows of a date together before a partitioned write; AQE splits a hot
     date, and joins small ones, by size."""
@@ -375,14 +396,23 @@ def run(
     if store:
         fact_zones = zone_map(newest, "flight_date", [ZONE_COLUMN])
         if not first:
-            fact_zones = replace_zones(prev.fact_zones, fact_zones, "flight_date")
+            fact_zones = replace_partitions(prev.fact_zones, fact_zones, "flight_date")
         fact_zones = keep(fact_zones, "fact_zones")
+    fact_counts = None
+    if store and store.keep_counts:
+        fact_counts = kpi.partial_counts(newest, FACT_COUNT_KEYS)
+        if not first:
+            fact_counts = replace_partitions(prev.fact_counts, fact_counts, "flight_date")
+        fact_counts = keep(fact_counts, "fact_counts")
 
     def mart_now(name: str, mart: Mart) -> DataFrame:
+        if fact_counts is not None:
+            counts = fact_counts if mart.of_fact else store.read_staging_counts()
+            return kpi.roll_up(counts.na.drop(subset=list(mart.not_null)) if mart.not_null else counts, mart.keys)
         zones = fact_zones if mart.of_fact else stg_zones
         return mart_table(mart, model, fact, prev.marts[name] if prev else None, replace_window, zones)
 
     marts = {name: keep(mart_now(name, mart), name) for name, mart in MARTS.items()}
     if store:
         store.commit(number, fact_run, as_of, mark)
-    return FlightState(airlines, airports, fact, marts, best[0], best[1], as_of, mark, fact_zones)
+    return FlightState(airlines, airports, fact, marts, best[0], best[1], as_of, mark, fact_zones, fact_counts)

@@ -314,6 +314,10 @@ used AS (SELECT flight_date, CAST(count(DISTINCT gate) AS BIGINT) AS gates_used
 SELECT flight_date, gates_used, CAST(c.gate_count AS BIGINT) AS gate_count,
   """ + _pct("gates_used", "CAST(c.gate_count AS BIGINT)") + """ AS pct_gates_used
 FROM used, capacity c"""
+    q["gate_share_weekly"] = model_with() + """, used AS (
+  SELECT CAST(date_trunc('week', flight_date) AS DATE) AS week_start, unnest([gate_dep, gate_arr]) AS gate FROM fact),
+shares AS (SELECT week_start, count(DISTINCT gate) AS gates_used FROM used WHERE gate IS NOT NULL GROUP BY week_start)
+SELECT week_start, gates_used, CAST(11 AS BIGINT) AS gate_count, """ + _pct("gates_used", "CAST(11 AS BIGINT)") + """ AS pct_gates_used FROM shares"""
     q["top_gates"] = model_with() + gate_usage + """SELECT gate, CAST(SUM(total_flight_count) AS BIGINT) AS total_flights
 FROM gus GROUP BY gate ORDER BY total_flights DESC, gate ASC LIMIT 5"""
     q["gate_heatmap"] = model_with() + gate_usage + """SELECT gate, airline_iata,
@@ -557,6 +561,11 @@ def oracle_sql_incremental() -> dict[str, str]:
     q["daily_summary_two_batches"] = two_runs_with() + """SELECT * FROM summary1
 WHERE flight_date NOT IN (SELECT flight_date FROM batch2)
 UNION ALL SELECT * FROM batch2"""
+    day = "actual_operation_date"
+    q["daily_airport_operations_counted"] = two_runs_with() + kpi_select(day) + f" FROM merged WHERE {day} IS NOT NULL GROUP BY {day}"
+    q["daily_airline_operations_counted"] = (
+        two_runs_with() + kpi_select(f"{day}, airline_iata") + f" FROM enriched2 WHERE {day} IS NOT NULL AND airline_iata IS NOT NULL GROUP BY ALL"
+    )
     differs = [f"if(b.{c} IS DISTINCT FROM a.{c}, '{c}', NULL)" for c in _fct_cols() if c != "flight_id"]
     q["rerun_diff"] = two_runs_with()[:-1] + "," + fact_cte("enriched2", "rebuilt") + f"""
 SELECT * FROM (
@@ -574,6 +583,26 @@ WHERE changed_columns IS DISTINCT FROM ''"""
         q[f"{name}_two_batches"] = two_runs_with() + mart_two_runs(keys, first, second)
     q["airline_scd2"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airline") + "\nSELECT * FROM scd"
     q["airport_scd2"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airport") + "\nSELECT * FROM scd"
+    best = _best({
+        "named": "airline_name IS NOT NULL", "coded": "airline_icao IS NOT NULL", "seen": "extracted_at",
+        "title": "coalesce(airline_name, '')", "code": "coalesce(airline_icao, '')",
+    })
+    q["airline_scd2_history"] = "WITH " + EVENTS_CTE + f""",
+seen AS (
+  SELECT airline_iata, airline_name, airline_icao, extracted_at, date_trunc('day', extracted_at - INTERVAL 1 MICROSECOND) + INTERVAL 1 DAY AS run
+  FROM stg WHERE airline_iata IS NOT NULL),
+known AS (
+  SELECT airline_iata, runs.run AS run, {best} AS b
+  FROM seen JOIN (SELECT DISTINCT run FROM seen) runs ON seen.run <= runs.run GROUP BY airline_iata, runs.run),
+plain AS (SELECT airline_iata, run, if(b.named, b.title, NULL) AS airline_name, if(b.coded, b.code, NULL) AS airline_icao FROM known),
+versions AS (
+  SELECT * FROM plain
+  WINDOW w AS (PARTITION BY airline_iata ORDER BY run)
+  QUALIFY row_number() OVER w = 1 OR airline_name IS DISTINCT FROM lag(airline_name) OVER w OR airline_icao IS DISTINCT FROM lag(airline_icao) OVER w)
+SELECT airline_iata, airline_name, airline_icao, md5(concat_ws('-', airline_iata, CAST(CAST(run AS TIMESTAMP) AS VARCHAR))) AS dbt_scd_id,
+  CAST(run AS TIMESTAMP) AS dbt_updated_at, CAST(run AS TIMESTAMP) AS dbt_valid_from,
+  CAST(lead(run) OVER (PARTITION BY airline_iata ORDER BY run) AS TIMESTAMP) AS dbt_valid_to
+FROM versions"""
     q["flights_asof_airline"] = "WITH " + EVENTS_CTE + "," + scd2_ctes("airline") + """
 SELECT s.flight_id, s.extracted_at, s.airline_iata, v.airline_name AS asof_airline_name, v.airline_icao AS asof_airline_icao
 FROM stg s LEFT JOIN scd v ON s.airline_iata = v.airline_iata AND s.extracted_at >= v.dbt_valid_from
@@ -582,6 +611,15 @@ FROM stg s LEFT JOIN scd v ON s.airline_iata = v.airline_iata AND s.extracted_at
     q["ingest_stream"] = "WITH " + EVENTS_CTE + "\nSELECT " + STG_COLUMNS.replace(
         "extracted_at,", "CAST(date_trunc('day', extracted_at) AS TIMESTAMP) AS extracted_at,", 1
     ) + " FROM stg"
+    q["ingest_ledger"] = "WITH " + EVENTS_CTE + """,
+lines AS (
+  SELECT 'flights_' || lower(direction) || strftime(extracted_at, '_%Y%m%d_000000.json') AS landing_file, direction,
+    CAST(date_trunc('day', extracted_at) AS TIMESTAMP) AS extracted_at,
+    minute(extracted_at) = 7 OR (direction = 'ARRIVAL' AND CAST(extracted_at AS DATE) = DATE '2024-01-05') AS broken
+  FROM stg)
+SELECT landing_file, direction, extracted_at, count(*) FILTER (WHERE NOT broken) AS good_rows, count(*) FILTER (WHERE broken) AS rejected_rows,
+  CASE WHEN bool_and(broken) THEN 'failed' WHEN bool_or(broken) THEN 'partial' ELSE 'loaded' END AS status
+FROM lines GROUP BY ALL"""
     q["airline_reference"] = "WITH " + EVENTS_CTE + "," + airlines_cte() + "\n" + AIRLINE_REFERENCE
     q["airline_canonical"] = "WITH " + EVENTS_CTE + "," + airlines_cte() + """,
 ref AS (

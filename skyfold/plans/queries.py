@@ -99,6 +99,23 @@ def q_gate_share(spark, sf_dir):
     return _model(spark, sf_dir).gate_share()
 
 
+def q_gate_share_weekly(spark, sf_dir):
+    """Distinct gates by week from stored daily bitmaps; departures and
+    arrivals come as two deliveries, the second with gates of its own."""
+    from skyfold.session import cut_lineage
+    from skyfold.sources.seeds import gate_capacity
+
+    fact = _model(spark, sf_dir).fact_measured
+    known, days = None, None
+    for part in ("DEPARTURE", "ARRIVAL"):
+        rows = fact.where(F.col("direction") == part)
+        known = cut_lineage(kpi.extend_dictionary(known, kpi.used_gates(rows), "gate"), "gate_numbers")
+        new = kpi.gate_days(rows, known)
+        days = cut_lineage(new if days is None else kpi.merge_gate_days(days, new), "gate_days")
+    week = F.date_trunc("week", "flight_date").cast("date").alias("week_start")
+    return kpi.gate_share_by(days, week, gate_capacity(spark))
+
+
 def q_top_gates(spark, sf_dir):
     return kpi.top_gates(_model(spark, sf_dir).gate_usage_summary, 5)
 
@@ -189,7 +206,7 @@ RUN2_AS_OF = "2024-01-30 23:59:59"
 SNAPSHOT_AS_OF = ("2024-01-15 23:59:59", "2024-01-30 23:59:59")
 
 
-def _two_run_store(spark, sf_dir):
+def _two_run_store(spark, sf_dir, **options):
     """A store after two runs: extracts before 2024-01-20, then the rest.
     Each run opens the store as a process of its own would."""
     from skyfold.plans.incremental import FlightStore, run
@@ -199,10 +216,10 @@ def _two_run_store(spark, sf_dir):
     root = scratch_path(spark, "warehouse")
     first = F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz")
     for number, (batch, as_of) in enumerate(((stg.where(first), RUN1_AS_OF), (stg.where(~first), RUN2_AS_OF)), 1):
-        store = FlightStore(spark, root)
+        store = FlightStore(spark, root, **options)
         store.append_staging(batch, number)
         run(None, as_of, store=store)
-    return FlightStore(spark, root)
+    return FlightStore(spark, root, **options)
 
 
 def _two_runs(spark, sf_dir):
@@ -229,6 +246,16 @@ def q_daily_airline_operations_two_batches(spark, sf_dir):
     return _two_runs(spark, sf_dir).marts["daily_airline_operations"]
 
 
+def q_daily_airport_operations_counted(spark, sf_dir):
+    """The mart after two runs of a store that keeps partial counts: equal to
+    a rebuild from the stored fact, whatever the age of a change."""
+    return _two_run_store(spark, sf_dir, keep_counts=True).load().marts["daily_airport_operations"]
+
+
+def q_daily_airline_operations_counted(spark, sf_dir):
+    return _two_run_store(spark, sf_dir, keep_counts=True).load().marts["daily_airline_operations"]
+
+
 def q_rerun_diff(spark, sf_dir):
     """What two incremental runs leave different from a full refresh of the
     same staging rows: late records outside the look-back, and columns that a
@@ -269,6 +296,20 @@ def q_airport_scd2(spark, sf_dir):
     return snap
 
 
+def q_airline_scd2_history(spark, sf_dir):
+    """All versions of the airlines over daily runs, in one pass. The records
+    arrive in two parts that interleave in time (extracts of even and odd
+    minutes), so the second part is full of late records."""
+    from skyfold.session import cut_lineage
+
+    stg = _model(spark, sf_dir).stg
+    rank, run = dims.airline_step_rank(), dims.day_end("extracted_at")
+    even = F.minute("extracted_at") % 2 == 0
+    one, two = (dims.snapshot_steps(stg.where(part), "airline_iata", rank, run) for part in (even, ~even))
+    steps = dims.merge_steps(cut_lineage(one, "airline_steps"), two, "airline_iata")
+    return dims.scd2_history(steps, "airline_iata", ["airline_name", "airline_icao"])
+
+
 def q_flights_asof_airline(spark, sf_dir):
     from skyfold.operators.joins import asof_version_lookup
 
@@ -334,6 +375,27 @@ def q_ingest_stream(spark, sf_dir):
     return drop_variants(flatten_flights(read_raw(spark, f"{base}/raw")))
 
 
+def q_ingest_ledger(spark, sf_dir):
+    """Good and rejected lines of every landing file (S6), from the ledger
+    that the streaming ingest writes. Lines extracted in minute 7 of an hour,
+    and all arrivals of 5 January, are cut short before they land."""
+    from skyfold.session import scratch_path
+    from skyfold.sources.fixtures import raw_json_text_from_events
+    from skyfold.sources.landing import write_landing
+    from skyfold.streaming.ingest import ingest_available, read_ledger
+
+    base = scratch_path(spark, "ingest_ledger")
+    records = raw_json_text_from_events(ensure_parallelism(read_table(spark, sf_dir, "events")))
+    day = F.date_trunc("day", "extracted_at").cast("timestamp_ntz")
+    whole_file = (F.col("direction") == "ARRIVAL") & (F.to_date("extracted_at") == F.lit("2024-01-05").cast("date"))
+    text = F.when(whole_file | (F.minute("extracted_at") == 7), F.left("json_text", F.lit(40))).otherwise(F.col("json_text"))
+    write_landing(records.select(text.alias("json_text"), "direction", day.alias("extracted_at")), f"{base}/landing")
+    ingest_available(
+        spark, f"{base}/landing", f"{base}/raw", f"{base}/_checkpoint", "HUB", reject_path=f"{base}/rejects", ledger_path=f"{base}/ledger",
+    )
+    return read_ledger(spark, f"{base}/ledger")
+
+
 def _airline_reference(spark, sf_dir):
     """Airline reference file written from the observed airlines (with
     sentinels and a malformed 7-column line per airline), read back and
@@ -412,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "daily_airline_operations": q_daily_airline_operations,
     "gate_usage_summary": q_gate_usage_summary,
     "gate_share": q_gate_share,
+    "gate_share_weekly": q_gate_share_weekly,
     "top_gates": q_top_gates,
     "gate_heatmap": q_gate_heatmap,
     "kpi_tiles": q_kpi_tiles,
@@ -433,12 +496,16 @@ QUERIES: dict[str, Query] = {
     "daily_airport_operations_two_batches": q_daily_airport_operations_two_batches,
     "daily_airline_summary_two_batches": q_daily_airline_summary_two_batches,
     "daily_airline_operations_two_batches": q_daily_airline_operations_two_batches,
+    "daily_airport_operations_counted": q_daily_airport_operations_counted,
+    "daily_airline_operations_counted": q_daily_airline_operations_counted,
     "rerun_diff": q_rerun_diff,
     "airline_scd2": q_airline_scd2,
     "airport_scd2": q_airport_scd2,
+    "airline_scd2_history": q_airline_scd2_history,
     "flights_asof_airline": q_flights_asof_airline,
     "quality_report": q_quality_report,
     "ingest_stream": q_ingest_stream,
+    "ingest_ledger": q_ingest_ledger,
     "airline_reference": q_airline_reference,
     "airline_canonical": q_airline_canonical,
     "unexpected_statuses": q_unexpected_statuses,

@@ -71,6 +71,7 @@ def to_raw(lines: DataFrame, target_airport: str, now: Column | None = None) ->
         "direction",
         F.lit(target_airport).alias("target_airport"),
         F.col("value").alias("_line"),
+        F.col("_path").alias("_file"),
     )
 
 
@@ -86,19 +87,37 @@ def read_landing(spark: SparkSession, landing_dir: str, target_airport: str, now
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RAW_SCHEMA + ", _line STRING")
+        return spark.createDataFrame([], RAW_SCHEMA + ", _line STRING, _file STRING")
     return to_raw(lines, target_airport, now)
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good raw rows, rejected lines) by whether the JSON parsed."""
-    good = raw.where(F.col("raw_json").isNotNull()).drop("_line")
+    good = raw.where(F.col("raw_json").isNotNull()).drop("_line", "_file")
     bad = raw.where(F.col("raw_json").isNull()).select(
         F.col("_line").alias("line"), "extracted_at", "direction", "target_airport"
     )
     return good, bad
 
 
+def landing_file(path_col: Column) -> Column:
+    """The landing file that a physical file belongs to: itself, or the
+    folder of that name that Spark wrote. ``<column>=`` in front of a
+    folder's name is left out."""
+    name, parent = F.substring_index(path_col, "/", -1), F.substring_index(F.substring_index(path_col, "/", -2), "/", 1)
+    is_part = ~F.lower(name).rlike(NAME_PATTERN) & F.lower(parent).rlike(NAME_PATTERN)
+    return F.regexp_replace(F.when(is_part, parent).otherwise(name), "^[^=/]*=", "")
+
+
+def file_outcomes(raw: DataFrame) -> DataFrame:
+    """(file, direction, extracted_at, good_rows, rejected_rows) of every
+    physical file of raw rows: one partial aggregation, so a large file is
+    one row for each task that read it."""
+    parsed = F.col("raw_json").isNotNull()
+    counts = F.count_if(parsed).alias("good_rows"), F.count_if(~parsed).alias("rejected_rows")
+    return raw.groupBy(F.col("_file").alias("file"), "direction", "extracted_at").agg(*counts)
+
+
 def landing_name(direction: Column, extracted_at: Column) -> Column:
     """``flights_{direction}_{YYYYMMDD}_{HHMMSS}.json``."""
     return F.concat(

@@ -8,17 +8,33 @@ files to the archive folder after they are committed (S6; Spark archives a
 file once the *next* micro-batch commits). Each micro-batch is written
 idempotently by ``foreachBatch``: good rows append to the raw table under
 a ``batch_id`` folder that a retried batch overwrites, unparsable lines
-go to a reject table.
+go to a reject table, and the ledger counts both for every file.
+
+What happened is counted twice, independently: ``DataFrame.observe`` counts
+the rows while the raw table is written, and the *outcome ledger*, written
+with the batch, has good and rejected lines of every landing file. Files
+without any line (or blank lines only) leave no trace in the ledger.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.sources.landing import landing_glob, split_rejects, to_raw
+from skyfold.sources.landing import file_outcomes, landing_file, landing_glob, split_rejects, to_raw
+
+
+@dataclass(frozen=True)
+class IngestResult:
+    """What a run loaded: micro-batches, rows and lines as observed while
+    they were written."""
+
+    batches: int
+    loaded_rows: int
+    rejected_rows: int
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, target_airport: str, now: Column | None = None,
@@ -32,16 +48,39 @@ def landing_stream(spark: SparkSession, landing_dir: str, target_airport: str, n
     return to_raw(lines, target_airport, now)
 
 
-def _batch_writer(raw_path: str, reject_path: str | None, done: set[int]) -> Callable[[DataFrame, int], None]:
+def write_ledger(batch: DataFrame, ledger_path: str | None, batch_id: int) -> None:
+    """Outcomes of a micro-batch's files, in a folder that a retried batch
+    overwrites."""
+    if ledger_path:
+        file_outcomes(batch).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """One row for each landing file, over all batches and physical files:
+    landing_file, direction, extracted_at, good_rows, rejected_rows, status
+    (``loaded``: every line; ``partial``; ``failed``: none)."""
+    of_file = F.col("good_rows"), F.col("rejected_rows")
+    files = spark.read.parquet(ledger_path).withColumn("landing_file", landing_file(F.col("file")))
+    sums = files.groupBy("landing_file", "direction", "extracted_at").agg(*[F.sum(c).alias(n) for c, n in zip(of_file, ("good_rows", "rejected_rows"), strict=True)])
+    status = F.when(of_file[0] == 0, "failed").when(of_file[1] == 0, "loaded").otherwise("partial")
+    return sums.withColumn("status", status)
+
+
+def _batch_writer(raw_path: str, reject_path: str | None, ledger_path: str | None, done: dict[int, dict]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # two sinks: parse the micro-batch once (persist), write both, release
+        # several sinks: parse the micro-batch once (persist), write all, release
         batch = batch.persist()
         try:
-            good, bad = split_rejects(batch)
+            seen = Observation()
+            parsed = F.col("raw_json").isNotNull()
+            counted = batch.observe(seen, F.count_if(parsed).alias("good"), F.count_if(~parsed).alias("bad"))
+            good, _ = split_rejects(counted)
             good.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
             if reject_path:
+                _, bad = split_rejects(batch)
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-            done.add(batch_id)
+            write_ledger(batch, ledger_path, batch_id)
+            done[batch_id] = seen.get
         finally:
             batch.unpersist()
 
@@ -58,13 +97,15 @@ def ingest_available(
     archive_dir: str | None = None,
     now: Column | None = None,
     max_files_per_trigger: int | None = None,
-) -> int:
-    """Drain pending landing files into the raw table; returns the number
-    of micro-batches run."""
+    ledger_path: str | None = None,
+) -> IngestResult:
+    """Drain pending landing files into the raw table; returns what the run
+    loaded and rejected. ``ledger_path``: where the outcomes of every file
+    go (see ``read_ledger``)."""
     stream = landing_stream(spark, landing_dir, target_airport, now, archive_dir, max_files_per_trigger)
-    done: set[int] = set()
+    done: dict[int, dict] = {}
     q = (
-        stream.writeStream.foreachBatch(_batch_writer(raw_path, reject_path, done))
+        stream.writeStream.foreachBatch(_batch_writer(raw_path, reject_path, ledger_path, done))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -72,7 +113,7 @@ def ingest_available(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len(done)
+    return IngestResult(len(done), sum(x["good"] for x in done.values()), sum(x["bad"] for x in done.values()))
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -90,6 +131,7 @@ def upsert_stream(
     archive_dir: str | None = None,
     now: Column | None = None,
     max_files_per_trigger: int | None = None,
+    ledger_path: str | None = None,
 ):
     """One scheduled run: drain pending landing files into the incremental
     model (R2). Returns the stored state after the run. The state is read
@@ -113,6 +155,7 @@ def upsert_stream(
             good, bad = split_rejects(batch)
             if reject_path:
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+            write_ledger(batch, ledger_path, batch_id)
             stg_batch = store.append_staging(flatten_flights(good), batch_id)
         finally:
             batch.unpersist()

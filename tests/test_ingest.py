@@ -154,3 +154,32 @@ def test_freshness(spark):
     assert r.age_hours == 24.0 and r.stale is False
     r2 = freshness(df, "extracted_at", "2024-02-05 12:00:00", 48).first()
     assert r2.stale is True
+
+
+def test_ledger_counts_every_file_and_agrees_with_what_was_observed(spark, tmp_dir):
+    from skyfold.streaming.ingest import read_ledger
+
+    land, ledger = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ledger")
+    raw, ckpt = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ckpt")
+    good = '{"flight_date":"2027-03-14"}\n'
+    _write(f"{land}/flights_departure_20270314_060102.json", good * 3)
+    _write(f"{land}/flights_arrival_20270314_060109.json", good + "{broken\n\n" + good)
+    _write(f"{land}/flights_arrival_20270315_060109.json", "none\nof these\n")
+    _write(f"{land}/timetable.json", good)
+    _write(f"{land}/empty.json", "\n")
+    folder = f"{land}/landing_file=flights_departure_20270316_060000.json"
+    _write(f"{folder}/part-0.txt", good * 2)
+    _write(f"{folder}/part-1.txt", "broken\n")
+    now = F.lit(NOW).cast("timestamp_ntz")
+    first = ingest_available(spark, land, raw, ckpt, "HUB", now=now, max_files_per_trigger=1, ledger_path=ledger)
+    rows = {r.landing_file: (r.direction, r.good_rows, r.rejected_rows, r.status) for r in read_ledger(spark, ledger).collect()}
+    assert rows == {
+        "flights_departure_20270314_060102.json": ("DEPARTURE", 3, 0, "loaded"),
+        "flights_arrival_20270314_060109.json": ("ARRIVAL", 2, 1, "partial"),
+        "flights_arrival_20270315_060109.json": ("ARRIVAL", 0, 2, "failed"),
+        "timetable.json": ("UNKNOWN", 1, 0, "loaded"),
+        "flights_departure_20270316_060000.json": ("DEPARTURE", 2, 1, "partial"),
+    }
+    assert (first.batches, first.loaded_rows, first.rejected_rows) == (7, 8, 4) and read_raw(spark, raw).count() == 8
+    again = ingest_available(spark, land, raw, ckpt, "HUB", now=now, ledger_path=ledger)
+    assert (again.loaded_rows, again.rejected_rows) == (0, 0) and read_ledger(spark, ledger).count() == 5
