@@ -45,7 +45,7 @@ WEIGHTS = (5, 2, 1)
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
 #: A source, and each of its documents, is used so many times at most.
 MOST = 3
-BUCKET_ROWS = 4000
+BUCKET_ROWS = 500
 
 
 def segments(schedule: Sequence[tuple[float, float]]) -> list[tuple[float, float, float, float, float]]:
@@ -113,11 +113,11 @@ def mix_sources(
     targets = source_targets(of_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, schedules, most)
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = of_bucket.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
-    named = targets.withColumnRenamed("source", "of_source")
-    starts = starts.join(named, F.col("source").eqNullSafe(F.col("of_source"))).select("of_source", F.col("bucket").alias("of_bucket"), "bucket_start", "source_size", "target", "pieces")
+    starts = starts.select(F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"), "bucket_start")
     inside = Window.partitionBy("source", "bucket").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket")))
+    placed = placed.drop("of_source").join(targets.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
 
     goal = F.floor("target")
 

@@ -220,7 +220,7 @@ _OP13 = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
          md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', coalesce(text, ''))) AS key FROM documents),
-b AS (SELECT *, CAST('0x' || substr(key, 1, 8) AS BIGINT) % greatest(1, (SELECT (count(*) + 3999) // 4000 FROM d)) AS bucket FROM d),
+b AS (SELECT *, CAST('0x' || substr(key, 1, 8) AS BIGINT) % greatest(1, (SELECT (count(*) + 499) // 500 FROM d)) AS bucket FROM d),
 s AS (
   SELECT *, CASE kind WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, CASE kind WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0 ELSE 0.5 END AS rate
   FROM (SELECT source, sum(size) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind FROM d GROUP BY source)),
