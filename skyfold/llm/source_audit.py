@@ -18,11 +18,13 @@ so only non-zero entries are visited, the one-sided sums by prefix sums.
 Scale. Documents are shuffled once (balanced by language, a hot one is
 split). Sums are pre-aggregated by (source, term) in every task, so a hot
 source costs one row a term. Term blocks hold at most ``BLOCK_CELLS`` cells
-(sources x terms), and a block sends one row for each pair of sources, as
-the result has one. A vocabulary goes through the driver, as
-``CountVectorizer`` works; its size is counted first, and one above
-``max_vocabulary`` terms is fitted in parts by the terms' hash, each part
-within that bound. One job for each language runs after the other: the
+(sources x terms), or as many as there are pairs of sources, and a block
+sends one row for each pair, as the result has one. A vocabulary goes through
+the driver, as ``CountVectorizer`` works: a fit asks for ``max_vocabulary``
+terms and one more, so that its size is bounded, and where it gets that one
+more, the language is fitted in parts by the terms' hash, twice as many until
+none is cut off. So no term is left out, as with ``vocabSize`` at the largest
+integer (which a ``max_vocabulary`` of ``ALL_TERMS`` asks for). One job for each language runs after the other: the
 number of languages is taken to be small (names of languages).
 
 Nulls count as '' in text, language and source. A text without terms, or an
@@ -40,7 +42,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer
+import pyarrow.compute as pc
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,61 +56,127 @@ TERM_BYTES = ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
 #: A term's share is 1 + floor(SCALE * (count + PRIOR) / (N + PRIOR * V)).
 SCALE, PRIOR = 1_000_000_000, 5
 MIN_DOCS, TOP_TERMS = 30, 50
-#: ``vocabSize`` of every CountVectorizer: all terms.
+#: The largest ``vocabSize``.
 ALL_TERMS = (1 << 31) - 1
-#: Terms of a vocabulary that pass through the driver at once.
+#: Terms of a vocabulary that pass through the driver at once, at most.
 MAX_VOCABULARY = 4_000_000
-#: Sources x terms in one task of the pair evaluation.
-BLOCK_CELLS = 1 << 18
-
-_VECTOR = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+#: Sources x terms in one task of the pair evaluation; as many as pairs of sources where these are more, up to a bound.
+BLOCK_CELLS, MOST_CELLS = 1 << 14, 1 << 24
+#: Bytes of text that are split into lists of terms at once.
+LIST_BYTES = 1 << 20
+#: Documents whose vectors are summed at once.
+SUM_ROWS = 2500
 
 
 def _cut_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang_no, source, text) to (source, terms, lang_no)."""
+    """(lang_no, source, text) to (source, terms, lang_no): the lower-cased
+    terms of a text with one space between them."""
     for batch in batches:
         raw, offs = column_buffers(batch.column("text"))
         for i, j in doc_slices(offs):
             w = words_of(raw, offs, i, j, TERM_BYTES, hashes=False)
-            ends = np.concatenate([[0], np.cumsum(w.end - w.start)]).astype(np.int32)
-            letters = np.ascontiguousarray(w.lower[TERM_BYTES[w.lower]])
-            terms = pa.StringArray.from_buffers(len(w.start), pa.py_buffer(ends), pa.py_buffer(letters))
-            lists = pa.ListArray.from_arrays(pa.array(w.first.astype(np.int32)), terms)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("source").slice(i, j - i), lists, batch.column("lang_no").slice(i, j - i)], ["source", "terms", "lang_no"]
-            )
-
-
-def _part(parts: int):
-    return F.pmod(F.xxhash64("term"), F.lit(parts))
-
-
-def count_vectors(terms: DataFrame, kept: DataFrame, min_docs: int, max_vocabulary: int) -> tuple[DataFrame, DataFrame]:
-    """(source, vector, lang_no, part) of every document and (idx, term,
-    lang_no, part) of every kept term; both written to the shared folder.
-
-    terms: (lang_no, source, terms) by language; kept: (lang_no, term)."""
+            more = np.ones(len(w.start), dtype=bool)
+            more[w.first[1:][w.counts() > 0] - 1] = False  # the last term of a text
+            keep, gap = TERM_BYTES[w.lower], w.end[more]
+            keep[gap] = True
+            w.lower[gap] = 0x20
+            ends = np.concatenate([[0], np.cumsum(keep)])[offs[i : j + 1] - offs[i]].astype(np.int32)
+            terms = pa.StringArray.from_buffers(j - i, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(w.lower[keep])))
+            yield pa.RecordBatch.from_arrays([batch.column("source").slice(i, j - i), terms, batch.column("lang_no").slice(i, j - i)], ["source", "terms", "lang_no"])
+
+
+def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(source, terms) with the terms as a list."""
+    for batch in batches:
+        _, offs = column_buffers(batch.column("terms"))
+        for i, j in doc_slices(offs, LIST_BYTES):
+            part = batch.slice(i, j - i)
+            lists = pc.split_pattern(part.column("terms"), " ")
+            blank = pc.equal(part.column("terms"), "")
+            if pc.any(blank).as_py():
+                lists = pc.if_else(blank, pa.scalar([], lists.type), lists)
+            yield pa.RecordBatch.from_arrays([part.column("source"), lists], ["source", "terms"])
+
+
+def _part(term, parts: int):
+    return F.pmod(F.xxhash64(term), F.lit(parts))
+
+
+def _of_part(terms: str, part: int, parts: int):
+    return F.filter(terms, lambda t: _part(t, parts) == part)
+
+
+def _fit(rows: DataFrame, min_docs: int, most: int):
+    """The fitted model, or None if no term occurs in ``min_docs`` documents
+    (which CountVectorizer refuses). One term above ``most`` is asked for, so
+    that no more reach the driver, and a vocabulary up to ``most`` is whole."""
+    from pyspark.ml.feature import CountVectorizer  # not in the tasks' processes
+
+    try:
+        return CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=min(ALL_TERMS, most + 1)).fit(rows)
+    except IllegalArgumentException as refused:
+        if "vocabulary size should be > 0" in str(refused):
+            return None
+        raise
+
+
+def _fit_parts(rows: DataFrame, min_docs: int, most: int) -> list:
+    """(the texts' lists of terms, the model fitted on them): one for all
+    terms, or as many parts by the terms' hash as keep each vocabulary whole."""
+    parts = 1
+    while True:
+        fitted = []
+        for part in range(parts):
+            own = rows.withColumn("terms", _of_part("terms", part, parts)) if parts > 1 else rows
+            model = _fit(own, min_docs, most)
+            if model is not None and len(model.vocabulary) > most:
+                break  # cut off
+            fitted.append((own, model))
+        else:
+            return [(own, model) for own, model in fitted if model is not None]
+        parts *= 2
+
+
+def _sum_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(source, sparse count vector) to (source, idx, n), summed over some
+    documents at a time."""
+    for whole in batches:
+        for x in range(0, whole.num_rows, SUM_ROWS):
+            batch = whole.slice(x, SUM_ROWS)
+            name, vector = pc.dictionary_encode(batch.column("source")), batch.column("vector")  # a vector is a struct here
+            lists = vector.field("indices")
+            idx, n = lists.flatten().to_numpy(), vector.field("values").flatten().to_numpy().astype(np.int64)
+            size = pc.list_value_length(lists).to_numpy()
+            key, at = np.unique((np.repeat(name.indices.to_numpy().astype(np.int64), size) << 32) + idx, return_inverse=True)
+            total = np.zeros(len(key), np.int64)
+            np.add.at(total, at, n)
+            yield pa.RecordBatch.from_arrays([name.dictionary.take(pa.array(key >> 32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(total)], ["source", "idx", "n"])
+
+
+def count_terms(terms: DataFrame, min_docs: int, max_vocabulary: int) -> tuple[DataFrame, DataFrame]:
+    """(source, idx, n, lang_no, part): the documents' count vectors summed by
+    source; and (idx, term, lang_no, part) of every kept term. Both are
+    written to the shared folder.
+
+    terms: (lang_no, source, terms) by language."""
     spark = terms.sparkSession
-    at_vectors, at_words = scratch_path(spark, "count_vectors"), scratch_path(spark, "vocabulary")
-    sizes = {r.lang_no: r["count"] for r in kept.groupBy("lang_no").count().collect()}
-    for lang_no, size in sorted(sizes.items()):
-        parts = -(-size // max_vocabulary)
-        of_lang = kept.where(F.col("lang_no") == lang_no)
-        filled = sorted(r[0] for r in of_lang.select(_part(parts).alias("part")).distinct().collect()) if parts > 1 else [0]
-        for part in filled:
-            rows = terms.where(F.col("lang_no") == lang_no).select("source", "terms")
-            if parts > 1:
-                rows = rows.withColumn("terms", F.filter("terms", lambda t, p=part: F.pmod(F.xxhash64(t), F.lit(parts)) == p))
-            model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(rows)
+    at_sums, at_words = scratch_path(spark, "source_sums"), scratch_path(spark, "vocabulary")
+    found = False
+    langs = sorted(r[0] for r in terms.select("lang_no").distinct().collect())
+    for lang_no in langs:
+        rows = terms.where(F.col("lang_no") == lang_no).select("source", "terms").mapInArrow(_term_lists, "source string, terms array<string>")
+        for part, (own, model) in enumerate(_fit_parts(rows, min_docs, max_vocabulary)):
+            found = True
             folder = f"lang_no={lang_no}/part={part}"
-            model.transform(rows).select("source", "vector").write.parquet(f"{at_vectors}/{folder}")
+            sums = model.transform(own).select("source", "vector").mapInArrow(_sum_vectors, "source string, idx int, n long")
+            sums.groupBy("source", "idx").agg(F.sum("n").alias("n")).write.parquet(f"{at_sums}/{folder}")
             words = model.vocabulary
             table = pa.table({"idx": pa.array(range(len(words)), pa.int32()), "term": pa.array(words, pa.string())})
             spark.createDataFrame(table).write.parquet(f"{at_words}/{folder}")
-    shapes = f"source string, vector {_VECTOR}, lang_no int, part int", "idx int, term string, lang_no int, part int"
-    if not sizes:
+    shapes = "source string, idx int, n long, lang_no int, part int", "idx int, term string, lang_no int, part int"
+    if not found:
         return spark.createDataFrame([], shapes[0]), spark.createDataFrame([], shapes[1])
-    return tuple(spark.read.schema(s).parquet(p) for s, p in zip(shapes, (at_vectors, at_words), strict=True))
+    return tuple(spark.read.schema(s).parquet(p) for s, p in zip(shapes, (at_sums, at_words), strict=True))
 
 
 def _share(count, total, v):
@@ -163,7 +232,7 @@ def _compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> I
     groups = rows.filter(is_group).sort_by("source")
     names = groups["source"].combine_chunks()
     entries = rows.filter(rows["idx"].is_valid())
-    where = pa.compute.index_in(entries["source"], value_set=names).to_numpy().astype(np.int64)
+    where = pc.index_in(entries["source"], value_set=names).to_numpy().astype(np.int64)
     number = (entries["part"].to_numpy().astype(np.int64) << 32) + entries["idx"].to_numpy().astype(np.int64)
     term = np.unique(number, return_inverse=True)[1]
     lang_no = key[0].as_py()
@@ -196,21 +265,18 @@ def audit_sources(
     langs = spark.createDataFrame(list(enumerate(names)), "lang_no int, lang string")
     at = scratch_path(spark, "terms")
     dealt = rows.join(langs, "lang").select("lang_no", "source", "text").hint("rebalance", F.col("lang_no"))
-    cut = dealt.mapInArrow(_cut_terms, "source string, terms array<string>, lang_no int")
+    cut = dealt.mapInArrow(_cut_terms, "source string, terms string, lang_no int")
     cut.write.partitionBy("lang_no").option("compression", "zstd").parquet(at)
-    terms = spark.read.schema("source string, terms array<string>, lang_no int").parquet(at)
-
-    one_each = terms.select("lang_no", F.explode(F.array_distinct("terms")).alias("term"))
-    kept = cut_lineage(one_each.groupBy("lang_no", "term").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("lang_no", "term"), "kept_terms")
-    vectors, words = count_vectors(terms, kept, min_docs, max_vocabulary)
+    terms = spark.read.schema("source string, terms string, lang_no int").parquet(at)
+    sums, words = count_terms(terms, min_docs, max_vocabulary)
 
-    entries = vectors.select("lang_no", "part", "source", F.inline(F.arrays_zip("vector.indices", "vector.values")).alias("idx", "x"))
-    sums = cut_lineage(entries.groupBy("lang_no", "source", "part", "idx").agg(F.sum(F.col("x").cast("long")).alias("n")), "source_sums")
-    sizes = kept.groupBy("lang_no").agg(F.count("*").alias("v"))
+    sizes = words.groupBy("lang_no").agg(F.count("*").alias("v"))
     totals = sums.groupBy("lang_no", "source").agg(F.sum("n").alias("total"))
     groups = terms.select("lang_no", "source").distinct().join(totals, ["lang_no", "source"], "left").join(sizes, "lang_no", "left")
     groups = cut_lineage(groups.select("lang_no", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v")), "source_totals")
-    blocks = groups.groupBy("lang_no").agg(F.greatest(F.lit(1), F.ceil(F.count("*") * F.max("v") / F.lit(block_cells))).cast("int").alias("blocks"))
+    n = F.count("*")
+    in_block = F.least(F.greatest(F.lit(block_cells), n * n), F.lit(MOST_CELLS))
+    blocks = groups.groupBy("lang_no").agg(F.greatest(F.lit(1), F.ceil(n * F.max("v") / in_block)).cast("int").alias("blocks"))
     groups = groups.join(blocks, "lang_no").withColumn("p0", _share(F.lit(0), F.col("total"), F.col("v")))
     shares = sums.join(groups, ["lang_no", "source"]).withColumn("p", _share(F.col("n"), F.col("total"), F.col("v")))
 
