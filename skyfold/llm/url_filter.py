@@ -16,10 +16,14 @@ even number. Over the universe that is exact, so pages are judged where they
 are read: no join, no shuffle of pages. Each level is built by Spark (bit
 positions of the keys, OR-ed per word), and only its words reach the driver.
 
-Size bound: keys are dealt over ``segments`` by hash so that the first level
-of a segment takes at most ``max_filter_bytes``; later levels are a few
-hundredths of it. Each segment is broadcast on its own and judged in its own
-branch, so a task never holds more than one segment.
+Size bound: keys are dealt over segments by hash, as many as keep both the
+listed keys and the false positives to be expected among the unlisted ones
+within ``max_filter_bytes`` a segment (with few listed keys in a large corpus,
+level 2 is the larger one). Every level is checked when it is built; one that
+is larger by more than ``SLACK`` doubles the segments. With one segment, pages
+are judged where they are read. With several, their parsed hosts and paths
+are dealt by segment in one shuffle, so that a task holds one segment and
+pages are read once.
 
 Null url, or a url without ``://``: host and path are empty, no rule fits,
 the verdict is ``allow``. Repeated rows are judged one by one. A null
@@ -39,13 +43,21 @@ from pyspark.sql import functions as F
 
 from skyfold.llm.bloom import build, contains
 from skyfold.llm.text import U64
-from skyfold.session import cut_lineage
+from skyfold.session import cut_lineage, scratch_path
 
 MAX_FILTER_BYTES = 16 << 20
 BITS_PER_KEY = 12
+#: Share of keys that such a filter of 6 hash functions wrongly contains.
+FALSE_POSITIVES = 0.0037
+#: Times ``max_filter_bytes`` that a level may take.
+SLACK = 1.5
 MAX_LEVELS = 40
 
 
+class LevelTooLarge(Exception):
+    """A level of a segment's cascade is above the bound."""
+
+
 @dataclass(frozen=True)
 class Rule:
     host: str
@@ -110,9 +122,9 @@ def member(levels: Sequence[np.ndarray], h: np.ndarray) -> np.ndarray:
     return out
 
 
-def build_cascade(keys: DataFrame, max_levels: int = MAX_LEVELS) -> list[np.ndarray]:
+def build_cascade(keys: DataFrame, max_levels: int = MAX_LEVELS, max_bytes: float = math.inf) -> list[np.ndarray]:
     """Levels of the cascade over the universe ``keys`` (columns ``h`` long,
-    ``listed`` boolean; distinct)."""
+    ``listed`` boolean; distinct), each of ``max_bytes`` at most."""
     spark = keys.sparkSession
     levels: list[np.ndarray] = []
     inserted, other = keys.where("listed"), keys.where(~F.col("listed"))
@@ -120,6 +132,8 @@ def build_cascade(keys: DataFrame, max_levels: int = MAX_LEVELS) -> list[np.ndar
         n = inserted.count()
         if n == 0:
             break
+        if n * BITS_PER_KEY / 8 > max_bytes:
+            raise LevelTooLarge
         words = build(inserted, "h", max(1, math.ceil(n * BITS_PER_KEY / 64)), len(levels) + 1)
         levels.append(words)
         shared, level = spark.sparkContext.broadcast(words), len(levels)
@@ -155,30 +169,50 @@ def judge_urls(
         keyed.groupBy("h").agg(F.bool_or(F.coalesce(fitting_rule(host, path, rules, "block"), F.lit(False))).alias("listed")),
         "url_keys",
     )
-    n_listed = universe.where("listed").count()
-    segments = max(1, math.ceil(n_listed * BITS_PER_KEY / 8 / max_filter_bytes))
-    segment = F.pmod(F.col("h"), F.lit(segments))
-    parts = []
-    for s in range(segments):
-        levels = build_cascade(universe.where(segment == s) if segments > 1 else universe)
-        shared = spark.sparkContext.broadcast(levels)
-
-        def verdicts(batches, shared=shared):
-            for batch in batches:
-                h = batch.column("h").to_numpy(zero_copy_only=False).view(U64)
-                said = np.where(member(shared.value, h), "block", "allow")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("page_id"), batch.column("host"), batch.column("path"), pa.array(said)],
-                    ["page_id", "host", "path", "verdict"],
-                )
-
-        id_type = judged.schema["page_id"].dataType.simpleString()
-        part = keyed.where(segment == s) if segments > 1 else keyed
-        parts.append(part.mapInArrow(verdicts, f"page_id {id_type}, host string, path string, verdict string"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    n = {bool(r.listed): r["count"] for r in universe.groupBy("listed").count().collect()}
+    largest = max(n.get(True, 0), n.get(False, 0) * FALSE_POSITIVES)
+    segments = max(1, math.ceil(largest * BITS_PER_KEY / 8 / max_filter_bytes))
+    while True:
+        try:
+            cascades = _build_segments(universe, segments, max_filter_bytes * SLACK)
+            break
+        except LevelTooLarge:
+            segments *= 2
+
+    def verdicts(batches):
+        for batch in batches:
+            h = batch.column("h").to_numpy(zero_copy_only=False).view(U64)
+            blocked, segment = np.zeros(len(h), dtype=bool), _segment_of(h.view(np.int64), segments)
+            for s in np.unique(segment).tolist():  # one, unless there is but one for all
+                at = np.flatnonzero(segment == s)
+                blocked[at] = member(cascades[s].value, h[at])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("host"), batch.column("path"), pa.array(np.where(blocked, "block", "allow"))],
+                ["page_id", "host", "path", "verdict"],
+            )
+
+    id_type = judged.schema["page_id"].dataType.simpleString()
+    if segments > 1:
+        keyed = keyed.repartitionById(segments, F.pmod("h", F.lit(segments)).cast("int"))
+    out = keyed.mapInArrow(verdicts, f"page_id {id_type}, host string, path string, verdict string")
     return out.select("page_id", "host", "path", fitting_rule(host, path, rules).cast("string").alias("rule"), "verdict")
 
 
+def _segment_of(h: np.ndarray, segments: int) -> np.ndarray:
+    return h % segments  # NumPy's remainder is not negative, like pmod
+
+
+def _build_segments(universe: DataFrame, segments: int, max_bytes: float) -> list:
+    """A broadcast cascade for every segment of the universe."""
+    spark = universe.sparkSession
+    if segments > 1:
+        at = scratch_path(spark, "url_key_segments")
+        universe.withColumn("segment", F.pmod("h", F.lit(segments))).hint("rebalance", F.col("segment")).write.partitionBy("segment").parquet(at)
+        stored = spark.read.schema("h long, listed boolean, segment int").parquet(at)
+        of_segment = [stored.where(F.col("segment") == s).select("h", "listed") for s in range(segments)]
+    else:
+        of_segment = [universe]
+    return [spark.sparkContext.broadcast(build_cascade(keys, max_bytes=max_bytes)) for keys in of_segment]
+
+
 __all__ = ["Rule", "rule", "judge_urls", "build_cascade", "member"]

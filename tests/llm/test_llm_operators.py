@@ -151,6 +151,24 @@ def test_urls(spark):
     assert all((r.host, r.path, r.verdict) == ("", "", "allow") for r in got if r.page_id in (3, 4))
 
 
+def test_urls_of_several_segments(spark, monkeypatch):
+    """A bound of a few bytes: many segments; the same verdicts, and every level within the bound."""
+    urls = [(i, f"http://h{i}.{'net' if i % 97 == 0 else 'com'}/p") for i in range(4000)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    built = []
+    plain = url_filter.build
+
+    def watched(keys, column, n_words, salt=0, *more):
+        built.append(8 * n_words)
+        return plain(keys, column, n_words, salt, *more)
+
+    monkeypatch.setattr(url_filter, "build", watched)
+    got = url_filter.judge_urls(pages, [url_filter.rule("net/", "block")], max_filter_bytes=16).collect()
+    assert {r.page_id: r.verdict for r in got} == {i: "block" if i % 97 == 0 else "allow" for i, _ in urls}
+    assert max(built) <= 16 * url_filter.SLACK + 8 and len(built) > 4
+    assert url_filter.judge_urls(pages.limit(0), [url_filter.rule("net/", "block")], max_filter_bytes=16).count() == 0
+
+
 def test_katz(docs, none):
     held = F.coalesce(F.col("doc_id") == 5, F.lit(False))
     frame = docs.select("doc_id", held.alias("held"), "text")
