@@ -164,9 +164,10 @@ def count_pairs(messages: list[bytes], uni: Unigrams) -> tuple[list[bytes], byte
 
 def score(docs: DataFrame, held_col: str, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` but the text, with ``n_tokens, n_known,
-    train_tokens, base_score, score``. Rows whose boolean ``held_col`` is
-    true are scored, not learned."""
+    train_tokens, base_score, score`` in place of columns of these names.
+    Rows whose boolean ``held_col`` is true are scored, not learned."""
     spark = docs.sparkSession
+    docs = docs.drop(*({"n_tokens", "n_known", "train_tokens", "base_score", "score"} - {text_col, held_col}))
     names = [c for c in docs.columns if c != text_col]
     flag = f"c{names.index(held_col)}"
     n = bucket_count(spark)

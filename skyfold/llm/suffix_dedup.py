@@ -279,8 +279,10 @@ def resolve(messages: list[bytes], length: int) -> tuple[list[bytes], None]:
 def repeated_bytes(docs: DataFrame, text_col: str = "text", length: int = LENGTH, with_kept: bool = False) -> DataFrame:
     """All columns of ``docs`` but the text, with ``n_bytes, n_removed,
     n_spans, kept_sha256`` (and ``kept``: the remaining text without
-    characters of which only a part remains; null for null texts)."""
+    characters of which only a part remains; null for null texts), in place
+    of columns of these names."""
     spark = docs.sparkSession
+    docs = docs.drop(*({"n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_kept else [])} - {text_col}))
     names = [c for c in docs.columns if c != text_col]
     n = bucket_count(spark)
     blocks = write_blocks(docs, text_col)
