@@ -74,6 +74,12 @@ class _PowerTables:
 _TABLES = _PowerTables()
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers, at least, of the base of the hashes of ranges, and
+    those of its inverse."""
+    return _TABLES.get(n)
+
+
 def column_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):
