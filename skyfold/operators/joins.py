@@ -93,7 +93,6 @@ def canonical_airline_lookup(
     reference: DataFrame,
     fact_key: str = "airline_iata",
     columns: dict[str, str] | None = None,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """LEFT join to the airline reference seed by IATA, active rows only.
 
@@ -105,4 +104,4 @@ def canonical_airline_lookup(
     cols = columns or {"airline_name": "ref_airline_name", "country": "ref_country"}
     active = reference.where((F.col("active") == "Y") & F.col("iata").isNotNull())
     one = top1_per_key(active.select("iata", "airline_id", *cols), ["iata"], [-F.col("airline_id")])
-    return lookup(facts, checked_broadcast(one, max_rows), fact_key, "iata", cols)
+    return lookup(facts, one, fact_key, "iata", cols)

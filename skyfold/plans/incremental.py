@@ -23,6 +23,7 @@ starts from what the last committed run has stored, in any process.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
@@ -243,10 +244,11 @@ class FlightStore:
     SMALL = ("dim_airlines", "dim_airports", "airline_best", "airport_best", "fact_zones", *MARTS)
     COMMIT = "run long, fact_run long, as_of string, fact_mark date"
 
-    def __init__(self, spark, root: str, keep_counts: bool = False):
+    def __init__(self, spark, root: str, keep_counts: bool = False, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_counts = keep_counts
+        self.buckets = buckets
 
     def last_commit(self) -> Row | None:
         path = f"{self.root}/commits"
@@ -275,15 +277,55 @@ class FlightStore:
         write_table(df, self.path(name, run))
         return self.spark.read.parquet(self.path(name, run))
 
+    def fact_path(self, run: int) -> str:
+        return self.path("fct_flights" if not self.buckets else f"fct_flights_{self.buckets}", run)
+
+    def bucketed_fact(self, run: int, like: DataFrame | None = None) -> str:
+        """Name of the bucketed fact in this session's catalog; ``like`` gives
+        the columns of a table that is not there yet."""
+        path = self.fact_path(run)
+        name = "skyfold_fact_" + hashlib.md5(path.encode()).hexdigest()
+        if not self.spark.catalog.tableExists(name):
+            schema = (like or self.spark.read.parquet(path)).schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (flight_date) "
+                f"CLUSTERED BY (flight_id) SORTED BY (flight_id) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+            if like is None:
+                self.spark.catalog.recoverPartitions(name)
+        return name
+
     def read_fact(self, run: int) -> DataFrame:
-        return self.spark.read.parquet(self.path("fct_flights", run)).select(*FCT_COLUMNS)
+        if self.buckets:
+            return self.spark.table(self.bucketed_fact(run)).select(*FCT_COLUMNS)
+        return self.spark.read.parquet(self.fact_path(run)).select(*FCT_COLUMNS)
+
+    def _insert_buckets(self, df: DataFrame, run: int, like: DataFrame | None = None) -> None:
+        """Replaces the dates of ``df``: one file for each date and bucket."""
+        name = self.bucketed_fact(run, like)
+        rows = df.repartition(self.buckets, "flight_id").select(*self.spark.table(name).columns)
+        # an insert into a catalog table takes the mode from the session, not from the writer
+        conf, mode = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
+        try:
+            rows.write.mode("overwrite").insertInto(name)
+        finally:
+            conf.set(mode, before)
 
     def write_fact(self, df: DataFrame, run: int) -> DataFrame:
-        write_table(by_date(df), self.path("fct_flights", run), ["flight_date"])
+        if self.buckets:
+            self._insert_buckets(df, run, like=df)
+        else:
+            write_table(by_date(df), self.fact_path(run), ["flight_date"])
         return self.read_fact(run)
 
     def write_fact_dates(self, df: DataFrame, run: int) -> DataFrame:
-        overwrite_partitions(by_date(df), self.path("fct_flights", run), ["flight_date"])
+        if self.buckets:
+            self._insert_buckets(df, run)
+        else:
+            overwrite_partitions(by_date(df), self.fact_path(run), ["flight_date"])
         return self.read_fact(run)
 
     @property

@@ -343,6 +343,15 @@ FROM rk GROUP BY flight_date, flight_iata, direction HAVING COUNT(*) > 1 ORDER B
 WHERE (flight_date, flight_iata, direction) IN (
   SELECT (flight_date, flight_iata, direction) FROM rk GROUP BY flight_date, flight_iata, direction HAVING COUNT(*) > 1)
 ORDER BY extracted_at DESC"""
+    q["load_audit_day"] = stg_only + """SELECT CAST(extracted_at AS DATE) AS extract_date, direction, count(*) AS record_count
+FROM stg WHERE CAST(extracted_at AS DATE) = DATE '2024-01-17' GROUP BY ALL"""
+    q["duplicate_flights_day"] = stg_only[:-1] + raw_keys + """SELECT flight_date, flight_iata, direction, count(*) AS frequency FROM rk
+WHERE CAST(extracted_at AS DATE) = DATE '2024-01-17' GROUP BY ALL HAVING count(*) > 1"""
+    q["duplicate_detail_flight"] = stg_only[:-1] + raw_keys + """SELECT * FROM rk WHERE flight_iata = 'A1101'
+QUALIFY count(*) OVER (PARTITION BY flight_date, direction) > 1"""
+    q["staging_freshness"] = stg_only + """SELECT max(extracted_at) AS latest, epoch(TIMESTAMP '2024-02-01' - max(extracted_at)) / 3600 AS age_hours,
+  max(extracted_at) < TIMESTAMP '2024-01-31' AS stale FROM stg"""
+    q["lineitem_sorted"] = """SELECT count(*) AS rows, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day, CAST(0 AS BIGINT) AS overlaps FROM lineitem"""
     q["lineitem_latest"] = """SELECT * FROM lineitem
 QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1"""
     q["lineitem_duplicates"] = """SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS frequency
@@ -374,7 +383,11 @@ def _fct_cols() -> list[str]:
     return [c.strip() for c in FCT_COLUMNS.replace("\n", " ").split(",") if c.strip()]
 
 
-def two_runs_with() -> str:
+def two_runs_with(daily_extracts: bool = False) -> str:
+    """``daily_extracts``: landing names give the day of an extract only."""
+    events = EVENTS_CTE
+    if daily_extracts:
+        events = events.replace("ts AS extracted_at,", "CAST(date_trunc('day', ts) AS TIMESTAMP) AS extracted_at,")
     merged_cols = []
     for c in _fct_cols():
         if c == "flight_id":
@@ -384,7 +397,7 @@ def two_runs_with() -> str:
         else:
             merged_cols.append(f"CASE WHEN t.flight_id IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
     parts = [
-        EVENTS_CTE,
+        events,
         dates_cte(),
         BUCKETS_CTE,
         f"\nstg1 AS (SELECT * FROM stg WHERE extracted_at < TIMESTAMP '{BATCH1_BEFORE}')",
@@ -558,6 +571,7 @@ UNION ALL SELECT * FROM new"""
 def oracle_sql_incremental() -> dict[str, str]:
     q = {}
     q["fct_flights_two_batches"] = two_runs_with() + "SELECT * FROM merged"
+    q["fct_flights_bucketed_two_batches"] = q["fct_flights_two_batches"]
     q["daily_summary_two_batches"] = two_runs_with() + """SELECT * FROM summary1
 WHERE flight_date NOT IN (SELECT flight_date FROM batch2)
 UNION ALL SELECT * FROM batch2"""
@@ -611,6 +625,7 @@ FROM stg s LEFT JOIN scd v ON s.airline_iata = v.airline_iata AND s.extracted_at
     q["ingest_stream"] = "WITH " + EVENTS_CTE + "\nSELECT " + STG_COLUMNS.replace(
         "extracted_at,", "CAST(date_trunc('day', extracted_at) AS TIMESTAMP) AS extracted_at,", 1
     ) + " FROM stg"
+    q["ingest_redelivered"] = q["ingest_stream"]
     q["ingest_ledger"] = "WITH " + EVENTS_CTE + """,
 lines AS (
   SELECT 'flights_' || lower(direction) || strftime(extracted_at, '_%Y%m%d_000000.json') AS landing_file, direction,
@@ -631,7 +646,10 @@ ref1 AS (SELECT * FROM ref WHERE active = 'Y' AND iata IS NOT NULL
          QUALIFY ROW_NUMBER() OVER (PARTITION BY iata ORDER BY airline_id) = 1)
 SELECT s.flight_id, s.extracted_at, s.airline_iata, r.airline_name AS ref_airline_name, r.country AS ref_country
 FROM stg s LEFT JOIN ref1 r ON s.airline_iata = r.iata"""
-    q["stream_upsert"] = two_runs_with() + "SELECT flight_id, flight_date, direction FROM merged"
+    q["stream_upsert"] = two_runs_with(daily_extracts=True) + "SELECT * FROM merged"
+    q["daily_summary_replaced_window"] = two_runs_with() + """SELECT * FROM summary1
+WHERE flight_date < (SELECT max(flight_date) FROM summary1) - 7 OR flight_date IS NULL
+UNION ALL SELECT * FROM batch2"""
     q["unexpected_statuses"] = "WITH " + EVENTS_CTE + """
 SELECT flight_status, CAST(COUNT(*) AS BIGINT) AS rows FROM stg
 WHERE flight_status IS NOT NULL AND flight_status NOT IN

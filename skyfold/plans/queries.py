@@ -10,7 +10,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions.exprs import conditional_count, safe_pct
@@ -167,6 +167,30 @@ def q_duplicate_detail(spark, sf_dir):
     return reports.duplicate_detail(_model(spark, sf_dir).raw)
 
 
+AUDIT_DAY, AUDIT_FLIGHT = "2024-01-17", "A1101"
+
+
+def q_load_audit_day(spark, sf_dir):
+    """Records of one extract day (F8)."""
+    return reports.load_audit(_model(spark, sf_dir).raw, as_of=AUDIT_DAY)
+
+
+def q_duplicate_flights_day(spark, sf_dir):
+    return reports.duplicate_flights(_model(spark, sf_dir).raw, as_of=AUDIT_DAY)
+
+
+def q_duplicate_detail_flight(spark, sf_dir):
+    """Raw rows of one duplicated flight, newest first."""
+    return reports.duplicate_detail(_model(spark, sf_dir).raw, flight_iata=AUDIT_FLIGHT)
+
+
+def q_staging_freshness(spark, sf_dir):
+    """Age of the newest extract."""
+    from skyfold.operators.quality import freshness
+
+    return freshness(_model(spark, sf_dir).stg, "extracted_at", "2024-02-01 00:00:00", 24)
+
+
 # -- the same operators on non-flight tables --------------------------------
 def q_lineitem_latest(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
@@ -178,6 +202,22 @@ def q_lineitem_duplicates(spark, sf_dir):
     return duplicate_groups(li, ["l_orderkey", "l_linenumber"], "frequency")
 
 
+def q_lineitem_sorted(spark, sf_dir):
+    """Line items stored in the order of their ship dates (O1), read back
+    with the number of rows that begin before the file before ends."""
+    from skyfold.operators.materialize import write_table
+    from skyfold.session import scratch_path
+
+    path = scratch_path(spark, "lineitem_sorted")
+    write_table(read_table(spark, sf_dir, "lineitem"), path, sort_by=["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"])
+    rows = spark.read.parquet(path).select("l_shipdate", F.col("_metadata.file_path").alias("file"))
+    ranges = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    before = F.max("last").over(Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))  # one row for each file
+    return ranges.withColumn("before", before).agg(
+        F.sum("n").alias("rows"), F.min("first").alias("first_day"), F.max("last").alias("last_day"), F.count_if(F.col("first") < F.col("before")).alias("overlaps")
+    )
+
+
 def q_customer_geo(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     nation = checked_broadcast(read_table(spark, sf_dir, "nation"))
@@ -230,6 +270,12 @@ def q_fct_flights_two_batches(spark, sf_dir):
     return _two_runs(spark, sf_dir).fct_flights
 
 
+def q_fct_flights_bucketed_two_batches(spark, sf_dir):
+    """The same two merges into a fact bucketed by flight."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _two_run_store(spark, sf_dir, buckets=buckets).load().fct_flights
+
+
 def q_daily_summary_two_batches(spark, sf_dir):
     return _two_runs(spark, sf_dir).daily_airport_summary
 
@@ -246,6 +292,19 @@ def q_daily_airline_operations_two_batches(spark, sf_dir):
     return _two_runs(spark, sf_dir).marts["daily_airline_operations"]
 
 
+def q_daily_summary_replaced_window(spark, sf_dir):
+    """Like ``daily_summary_two_batches``, with the whole look-back range of
+    days replaced (D22), so that a day without rows would disappear."""
+    from skyfold.plans.incremental import FlightStore, run
+    from skyfold.session import scratch_path
+
+    stg = _model(spark, sf_dir).stg
+    store = FlightStore(spark, scratch_path(spark, "warehouse"))
+    first = F.col("extracted_at") < F.lit(BATCH1_BEFORE).cast("timestamp_ntz")
+    run(stg.where(first), RUN1_AS_OF, store=store)
+    return run(stg, RUN2_AS_OF, store=store, replace_window=True).daily_airport_summary
+
+
 def q_daily_airport_operations_counted(spark, sf_dir):
     """The mart after two runs of a store that keeps partial counts: equal to
     a rebuild from the stored fact, whatever the age of a change."""
@@ -396,6 +455,35 @@ def q_ingest_ledger(spark, sf_dir):
     return read_ledger(spark, f"{base}/ledger")
 
 
+def q_ingest_redelivered(spark, sf_dir):
+    """Staging rows when every file of arrivals is delivered a second time
+    under another name, and departures of one day a third time within the
+    same run (R2): each record is staged once."""
+    from skyfold.operators.flatten import flatten_flights
+    from skyfold.session import cut_lineage, scratch_path
+    from skyfold.sources.fixtures import raw_json_text_from_events
+    from skyfold.sources.landing import landing_name
+    from skyfold.streaming.ingest import ingest_available, read_raw
+
+    base = scratch_path(spark, "ingest_redelivered")
+    records = raw_json_text_from_events(ensure_parallelism(read_table(spark, sf_dir, "events")))
+    name = landing_name(F.col("direction"), F.date_trunc("day", "extracted_at"))
+    files = cut_lineage(records.select("direction", "extracted_at", F.col("json_text").alias("value"), name.alias("file")), "deliveries")
+
+    def deliver(rows, way: str) -> None:
+        rows.select("value", F.col("file").alias(way)).repartition(way).write.mode("append").partitionBy(way).text(f"{base}/landing")
+
+    def drain() -> None:
+        ingest_available(spark, f"{base}/landing", f"{base}/raw", f"{base}/_checkpoint", "HUB", ledger_path=f"{base}/ledger", skip_redelivered=True)
+
+    deliver(files, "first")
+    deliver(files.where((F.col("direction") == "DEPARTURE") & (F.to_date("extracted_at") == F.lit("2024-01-09").cast("date"))), "same_run")
+    drain()
+    deliver(files.where(F.col("direction") == "ARRIVAL"), "second")
+    drain()
+    return drop_variants(flatten_flights(read_raw(spark, f"{base}/raw")))
+
+
 def _airline_reference(spark, sf_dir):
     """Airline reference file written from the observed airlines (with
     sentinels and a malformed 7-column line per airline), read back and
@@ -441,8 +529,7 @@ def q_unexpected_statuses(spark, sf_dir):
 def q_stream_upsert(spark, sf_dir):
     """Two scheduled runs of the streaming upsert (R2): extracts before
     2024-01-20 land and are drained, then the rest. Extract times come
-    from the landing names (one per direction and day), so the flight keys
-    are the deterministic output: (flight_id, flight_date, direction)."""
+    from the landing names (one per direction and day)."""
     from skyfold.plans.incremental import FlightStore
     from skyfold.session import scratch_path
     from skyfold.sources.fixtures import raw_json_text_from_events
@@ -457,7 +544,7 @@ def q_stream_upsert(spark, sf_dir):
         write_landing(batch.withColumn("extracted_at", day), f"{base}/landing")
         store = FlightStore(spark, f"{base}/warehouse")  # a new process opens the store again
         state = upsert_stream(spark, f"{base}/landing", store, f"{base}/_checkpoint", "HUB")
-    return state.fct_flights.select("flight_id", "flight_date", "direction")
+    return state.fct_flights
 
 
 QUERIES: dict[str, Query] = {
@@ -487,15 +574,22 @@ QUERIES: dict[str, Query] = {
     "load_audit_runs": q_load_audit_runs,
     "duplicate_flights": q_duplicate_flights,
     "duplicate_detail": q_duplicate_detail,
+    "load_audit_day": q_load_audit_day,
+    "duplicate_flights_day": q_duplicate_flights_day,
+    "duplicate_detail_flight": q_duplicate_detail_flight,
+    "staging_freshness": q_staging_freshness,
     "lineitem_latest": q_lineitem_latest,
     "lineitem_duplicates": q_lineitem_duplicates,
+    "lineitem_sorted": q_lineitem_sorted,
     "customer_geo": q_customer_geo,
     "orders_status_rollup": q_orders_status_rollup,
     "fct_flights_two_batches": q_fct_flights_two_batches,
+    "fct_flights_bucketed_two_batches": q_fct_flights_bucketed_two_batches,
     "daily_summary_two_batches": q_daily_summary_two_batches,
     "daily_airport_operations_two_batches": q_daily_airport_operations_two_batches,
     "daily_airline_summary_two_batches": q_daily_airline_summary_two_batches,
     "daily_airline_operations_two_batches": q_daily_airline_operations_two_batches,
+    "daily_summary_replaced_window": q_daily_summary_replaced_window,
     "daily_airport_operations_counted": q_daily_airport_operations_counted,
     "daily_airline_operations_counted": q_daily_airline_operations_counted,
     "rerun_diff": q_rerun_diff,
@@ -506,6 +600,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "ingest_stream": q_ingest_stream,
     "ingest_ledger": q_ingest_ledger,
+    "ingest_redelivered": q_ingest_redelivered,
     "airline_reference": q_airline_reference,
     "airline_canonical": q_airline_canonical,
     "unexpected_statuses": q_unexpected_statuses,

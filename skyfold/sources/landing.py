@@ -110,11 +110,15 @@ def landing_file(path_col: Column) -> Column:
 
 
 def file_outcomes(raw: DataFrame) -> DataFrame:
-    """(file, direction, extracted_at, good_rows, rejected_rows) of every
-    physical file of raw rows: one partial aggregation, so a large file is
-    one row for each task that read it."""
+    """(file, direction, extracted_at, good_rows, rejected_rows, content) of
+    every physical file of raw rows: one partial aggregation, so a large file
+    is one row for each task that read it. ``content`` is an order-free
+    digest of the lines: files with the same lines have the same."""
     parsed = F.col("raw_json").isNotNull()
-    counts = F.count_if(parsed).alias("good_rows"), F.count_if(~parsed).alias("rejected_rows")
+    line = F.xxhash64("_line")
+    sums = F.sum(line.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(line, 32))
+    content = F.concat_ws("-", F.count(F.lit(1)), F.hex(F.bit_xor(line)), *sums)
+    counts = F.count_if(parsed).alias("good_rows"), F.count_if(~parsed).alias("rejected_rows"), content.alias("content")
     return raw.groupBy(F.col("_file").alias("file"), "direction", "extracted_at").agg(*counts)
 
 

@@ -32,14 +32,15 @@ def gate_capacity(spark: SparkSession, path: str | None = None) -> DataFrame:
 def clean_airline_reference(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Airline reference rows from raw CSV lines.
 
-    Each line is split with ``from_csv`` into an array; rows whose width
+    Each line is cut into fields by one pattern, in one pass: a field is
+    quoted parts and characters other than commas and quotes. Rows whose width
     is not exactly 8 are skipped (an explicit width check: CSV
     DROPMALFORMED is not reliable under column pruning). ``\\N`` and ``-``
     (after trimming) become NULL; the active flag ``y``/``n`` is
     upper-cased. ``airline_id`` is an INT.
     """
-    # split on commas outside double quotes, then unquote each field
-    fields = F.split(F.col(value_col), ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    # with a comma after the last field, each field ends with one; unquoted below
+    fields = F.regexp_extract_all(F.concat(F.col(value_col), F.lit(",")), F.lit(r'((?:"[^"]*+"|[^,"]++)*+),'), F.lit(1))
     rows = lines.select(fields.alias("f")).where(F.size("f") == len(AIRLINE_REFERENCE_COLUMNS))
     out = []
     for i, name in enumerate(AIRLINE_REFERENCE_COLUMNS):

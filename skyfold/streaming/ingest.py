@@ -21,10 +21,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyfold.sources.landing import file_outcomes, landing_file, landing_glob, split_rejects, to_raw
+from skyfold.operators.materialize import table_exists
+from skyfold.sources.landing import UNKNOWN_DIRECTION, file_outcomes, landing_file, landing_glob, split_rejects, to_raw
 
 
 @dataclass(frozen=True)
@@ -48,38 +49,70 @@ def landing_stream(spark: SparkSession, landing_dir: str, target_airport: str, n
     return to_raw(lines, target_airport, now)
 
 
-def write_ledger(batch: DataFrame, ledger_path: str | None, batch_id: int) -> None:
-    """Outcomes of a micro-batch's files, in a folder that a retried batch
-    overwrites."""
-    if ledger_path:
-        file_outcomes(batch).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+def file_ledger(batch: DataFrame, ledger_path: str, batch_id: int, skip_redelivered: bool) -> DataFrame:
+    """Outcomes of a micro-batch's files, and whether each is a re-delivery:
+    the same lines, direction and extract time as a file of an earlier batch,
+    or of this one (the first name counts). Where the name gives no extract
+    time, the lines alone decide."""
+    files = file_outcomes(batch)
+    if not skip_redelivered:
+        return files.withColumn("redelivered", F.lit(False))
+    spark = batch.sparkSession
+    stamp = F.when(F.col("direction") != UNKNOWN_DIRECTION, F.col("extracted_at"))
+    files = files.withColumn("_stamp", stamp)
+    same = ["direction", "_stamp", "content"]
+    again = F.row_number().over(Window.partitionBy(*same).orderBy("file")) > 1
+    if table_exists(spark, ledger_path):
+        # the batch is the folder's name: a retried batch does not meet its own first try
+        earlier = spark.read.parquet(ledger_path).where((F.col("batch_id") < batch_id) & ~F.col("redelivered")).withColumn("_stamp", stamp)
+        known = earlier.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(same)], F.lit(True).alias("_known")).distinct()
+        match = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(same)]
+        files = files.join(known, match[0] & match[1] & match[2], "left")
+        again = again | F.col("_known").isNotNull()
+    return files.withColumn("redelivered", again).select("file", "direction", "extracted_at", "good_rows", "rejected_rows", "content", "redelivered")
+
+
+def write_ledger(batch: DataFrame, ledger_path: str | None, batch_id: int, skip_redelivered: bool = False) -> DataFrame:
+    """Writes the ledger of a micro-batch to a folder that a retried batch
+    overwrites; returns the batch without re-delivered files."""
+    if not ledger_path:
+        return batch
+    path = f"{ledger_path}/batch_id={batch_id}"
+    file_ledger(batch, ledger_path, batch_id, skip_redelivered).write.mode("overwrite").parquet(path)
+    if not skip_redelivered:
+        return batch
+    gone = batch.sparkSession.read.parquet(path).where("redelivered").select(F.col("file").alias("_file"))
+    return batch.join(gone, "_file", "left_anti")
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     """One row for each landing file, over all batches and physical files:
     landing_file, direction, extracted_at, good_rows, rejected_rows, status
-    (``loaded``: every line; ``partial``; ``failed``: none)."""
-    of_file = F.col("good_rows"), F.col("rejected_rows")
+    (``loaded``: every line; ``partial``; ``failed``: none; ``redelivered``:
+    nothing, since its files were loaded before under another name)."""
     files = spark.read.parquet(ledger_path).withColumn("landing_file", landing_file(F.col("file")))
-    sums = files.groupBy("landing_file", "direction", "extracted_at").agg(*[F.sum(c).alias(n) for c, n in zip(of_file, ("good_rows", "rejected_rows"), strict=True)])
-    status = F.when(of_file[0] == 0, "failed").when(of_file[1] == 0, "loaded").otherwise("partial")
-    return sums.withColumn("status", status)
+    counts = [F.sum(F.when(F.col("redelivered"), 0).otherwise(F.col(n))).alias(n) for n in ("good_rows", "rejected_rows")]
+    sums = files.groupBy("landing_file", "direction", "extracted_at").agg(*counts, F.bool_and("redelivered").alias("_again"))
+    good, bad = F.col("good_rows"), F.col("rejected_rows")
+    status = F.when(F.col("_again"), "redelivered").when(good == 0, "failed").when(bad == 0, "loaded").otherwise("partial")
+    return sums.withColumn("status", status).drop("_again")
 
 
-def _batch_writer(raw_path: str, reject_path: str | None, ledger_path: str | None, done: dict[int, dict]) -> Callable[[DataFrame, int], None]:
+def _batch_writer(raw_path: str, reject_path: str | None, ledger_path: str | None, skip_redelivered: bool,
+                  done: dict[int, dict]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         # several sinks: parse the micro-batch once (persist), write all, release
         batch = batch.persist()
         try:
+            new = write_ledger(batch, ledger_path, batch_id, skip_redelivered)
             seen = Observation()
             parsed = F.col("raw_json").isNotNull()
-            counted = batch.observe(seen, F.count_if(parsed).alias("good"), F.count_if(~parsed).alias("bad"))
+            counted = new.observe(seen, F.count_if(parsed).alias("good"), F.count_if(~parsed).alias("bad"))
             good, _ = split_rejects(counted)
             good.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
             if reject_path:
-                _, bad = split_rejects(batch)
+                _, bad = split_rejects(new)
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-            write_ledger(batch, ledger_path, batch_id)
             done[batch_id] = seen.get
         finally:
             batch.unpersist()
@@ -98,14 +131,17 @@ def ingest_available(
     now: Column | None = None,
     max_files_per_trigger: int | None = None,
     ledger_path: str | None = None,
+    skip_redelivered: bool = False,
 ) -> IngestResult:
     """Drain pending landing files into the raw table; returns what the run
     loaded and rejected. ``ledger_path``: where the outcomes of every file
-    go (see ``read_ledger``)."""
+    go (see ``read_ledger``); with ``skip_redelivered``, a file that the
+    ledger knows under another name adds nothing. (De-duplicating records in
+    the state store would also drop lines that a file truly holds twice.)"""
     stream = landing_stream(spark, landing_dir, target_airport, now, archive_dir, max_files_per_trigger)
     done: dict[int, dict] = {}
     q = (
-        stream.writeStream.foreachBatch(_batch_writer(raw_path, reject_path, ledger_path, done))
+        stream.writeStream.foreachBatch(_batch_writer(raw_path, reject_path, ledger_path, skip_redelivered, done))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -132,6 +168,7 @@ def upsert_stream(
     now: Column | None = None,
     max_files_per_trigger: int | None = None,
     ledger_path: str | None = None,
+    skip_redelivered: bool = False,
 ):
     """One scheduled run: drain pending landing files into the incremental
     model (R2). Returns the stored state after the run. The state is read
@@ -152,10 +189,9 @@ def upsert_stream(
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            good, bad = split_rejects(batch)
+            good, bad = split_rejects(write_ledger(batch, ledger_path, batch_id, skip_redelivered))
             if reject_path:
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-            write_ledger(batch, ledger_path, batch_id)
             stg_batch = store.append_staging(flatten_flights(good), batch_id)
         finally:
             batch.unpersist()

@@ -183,3 +183,28 @@ def test_ledger_counts_every_file_and_agrees_with_what_was_observed(spark, tmp_d
     assert (first.batches, first.loaded_rows, first.rejected_rows) == (7, 8, 4) and read_raw(spark, raw).count() == 8
     again = ingest_available(spark, land, raw, ckpt, "HUB", now=now, ledger_path=ledger)
     assert (again.loaded_rows, again.rejected_rows) == (0, 0) and read_ledger(spark, ledger).count() == 5
+
+
+def test_redelivered_files_add_nothing(spark, tmp_dir):
+    from skyfold.streaming.ingest import read_ledger
+
+    land, ledger = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ledger")
+    raw, ckpt = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ckpt")
+    twice = '{"a":1}\n{"a":1}\n{"a":2}\n'
+
+    def drain():
+        return ingest_available(spark, land, raw, ckpt, "HUB", ledger_path=ledger, skip_redelivered=True)
+
+    _write(f"{land}/flights_departure_20270314_060102.json", twice)
+    _write(f"{land}/first.json", '{"b":1}\n')
+    _write(f"{land}/second.json", '{"b":1}\n')  # the same lines in one run, without an extract time
+    one = drain()
+    assert (one.loaded_rows, one.rejected_rows) == (4, 0)  # a line that a file holds twice counts twice
+    _write(f"{land}/again=flights_departure_20270314_060102.json", '{"a":2}\n{"a":1}\n{"a":1}\n')  # other name and order
+    _write(f"{land}/flights_departure_20270315_060102.json", twice)  # another extract: the same lines are news
+    _write(f"{land}/third.json", '{"b":1}\n')
+    two = drain()
+    assert two.loaded_rows == 3 and read_raw(spark, raw).count() == 7
+    again = {os.path.basename(r.file) for r in spark.read.parquet(ledger).where("redelivered").collect()}
+    assert len(again) == 3 and again >= {"second.json", "third.json"}
+    assert {r.landing_file: r.status for r in read_ledger(spark, ledger).collect()}["third.json"] == "redelivered"

@@ -192,13 +192,18 @@ def test_checked_broadcast_falls_back_above_bound(spark):
 
     facts = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id"))
     dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    with_b = lookup(facts, checked_broadcast(dim, max_rows=100), "k", "k", {"v": "v"})
-    without = lookup(facts, checked_broadcast(dim, max_rows=3), "k", "k", {"v": "v"})
-    assert sorted(with_b.collect()) == sorted(without.collect())
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        with_b.explain()
-    assert "BroadcastHashJoin" in buf.getvalue()
+    hinted = lookup(facts, checked_broadcast(dim, max_rows=100, known_rows=7), "k", "k", {"v": "v"})
+    above = lookup(facts, checked_broadcast(dim, max_rows=3, known_rows=7), "k", "k", {"v": "v"})
+    unknown = lookup(facts, checked_broadcast(dim, max_rows=100), "k", "k", {"v": "v"})
+    assert sorted(hinted.collect()) == sorted(above.collect()) == sorted(unknown.collect())
+
+    def has_hint(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(True)
+        return "strategy=broadcast" in buf.getvalue()
+
+    assert [has_hint(df) for df in (hinted, above, unknown)] == [True, False, False]
 
 
 def test_unexpected_values(spark):
