@@ -139,6 +139,27 @@ SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+_OP2 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 4) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+z AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS id FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b, x.id AS own, y.id AS other FROM o JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM w
+  UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b)
+SELECT w.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, c.component_id, CAST(coalesce(k.n_links, 0) AS BIGINT) AS n_links
+FROM w LEFT JOIN z USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(DISTINCT other) AS n_links FROM l WHERE own <> other GROUP BY a) k USING (doc_id)
+"""
+
 _OP9 = """
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
@@ -244,4 +265,4 @@ FROM t
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _OP1, "op9_url_filter": _OP9, "op11_source_audit": _OP11, "op12_prefix_trie": _OP12, "op13_mixing": _OP13}
+    return {"op1_decontaminate": _OP1, "op2_jaccard_join": _OP2, "op9_url_filter": _OP9, "op11_source_audit": _OP11, "op12_prefix_trie": _OP12, "op13_mixing": _OP13}
