@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from skyfold.llm import fingerprints, packing, queries
+from skyfold.llm import fingerprints, jaccard_join, packing, queries
 from skyfold.llm.fingerprint_compare import compare_fingerprints
 from skyfold.llm.text import column_buffers
 
@@ -40,13 +40,14 @@ def components(links, nodes):
     return {n: find(n) for n in nodes}
 
 
-def test_op2_against_all_pairs(spark, texts):
+@pytest.mark.parametrize("bounds", [{}, {"family_sets": 5}, {"family_tokens": 1500}])
+def test_op2_against_all_pairs(spark, texts, bounds):
     sets = {}
     for d, t in texts.items():
         w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
         sets[d] = {tuple(w[i : i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set())
     links = [(a, b) for a, b in itertools.combinations(sorted(sets), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
-    got = queries.op2_jaccard_join(spark, SF).collect()
+    got = jaccard_join.jaccard_components(queries.table(spark, SF, "documents"), **bounds).collect()  # families in one part or in several
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {d: (len(sets[d]), c) for d, c in components(links, sets).items()}
     assert len(links) > 5
 
