@@ -186,15 +186,19 @@ def upsert_stream(
     from skyfold.operators.flatten import flatten_flights
     from skyfold.plans import incremental
 
+    several = bool(ledger_path or reject_path)  # a batch that only staging reads is parsed once anyway
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        if several:
+            batch = batch.persist()
         try:
             good, bad = split_rejects(write_ledger(batch, ledger_path, batch_id, skip_redelivered))
             if reject_path:
                 bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
             stg_batch = store.append_staging(flatten_flights(good), batch_id)
         finally:
-            batch.unpersist()
+            if several:
+                batch.unpersist()
         as_of = stg_batch.agg(F.max("extracted_at").cast("string")).first()[0]  # one scalar
         if as_of is None:
             return
