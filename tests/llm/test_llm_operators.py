@@ -196,6 +196,28 @@ def test_passages_of_a_group():
     assert not list(passages.verify_group(rng.integers(1, 1 << 31, size=(5, 129)).astype(np.uint32), np.arange(5), 46, 0.8))
 
 
+def test_passages_beyond_the_first_leader():
+    """A member that shares a passage with one that the first leader had matched, and the parts that a member shares with different ones."""
+    rng = np.random.default_rng(3)
+    lead, own, other = rng.integers(1, 1 << 31, size=(3, 129)).astype(np.uint32)
+    own[20:70] = lead[20:70]  # the leader's passage and, from column 50 on, the other's
+    own[70:110] = other[70:110]
+    other[50:70] = own[50:70]
+    for order in ([0, 1, 2], [1, 0, 2], [2, 1, 0]):
+        found = list(passages.verify_group(np.array([lead, own, other])[order], np.arange(3), 46, 0.8))
+        reach = {order[m]: (min(f for n, _, f, _, _ in found if n == m), max(f for n, _, _, f, _ in found if n == m)) for m, *_ in found}
+        assert reach.keys() == {0, 1, 2} and reach[1][0] <= 20 and reach[1][1] >= 109 and reach[2][0] <= 50 and reach[2][1] >= 109
+    many = rng.integers(1, 1 << 31, size=(300, 129)).astype(np.uint32)
+    many[:, 40:90] = many[0, 40:90]  # one comparison each
+    calls, plain = [], passages.compare_with_leader
+    passages.compare_with_leader = lambda *a: calls.append(len(a[0])) or plain(*a)
+    try:
+        assert {m for m, *_ in passages.verify_group(many, np.arange(300), 46, 0.8)} == set(range(300))
+    finally:
+        passages.compare_with_leader = plain
+    assert sum(calls) < 600
+
+
 def test_passages_of_many_splits(spark):
     """Documents of any partition, far beyond the 128th."""
     text = F.when(F.col("id").isin(0, 140, 149), F.concat(F.col("id").cast("string"), F.lit(" " + PASSAGE)))
