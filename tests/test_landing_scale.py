@@ -1,6 +1,8 @@
 """Tasks of the landing steps do not grow with the source, and a query lands only the tables that it reads."""
 
+import datetime as dt
 import os
+import re
 import shutil
 
 import pyarrow as pa
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from skyfold.plans import reports
 from skyfold.plans.flights import FlightModel, landed_path
 from skyfold.session import ensure_parallelism
+from skyfold.sources.fixtures import raw_flights_from_events, raw_json_text_from_events
 
 
 def rows_by_partition(df):
@@ -52,3 +55,23 @@ def test_audit_lands_the_raw_table_only(spark, tmp_dir):
     assert model.stg.count() == model.raw.count()
     assert sorted(os.listdir(landed)) == ["raw", "stg"]
     assert model.airlines.count() > 0 and "dim_airlines_current" in os.listdir(landed)
+
+
+def write_events(path, n):
+    day = dt.datetime(2024, 1, 5, 10)
+    rows = {
+        "event_id": list(range(n)), "ts": [day + dt.timedelta(minutes=i % 600) for i in range(n)], "user_id": [i % 7 for i in range(n)],
+        "event_type": ["purchase"] * n, "value": [float(i % 30) for i in range(n)], "props": ['{"k": %d}' % (i % 9) for i in range(n)],
+    }
+    pq.write_table(pa.table(rows), path)
+
+
+def test_records_are_rendered_by_code_that_the_jvm_compiles(spark, tmp_dir, capsys):
+    write_events(f"{tmp_dir}/e.parquet", 40)
+    events = spark.read.parquet(f"{tmp_dir}/e.parquet")
+    for df in (raw_json_text_from_events(events), raw_flights_from_events(events)):
+        df.explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) <= 8000  # longer methods are interpreted (-XX:+DontCompileHugeMethods)
+    by_id = [r.json_text for r in raw_json_text_from_events(events.where("event_id in (0, 1, 6)").orderBy("event_id")).collect()]
+    assert '"codeshared":null' in by_id[0] and "codeshared" not in by_id[1] and '"codeshared":{"airline_iata"' in by_id[2]
