@@ -10,8 +10,9 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from skyfold.plans import reports
-from skyfold.plans.flights import FlightModel, landed_path
-from skyfold.session import ensure_parallelism
+from skyfold.plans.flights import FlightModel, land_staging, landed_path
+from skyfold.plans.incremental import FlightStore, run
+from skyfold.session import ensure_parallelism, fine_scans
 from skyfold.sources.fixtures import raw_flights_from_events, raw_json_text_from_events
 
 
@@ -75,3 +76,24 @@ def test_records_are_rendered_by_code_that_the_jvm_compiles(spark, tmp_dir, caps
         assert sizes and max(sizes) <= 8000  # longer methods are interpreted (-XX:+DontCompileHugeMethods)
     by_id = [r.json_text for r in raw_json_text_from_events(events.where("event_id in (0, 1, 6)").orderBy("event_id")).collect()]
     assert '"codeshared":null' in by_id[0] and "codeshared" not in by_id[1] and '"codeshared":{"airline_iata"' in by_id[2]
+
+
+def test_scans_of_landed_tables_are_dealt_out(spark, tmp_dir):
+    write_events(f"{tmp_dir}/e.parquet", 400)
+    files = 16 * spark.sparkContext.defaultParallelism
+    raw_flights_from_events(spark.read.parquet(f"{tmp_dir}/e.parquet")).repartition(files).write.parquet(f"{tmp_dir}/raw")
+    held = len([f for f in os.listdir(f"{tmp_dir}/raw") if f.endswith(".parquet")])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    land_staging(spark, tmp_dir)
+    assert len([f for f in os.listdir(f"{tmp_dir}/stg") if f.endswith(".parquet")]) >= held // 2
+    assert spark.read.parquet(f"{tmp_dir}/stg").count() == 400
+    with fine_scans(spark):
+        assert spark.read.parquet(f"{tmp_dir}/raw").rdd.getNumPartitions() >= held // 2
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+    store, seen = FlightStore(spark, f"{tmp_dir}/store"), []
+    store.append_staging(spark.read.parquet(f"{tmp_dir}/stg"), 1)
+    read = store.read_staging
+    store.read_staging = lambda: seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes")) or read()
+    run(None, "2024-02-01 00:00:00", store=store)
+    assert seen == ["8388608b"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
