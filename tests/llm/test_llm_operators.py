@@ -237,6 +237,35 @@ def test_windows_of_a_long_text():
     assert len(late) > 1000 and all(h[left[x] : right[x] + 1].min() == h[c[x]] and right[x] - left[x] + 1 >= least for x in late)
 
 
+def test_windows_of_runs():
+    """A run of one shingle has few windows, and every subsequence still holds a window's position of its smallest hash."""
+    rng = np.random.default_rng(12)
+    least = 46
+    h = rng.integers(1 << 40, 1 << 62, size=600).astype(np.uint64)
+    smallest = np.sort(h)[:3]
+    for x, n, v in ((100, 30, smallest[0]), (250, 200, smallest[1]), (500, 2, smallest[2])):
+        h[x : x + n] = v
+    first = np.array([0, 420, 600])  # the second run is in one document, the third in the other
+    ((_, doc, left, c, right),) = passages._windows(h, first, least, 0, 0, 0)
+    for x in range(len(h) - least + 1):
+        if x < 420 < x + least:
+            continue
+        here = (c >= x) & (c < x + least) & (left <= x) & (right >= x + least - 1) & (doc == (x >= 420))
+        assert (h[c[here]] == h[x : x + least].min()).any(), x
+    assert [((c >= x) & (c < x + n)).sum() for x, n in ((100, 30), (500, 2))] == [2, 2]
+    assert ((c >= 250) & (c < 420)).sum() == 5 and ((c >= 420) & (c < 450)).sum() == 2
+
+
+def test_passages_in_runs(spark):
+    """Runs of one word cost few comparisons, and passages in and beside them are found whole."""
+    run, side = " ".join(["na"] * 300), PASSAGE
+    texts = [f"{side} {run}", f"{run} {side}", f"x {side} {run} {side} y", f"z {run}", "clean " + " ".join(f"c{i}" for i in range(90))]
+    got = passages.near_duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    n = len(side.split())
+    spans = {(r.doc_id, r.start_word, r.end_word) for r in got}
+    assert spans == {(0, 0, n + 300), (1, 0, n + 300), (2, 1, 2 * n + 301), (3, 1, 301)}
+
+
 def edited_pair(rng, words, edits):
     """Shingle numbers of two texts that share a passage with some words replaced, inserted or left out."""
     passage = [f"p{i}" for i in range(words)]
