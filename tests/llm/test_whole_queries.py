@@ -181,3 +181,38 @@ def test_op8_against_every_string(spark, texts):
         want[d] = (len(t), sum(cut), len(re.findall(b"\x01+", bytes(cut))), hashlib.sha256(left).hexdigest())
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op8_suffix_dedup(spark, SF).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("words", [12, 60])
+def test_op2_chance_meetings_make_no_family(spark, monkeypatch, words):
+    """Texts that share a passage with each of many others, but with none enough, do not travel; near copies do.
+    Of 12 words, less than 85 % of a text's shingles are in another; of 60, more."""
+    n, families = 12, []
+    plain = jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: families.append(plain(edges)) or families[-1])
+    texts = [" ".join(f"s{min(i, j)}x{max(i, j)}w{w}" for j in range(n) if j != i for w in range(words)) for i in range(n)]
+    near = [f"n{w}" for w in range(200)]
+    texts += [" ".join(near), " ".join(near[:199] + ["other"]), " ".join(near)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {i: (i, 0) for i in range(n)} | {n: (n, 1), n + 1: (n, 1), n + 2: (n, 1)}
+    assert families[0].count() == 2
+
+
+def test_op2_shared_tokens_and_able_sets():
+    """Tokens of two sets count, those of two documents of one set do not; a block that misses a message keeps its sets."""
+    u32, u64 = np.uint32, np.uint64
+    sent = [
+        jaccard_join.pack(np.array([7, 8, 9, 7], u32), np.array([0, 0, 1, 2], u32), np.array([55], u64)),  # the last is of set 55
+        jaccard_join.pack(np.array([7, 5, 5, 6], u32), np.array([0, 1, 2, 2], u32), np.array([55, 77, 88, 88], u64)),
+        jaccard_join.pack(np.array([9], u32), np.array([3], u32), np.zeros(0, u64)),
+        jaccard_join.pack(np.array([6], u32), np.array([0], u32), np.array([88], u64)),
+    ]
+    answers = [jaccard_join.unpack(a) for a in jaccard_join.shared_tokens(sent)]
+    assert [(int(n[0]), np.cumsum(x).tolist()) for n, x in answers] == [(4, [0, 1, 2]), (4, [0, 1, 2]), (1, [3]), (1, [])]
+    head = jaccard_join.pack(np.array([1, 2, 3], u64), np.array([5, 4, 3]), np.array([3, 0, 3]))
+    reply = lambda n, x: jaccard_join.pack(np.array([n]), np.diff(np.array(x, int), prepend=0).astype(u32))
+    messages = [(0, reply(4, [0, 0, 1])), (jaccard_join.HEAD, head), (1, reply(2, [1, 1]))]
+    assert jaccard_join.able_sets(messages, 85).tolist() == [1, 3]
+    assert jaccard_join.able_sets(messages, 75).tolist() == [1, 2, 3]
+    assert jaccard_join.able_sets(messages[:2], 85).tolist() == [1, 2, 3]
