@@ -359,3 +359,17 @@ def test_pairs_agree_with_groups():
     assert 0 in other and len(got) > 30
     for x in set(range(120)) - set(other.tolist()):
         assert got.get(x, set()) == {(m, a, b, like) for m, _, a, b, like in passages.verify_group(np.array([lead[x], own[x]]), np.arange(2), 46, 0.8)}
+
+
+def test_near_copies_around_runs(spark):
+    """Near copies in which a run has another length: all alignments of the run's positions are compared."""
+    texts = []
+    cases = [(14, 14, 18, [7, 21, 37], [18, 37, 40]), (96, 11, 18, [4, 53, 64], [21, 48, 55]), (106, 31, 44, [38, 49], [9]), (125, 42, 14, [], [34, 54, 58])]
+    for i, run, other_run, edits_before, edits_after in cases:
+        before, after = [f"p{i}x{j}" for j in range(70)], [f"q{i}x{j}" for j in range(70)]
+        texts.append(" ".join([f"a{i}"] * 3 + before + [f"r{i}"] * run + after + [f"b{i}"]))
+        edited = [[f"e{w}" if j in edits else w for j, w in enumerate(side)] for side, edits in ((before, edits_before), (after, edits_after))]
+        texts.append(" ".join(edited[0] + [f"r{i}"] * other_run + edited[1]))
+    got = passages.near_duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {(r.doc_id, r.start_word, r.end_word) for r in got}
+    assert spans == {(0, 25, 124), (1, 22, 125), (2, 8, 67), (2, 68, 132), (3, 5, 64), (3, 65, 136), (4, 42, 174), (5, 39, 184), (6, 3, 169), (7, 0, 138)}
